@@ -1,6 +1,6 @@
 """Generic DataFrame operators: latest rows, joins, grouping, batching, sampling."""
 
-from rapport.operators.batching import bounded_batches, payloads
+from rapport.operators.batching import bounded_batches, collect_batches, payloads
 from rapport.operators.grouping import (
     distinct_counts,
     frequency,
@@ -27,6 +27,7 @@ __all__ = [
     "bootstrap_assign",
     "bounded_batches",
     "break_ties",
+    "collect_batches",
     "dense_index",
     "distinct_counts",
     "expand_by_shared_key",

@@ -13,39 +13,70 @@ from pyspark.sql import functions as F
 BATCHES_PER_BUCKET = 50
 
 
-def bounded_batches(df: DataFrame, key: str, id: str, n: int = 1000, repeated: bool = False) -> DataFrame:
-    """Add ``batch_no``: at most ``n`` rows of one key share a number.
+SLOT = ["_buckets", "_bucket", "_slot"]
 
-    Every row is kept and gets exactly one number. Numbers are unique inside a
-    key but not consecutive. Set ``repeated`` when one id may occur on very many
-    rows of a key: buckets then also depend on the input partition of a row, so
-    copies spread out, and which batch a row lands in follows the partitioning.
-    """
+
+def _slots(df: DataFrame, key: str, id: str, n: int, repeated: bool) -> DataFrame:
+    """Rows with their bucket and their slot of ``n`` rows inside it."""
     spread = [F.col(id), F.spark_partition_id()] if repeated else [F.col(id)]
     df = df.withColumn("_spread", F.xxhash64(*spread))
     sizes = df.groupBy(F.col(key).alias("_key")).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(n * BATCHES_PER_BUCKET)).alias("_buckets")
     )
+    # Joined null-safe: rows come out clustered on derived columns and not on the
+    # key, so the window below shuffles them by (key, bucket) and a hot key is split.
     rows = df.join(sizes, F.col(key).eqNullSafe(F.col("_key")), "inner").drop("_key")
-    rows = rows.withColumn("_bucket", F.pmod("_spread", "_buckets"))
+    rows = rows.withColumn("_bucket", F.pmod("_spread", "_buckets")).drop("_spread")
     w = Window.partitionBy(key, "_bucket").orderBy(id)
-    slot = F.floor((F.row_number().over(w) - 1) / F.lit(n))
+    return rows.withColumn("_slot", F.floor((F.row_number().over(w) - 1) / F.lit(n)))
+
+
+def _batch_no() -> Column:
     # slots interleave over the buckets, so numbers never collide
-    return rows.withColumn("batch_no", slot * F.col("_buckets") + F.col("_bucket")).drop("_buckets", "_bucket", "_spread")
+    return F.col("_slot") * F.col("_buckets") + F.col("_bucket")
+
+
+def bounded_batches(df: DataFrame, key: str, id: str, n: int = 1000, repeated: bool = False) -> DataFrame:
+    """Add ``batch_no``: at most ``n`` rows of one key share a number.
+
+    Every row is kept and gets exactly one number. Numbers are unique inside a
+    key but not consecutive. Set ``repeated`` when one id may occur on very many
+    rows of a key: buckets then also depend on the input partition of a row, so
+    copies spread out, and which batch a row lands in follows the partitioning.
+
+    ``df`` is read twice, once to size the buckets; pass a stored table when it
+    is costly to compute.
+    """
+    return _slots(df, key, id, n, repeated).withColumn("batch_no", _batch_no()).drop(*SLOT)
+
+
+def collect_batches(
+    df: DataFrame,
+    key: str,
+    id: str,
+    item: Column,
+    name: str,
+    n: int = 1000,
+    same: tuple[str, ...] = (),
+    repeated: bool = False,
+) -> DataFrame:
+    """One row per batch with its items as an array of at most ``n``.
+
+    ``same`` lists columns that are constant inside a key. Batches are grouped by
+    the bucket they were numbered in, which needs no further shuffle.
+    """
+    return (
+        _slots(df, key, id, n, repeated)
+        .groupBy(*dict.fromkeys((key, *same)), *SLOT)
+        .agg(F.count(F.lit(1)).alias("batch_size"), F.collect_list(item).alias(name))
+        .withColumn("batch_no", _batch_no())
+        .drop(*SLOT)
+    )
 
 
 def payloads(df: DataFrame, key: str, id: str, person: Column, n: int = 1000, name: str = "people") -> DataFrame:
     """One JSON payload per batch: ``{"name": key, "locked": true, name: [person, ...]}``."""
-    return (
-        bounded_batches(df, key, id, n)
-        .groupBy(key, "batch_no")
-        .agg(F.count(F.lit(1)).alias("batch_size"), F.collect_list(person).alias("_people"))
-        .select(
-            key,
-            "batch_no",
-            "batch_size",
-            F.to_json(
-                F.struct(F.col(key).alias("name"), F.lit(True).alias("locked"), F.col("_people").alias(name))
-            ).alias("payload_json"),
-        )
+    payload = F.struct(F.col(key).alias("name"), F.lit(True).alias("locked"), F.col("_people").alias(name))
+    return collect_batches(df, key, id, person, "_people", n).select(
+        key, "batch_no", "batch_size", F.to_json(payload).alias("payload_json")
     )

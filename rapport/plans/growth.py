@@ -52,17 +52,16 @@ def touches(edges: DataFrame) -> DataFrame:
 def group_touches(members: DataFrame, touched: DataFrame, level: Level) -> DataFrame:
     """One row per (keys, person): the first day inside the group, and its tags."""
     columns = ("first_day", "first_ts", "matched_ts", "added_ts")
-    return (
-        touched.join(members.select("user_id", *[k for k in level.keys if k != "user_id"]).distinct(), "user_id")
-        .groupBy(*level.keys, "reach_id")
-        .agg(*[F.min(c).alias(c) for c in columns])
-        .select(
-            *level.keys,
-            "reach_id",
-            "first_day",
-            F.coalesce(F.col("matched_ts") == F.col("first_ts"), F.lit(False)).alias("is_matched"),
-            F.coalesce(F.col("added_ts") == F.col("first_ts"), F.lit(False)).alias("is_added"),
-        )
+    keyed = members.select("user_id", *[k for k in level.keys if k != "user_id"]).distinct()
+    rows = touched.join(keyed, "user_id")
+    if "user_id" not in level.keys:  # else there is one row per (keys, person) already
+        rows = rows.groupBy(*level.keys, "reach_id").agg(*[F.min(c).alias(c) for c in columns])
+    return rows.select(
+        *level.keys,
+        "reach_id",
+        "first_day",
+        F.coalesce(F.col("matched_ts") == F.col("first_ts"), F.lit(False)).alias("is_matched"),
+        F.coalesce(F.col("added_ts") == F.col("first_ts"), F.lit(False)).alias("is_added"),
     )
 
 
@@ -198,11 +197,29 @@ def growth_rates(totals: DataFrame) -> DataFrame:
     )
 
 
-def with_today(series: DataFrame, level: Level, as_of: dt.date, metrics=("voters_per_cm_week", "pct_votes")) -> DataFrame:
+def with_today(rates: DataFrame, level: Level, as_of: dt.date, metrics=("voters_per_cm_week", "pct_votes")) -> DataFrame:
     """Each group's value on ``as_of`` attached to all its rows."""
     w = Window.partitionBy(*level.keys)
     today = F.col("day") == F.lit(as_of)
-    return series.withColumns({f"todays_{m}": F.max(F.when(today, F.col(m))).over(w) for m in metrics})
+    return rates.withColumns({f"todays_{m}": F.max(F.when(today, F.col(m))).over(w) for m in metrics})
+
+
+def series(
+    members: DataFrame,
+    touched: DataFrame,
+    days: DataFrame,
+    level: Level,
+    start: dt.date,
+    report_start: dt.date,
+    as_of: dt.date,
+    form: str = "sparse",
+) -> DataFrame:
+    """The growth series from ``touches`` and ``person_days``, which all levels share:
+    store them once when building several levels."""
+    members = with_program(members)
+    daily = daily_counts(members, touched, days, level)
+    totals = {"sparse": sparse_totals, "dense": dense_totals}[form]
+    return with_today(growth_rates(totals(members, daily, level, start, report_start, as_of)), level, as_of)
 
 
 def growth_series(
@@ -218,8 +235,5 @@ def growth_series(
     form: str = "sparse",
 ) -> DataFrame:
     """Cumulative measures, member-days, rates and today's values per report day."""
-    members = with_program(members)
-    daily = daily_counts(members, touches(edges), person_days(responses, votes, questions), level)
-    totals = {"sparse": sparse_totals, "dense": dense_totals}[form]
-    series = totals(members, daily, level, start, report_start, as_of)
-    return with_today(growth_rates(series), level, as_of)
+    days = person_days(responses, votes, questions)
+    return series(members, touches(edges), days, level, start, report_start, as_of, form)

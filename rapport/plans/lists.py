@@ -12,11 +12,13 @@ from rapport.operators import anti, mark_join
 
 def id_crosswalk(notes: DataFrame, records: DataFrame, category: str) -> DataFrame:
     """Ids of one system noted on the records of another."""
+    noted = notes.where(F.col("note_category_name") == category)
+    # distinct on either side gives distinct triples
     return (
-        notes.where(F.col("note_category_name") == category)
-        .join(records, "myc_van_id")
-        .select(F.col("note_text").alias("reach_user_id"), "myc_van_id", "myv_van_id")
+        noted.select("myc_van_id", F.col("note_text").alias("reach_user_id"))
         .distinct()
+        .join(records.select("myc_van_id", "myv_van_id").distinct(), "myc_van_id")
+        .select("reach_user_id", "myc_van_id", "myv_van_id")
     )
 
 
@@ -33,7 +35,7 @@ def support_scores(external: DataFrame, scores: DataFrame, codes: SupportCodes)
     answer = F.col("master_survey_response_id")
     coded = external.where(
         F.col("master_survey_question_id").isin(*codes.questions) & (F.col("msq_currency") == 1)
-    ).select("person_id", "master_survey_response_id")
+    ).select("person_id", "master_survey_response_id").distinct()
     score = (
         F.when(answer.isin(*codes.support), F.lit(100.0))
         .when(answer.isin(*codes.undecided), F.lit(50.0))

@@ -59,6 +59,7 @@ def match_errors(sheet: DataFrame, leaders: DataFrame, users: DataFrame, order_c
         trained.groupBy("phone_number").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
         .select("phone_number", F.lit(True).alias("shared"))
     )
+    phones = known.join(shared, "phone_number", "full")
     reason = (
         F.when(F.col("phone_number").isNull(), BAD_PHONE)
         .when(F.col("has_code").isNull(), BAD_CODE)
@@ -67,8 +68,7 @@ def match_errors(sheet: DataFrame, leaders: DataFrame, users: DataFrame, order_c
     )
     return (
         trained.join(codes, "invite_code", "left")
-        .join(known, "phone_number", "left")
-        .join(shared, "phone_number", "left")
+        .join(phones, "phone_number", "left")
         .where("has_code IS NULL OR has_user IS NULL OR shared IS NOT NULL")
         .orderBy(F.col(order_col).desc())
         .select(

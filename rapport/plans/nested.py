@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rapport.functions import days_between, to_int
-from rapport.operators import bounded_batches
+from rapport.operators import collect_batches
 from rapport.schemas import MEMBER, PERSON, VOLUNTEER, VOLUNTEER_PERSON
 
 MEMBER_FIELDS = [f.name for f in MEMBER.fields if f.name != "network"]
@@ -52,10 +52,8 @@ def nest_networks(flat: DataFrame, max_people: int = 1000) -> DataFrame:
     rows = flat.select(*member, F.struct(*text).alias("person")).withColumns(
         {"_person_key": F.xxhash64("person"), "_member_key": F.xxhash64(*member)}
     )
-    parts = (
-        bounded_batches(rows, "_member_key", "_person_key", max_people, repeated=True)
-        .groupBy(*member, "batch_no")
-        .agg(F.collect_list("person").alias("network"))
+    parts = collect_batches(
+        rows, "_member_key", "_person_key", F.col("person"), "network", max_people, tuple(member), repeated=True
     )
     own = [F.col("cm_voting_status" if c == "voting_status" else c).cast("string").alias(c) for c in MEMBER_FIELDS]
     leader = F.struct("rmm", F.array(F.struct(*own, "network")).alias("cms"))
@@ -84,10 +82,8 @@ def nest_volunteers(flat: DataFrame, max_people: int = 1000) -> DataFrame:
     rows = flat.select(*VOLUNTEER_FIELDS, F.struct(*person).alias("person")).withColumns(
         {"_person_key": F.xxhash64("person"), "_user_key": F.xxhash64(*VOLUNTEER_FIELDS)}
     )
-    parts = (
-        bounded_batches(rows, "_user_key", "_person_key", max_people, repeated=True)
-        .groupBy(*VOLUNTEER_FIELDS, "batch_no")
-        .agg(F.collect_list("person").alias("network"))
+    parts = collect_batches(
+        rows, "_user_key", "_person_key", F.col("person"), "network", max_people, tuple(VOLUNTEER_FIELDS), repeated=True
     )
     user = F.struct(*[F.col(c).cast("string").alias(c) for c in VOLUNTEER_FIELDS], "network")
     return parts.select(F.struct(F.array(user).alias("users")).alias("doc"))

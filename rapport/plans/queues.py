@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rapport.functions import full_name
 from rapport.labels import ADDED_TAG, HAS_VOTED, MATCHED_TAG, NEEDS_TO_VOTE, TIER_TEXT, VOTED_RAW
-from rapport.operators import anti, distinct_counts, mark_join
+from rapport.operators import anti, mark_join
 
 
 def tier_text(tier: Column) -> Column:
@@ -23,8 +23,11 @@ def work_queue(
     """Each member's active people with answers, status, tier and sort keys.
 
     ``person_tier`` is the tier per person id; the text shows it before the tier
-    of a person without a file record is set to 4.
+    of a person without a file record is set to 4. What is known of a person is
+    put together first, so relationships meet it in one join that AQE can split
+    where one person is known to very many members.
     """
+    known = wide.join(status, "reach_id", "full").join(person_tier, "reach_id", "full")
     pairs = (
         edges.where("relationship_status = 'Active'")
         .select(
@@ -39,9 +42,7 @@ def work_queue(
     sort_2 = F.when(code.isin(1, 2), 10).when(code == 3, 5).when(code.isNull(), 3).otherwise(1)
     return (
         pairs.join(members, "user_id")
-        .join(wide, "reach_id", "left")
-        .join(status, "reach_id", "left")
-        .join(person_tier, "reach_id", "left")
+        .join(known, "reach_id", "left")
         .withColumns(
             {
                 "tier_str": tier_text(F.col("tier")),
@@ -57,16 +58,15 @@ def work_queue(
 def volunteer_users(users: DataFrame, members: DataFrame, edges: DataFrame, status: DataFrame) -> DataFrame:
     """Users who are not members, with their network, matched and voted counts."""
     voted = status.where(F.col("voting_status_raw").isin(*VOTED_RAW))
-    theirs = anti(edges, members, "user_id")
-    counts = distinct_counts(
-        mark_join(theirs, voted, "reach_id", "has_voted"),
-        ["user_id"],
-        "reach_id",
-        {
-            "voters": None,
-            "matched_voters": F.col("state_file_id").isNotNull(),
-            "voters_voted": (F.col("auto_applied_tag") == MATCHED_TAG) & F.col("has_voted"),
-        },
+    pairs = edges.where("reach_id IS NOT NULL").groupBy("user_id", "reach_id").agg(
+        F.max(F.col("state_file_id").isNotNull()).alias("is_matched"),
+        F.max(F.coalesce(F.col("auto_applied_tag") == MATCHED_TAG, F.lit(False))).alias("is_voter"),
+    )
+    theirs = mark_join(anti(pairs, members, "user_id"), voted, "reach_id", "has_voted")
+    counts = theirs.groupBy("user_id").agg(
+        F.count("reach_id").alias("voters"),
+        F.count_if("is_matched").alias("matched_voters"),
+        F.count_if(F.col("is_voter") & F.col("has_voted")).alias("voters_voted"),
     )
     return (
         anti(users, members, "user_id")
@@ -84,10 +84,16 @@ def volunteer_users(users: DataFrame, members: DataFrame, edges: DataFrame, stat
 def volunteer_people(edges: DataFrame, members: DataFrame, wide: DataFrame, status: DataFrame) -> DataFrame:
     """People of non-members who have not voted, by user name."""
     raw = F.col("voting_status_raw")
+    known = wide.select("reach_id", "support_id", "vote_plan", "detailed_plan", "vol_ask").join(
+        status.select("reach_id", "voting_status_raw").distinct(), "reach_id", "full"
+    )
+    listed = edges.select(
+        "reach_id", "user_id", "user_name", "auto_applied_tag", "person_first_name", "person_last_name"
+    ).distinct()
+    # both sides are distinct, and so is the result
     return (
-        anti(edges, members, "user_id")
-        .join(wide.select("reach_id", "support_id", "vote_plan", "detailed_plan", "vol_ask"), "reach_id", "left")
-        .join(status.select("reach_id", "voting_status_raw"), "reach_id", "left")
+        anti(listed, members, "user_id")
+        .join(known, "reach_id", "left")
         .where(raw.isNull() | ~raw.isin(*VOTED_RAW))
         .select(
             "reach_id",
@@ -102,6 +108,5 @@ def volunteer_people(edges: DataFrame, members: DataFrame, wide: DataFrame, stat
             "vol_ask",
             F.when(raw == NEEDS_TO_VOTE, "").otherwise(raw).alias("voting_status"),
         )
-        .distinct()
         .orderBy("user_name", "user_id", "reach_id")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rapport.functions import add_prefix
 from rapport.labels import STATUS_STEPS
-from rapport.operators import anti, bounded_batches, latest_one, payloads
+from rapport.operators import anti, collect_batches, latest_one, payloads
 from rapport.plans.status import tag_status
 
 STATUS_KEYS = ["alloy_sos_id", "voting_status"]
@@ -84,16 +84,8 @@ def last_labels(sheet: DataFrame, id: str, label: str, order: list[Column]) -> D
 
 def group_payloads(segments: DataFrame, n: int = 1000) -> DataFrame:
     """Group membership in batches; a receiver applies all ``n_batches`` of a group together."""
-    rows = bounded_batches(segments, "group_id", "user_id", n)
-    batches = rows.groupBy("group_id", "batch_no").agg(
-        F.count(F.lit(1)).alias("batch_size"), F.collect_list(F.struct("user_id")).alias("_users")
-    )
-    per_group = (
-        rows.select("group_id", "batch_no")
-        .distinct()
-        .groupBy(F.col("group_id").alias("_group"))
-        .agg(F.count(F.lit(1)).alias("n_batches"))
-    )
+    batches = collect_batches(segments, "group_id", "user_id", F.struct("user_id"), "_users", n)
+    per_group = batches.groupBy(F.col("group_id").alias("_group")).agg(F.count(F.lit(1)).alias("n_batches"))
     return batches.join(per_group, F.col("group_id").eqNullSafe(F.col("_group"))).select(
         "group_id",
         "batch_no",

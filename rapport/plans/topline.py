@@ -17,7 +17,9 @@ SUPPORT_NAMES = {1: "ones", 2: "twos", 3: "threes", 4: "fours", 5: "fives"}
 def group_people(edges: DataFrame, members: DataFrame, level: Level) -> DataFrame:
     """Distinct (keys, reach_id) over active relationships of members."""
     keyed = with_program(members).select("user_id", *[k for k in level.keys if k != "user_id"]).distinct()
-    return active_pairs(edges).join(keyed, "user_id").select(*level.keys, "reach_id").distinct()
+    pairs = active_pairs(edges).join(keyed, "user_id").select(*level.keys, "reach_id")
+    # at user level both sides, and so their join, are distinct already
+    return pairs if "user_id" in level.keys else pairs.distinct()
 
 
 def person_profile(

@@ -27,6 +27,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/rapport/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result that several later steps read, and read it back.
+
+    The copy lives in shared storage, so losing an executor costs no recomputation.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_report(df: DataFrame, root: str, name: str, format: str = "parquet") -> str:
     """Replace one named report: clear it, then write it."""
     path = f"{root}/{name}"

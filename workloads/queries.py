@@ -129,23 +129,27 @@ class Data(Tables):
             self.absentee, self.voter_file, self.tag_history, self.tag_log, TAG_IDS, self.tag_order, PREFIX
         )
 
+    @cached_property
+    def touched(self) -> DataFrame:
+        return growth.touches(self.relationships)
+
+    @cached_property
+    def days(self) -> DataFrame:
+        return growth.person_days(self.responses, self.votes, QUESTIONS)
+
     def growth(self, level: ops.Level, form: str = "sparse") -> DataFrame:
-        return growth.growth_series(
-            self.members,
-            self.relationships,
-            self.responses,
-            self.votes,
-            level,
-            QUESTIONS,
-            CALENDAR_START,
-            REPORT_START,
-            AS_OF,
-            form,
+        return growth.series(
+            self.members, self.touched, self.days, level, CALENDAR_START, REPORT_START, AS_OF, form
         )
 
     def topline(self, level: ops.Level) -> DataFrame:
         return topline.topline(self.growth(level), self.relationships, self.members, self.profile, level)
 
+    def store(self, *names: str) -> None:
+        """Replace shared reports by stored copies, for queries that read them repeatedly."""
+        for name in names:
+            setattr(self, name, sinks.stored(getattr(self, name), name))
+
     def scratch(self, label: str) -> str:
         return sinks.scratch(self.spark, label)
 
@@ -184,6 +188,7 @@ def csv_roundtrip(d: Data) -> DataFrame:
 
 @query
 def json_flatten(d: Data) -> DataFrame:
+    d.store("flat")
     path = d.scratch("json")
     nested.org_lines(nested.nest_networks(d.flat)).write.text(path)
     return nested.flatten_org(files.read_org(d.spark, path), AS_OF)
@@ -191,6 +196,7 @@ def json_flatten(d: Data) -> DataFrame:
 
 @query
 def json_nest(d: Data) -> DataFrame:
+    d.store("flat")
     docs = nested.org_lines(nested.nest_networks(d.flat)).select(F.from_json("value", ORG).alias("doc"))
     cms = docs.select(F.explode("doc").alias("pod", "leaders")).select("pod", F.explode("leaders").alias("leader"))
     networks_of = cms.select("pod", "leader.rmm", F.explode("leader.cms").alias("cm"))
@@ -498,6 +504,7 @@ def nonvoting_rates(d: Data) -> DataFrame:
 
 @query
 def topline_levels(d: Data) -> DataFrame:
+    d.store("members", "touched", "days", "profile")
     tops = ops.per_level(d.topline, ops.LEVELS[1:])
     keyed = [
         df.select(
@@ -676,6 +683,7 @@ def delta_sync(d: Data) -> DataFrame:
 
 @query
 def volunteer_summary(d: Data) -> DataFrame:
+    d.store("volunteers")
     docs = nested.nest_volunteers(d.volunteers)
     return nested.volunteer_summary(nested.flatten_volunteers(docs))
 
