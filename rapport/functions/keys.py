@@ -15,9 +15,7 @@ def clean_phone(phone: Column) -> Column:
     Punctuation is dropped, and so is a leading country code 1.
     """
     digits = F.regexp_replace(phone, r"\D", "")
-    local = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10))
-    local = local.otherwise(digits)
-    return F.when(F.length(local) == 10, local)
+    return F.nullif(F.regexp_extract(digits, r"^1?(\d{10})$", 1), F.lit(""))
 
 
 def full_name(first: Column, last: Column) -> Column:

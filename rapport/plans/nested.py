@@ -120,3 +120,28 @@ def volunteer_list(flat: DataFrame) -> DataFrame:
     """Every volunteer's people, by user name."""
     columns = ["reach_id", "user_id", "user_name", *VOLUNTEER_PERSON_FIELDS[1:]]
     return flat.select(*columns).orderBy("user_name", "user_id", "reach_id")
+
+
+def member_list(flat: DataFrame) -> DataFrame:
+    """Every member's people with answers, status and tier."""
+    return flat.select(
+        "user_id",
+        "voter",
+        "user_name",
+        "email_address",
+        "phone_number",
+        "date_joined",
+        "rmm",
+        "pod",
+        "support_id",
+        "support_id_numeric",
+        "vote_plan",
+        "detailed_plan",
+        "vol_ask",
+        "triplers",
+        "outreach",
+        "sos_id",
+        "voting_status",
+        "tier",
+        "tier_str",
+    )

@@ -172,3 +172,22 @@ def topline_summary(flat: DataFrame, keys: list[str]) -> DataFrame:
         .drop("_code_sum", *(["cm_days"] if "cm_days" in keys else []))
         .withColumnRenamed("_cm_days", "cm_days")
     )
+
+
+MEMBER_KEYS = [
+    "user_id",
+    "date_joined",
+    "cm_days",
+    "last_activity",
+    "user_name",
+    "email_address",
+    "phone_number",
+    "rmm",
+    "pod",
+]
+
+
+def member_summary(flat: DataFrame) -> DataFrame:
+    """Summary per member with the member's own voting status."""
+    own = flat.select("user_id", "cm_voting_status").distinct()
+    return topline_summary(flat, MEMBER_KEYS).join(own, "user_id", "left")

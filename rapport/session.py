@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call sites of column expressions are only read by error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -18,12 +18,12 @@ def scratch(spark: SparkSession, label: str) -> str:
 
     A local session without that setting (a test) gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="rapport-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rapport-"))
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/rapport/{label}-{uuid.uuid4().hex}"
 
 

@@ -115,6 +115,15 @@ class Data(Tables):
     def flat(self) -> DataFrame:
         return self.spark.sql(FLAT, relationships=self.relationships, members=self.members)
 
+    @cached_property
+    def typed_flat(self) -> DataFrame:
+        return self.flat.withColumns(
+            {
+                "support_id_numeric": fn.to_int(F.col("support_id_numeric")),
+                "cm_days": fn.days_between(F.lit(AS_OF), F.col("date_joined")),
+            }
+        )
+
     @cached_property
     def volunteers(self) -> DataFrame:
         return self.spark.sql(VOLUNTEERS, relationships=self.relationships, users=self.users)
@@ -536,12 +545,7 @@ def rollup_levels(d: Data) -> DataFrame:
 
 @query
 def topline_summary(d: Data) -> DataFrame:
-    flat = growth.with_program(d.flat).withColumns(
-        {
-            "support_id_numeric": fn.to_int(F.col("support_id_numeric")),
-            "cm_days": fn.days_between(F.lit(AS_OF), F.col("date_joined")),
-        }
-    )
+    flat = growth.with_program(d.typed_flat)
     levels = (ops.Level("cm", ("user_id", "rmm", "pod")), *ops.LEVELS[1:])
     tops = [
         topline.topline_summary(flat, list(level.keys)).select(
@@ -552,6 +556,16 @@ def topline_summary(d: Data) -> DataFrame:
     return rounded(union(tops))
 
 
+@query
+def member_summary(d: Data) -> DataFrame:
+    return rounded(topline.member_summary(d.typed_flat))
+
+
+@query
+def member_list(d: Data) -> DataFrame:
+    return nested.member_list(d.typed_flat)
+
+
 @query
 def distinct_then_sum(d: Data) -> DataFrame:
     days = fn.days_between(F.lit(AS_OF), F.col("date_joined"))
@@ -688,6 +702,11 @@ def volunteer_summary(d: Data) -> DataFrame:
     return nested.volunteer_summary(nested.flatten_volunteers(docs))
 
 
+@query
+def volunteer_list(d: Data) -> DataFrame:
+    return nested.volunteer_list(d.volunteers)
+
+
 def order_series(d: Data) -> DataFrame:
     return d.orders.groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(
         F.countDistinct("o_custkey").alias("users"),

@@ -75,9 +75,8 @@ ROLES = {
             ELSE concat('  ', n_name, ' ') END AS invite_code,
           CASE WHEN c_acctbal < -800 THEN NULL WHEN c_acctbal < -600 THEN '555-01'
             WHEN c_acctbal < 0 THEN concat('999 ', cast(1000000 + c_custkey AS varchar(20)))
-            ELSE concat('+1 (', substr(cast(4040000000 + CASE c_mktsegment WHEN 'HOUSEHOLD' THEN c_custkey - c_custkey % 2 ELSE c_custkey END AS varchar(20)), 1, 3), ') ',
-              substr(cast(4040000000 + CASE c_mktsegment WHEN 'HOUSEHOLD' THEN c_custkey - c_custkey % 2 ELSE c_custkey END AS varchar(20)), 4, 3), '-',
-              substr(cast(4040000000 + CASE c_mktsegment WHEN 'HOUSEHOLD' THEN c_custkey - c_custkey % 2 ELSE c_custkey END AS varchar(20)), 7, 4)) END AS phone_number
+            WHEN c_mktsegment = 'HOUSEHOLD' THEN concat('+1 (40) ', cast(40000000 + c_custkey - c_custkey % 2 AS varchar(20)))
+            ELSE concat('1-40.', cast(40000000 + c_custkey AS varchar(20))) END AS phone_number
         FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
     "r_leaders": """
         SELECT n_name AS invite_code, n_name AS rmm, r_name AS pod, concat(lower(n_name), '@example.org') AS rmm_email
@@ -226,15 +225,16 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
-    def base(self, name: str) -> DataFrame:
-        return self.spark.read.schema(BASE[name]).parquet(f"{self.root}/{name}.parquet")
-
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.base(name)
-        text = ROLES[f"r_{name}"]
-        used = {t: self.base(t) for t in BASE if "{" + t + "}" in text}
-        return self.spark.sql(text, **used)
+            df = self.spark.read.schema(BASE[name]).parquet(f"{self.root}/{name}.parquet")
+        elif f"r_{name}" in ROLES:
+            text = ROLES[f"r_{name}"]
+            df = self.spark.sql(text, **{t: getattr(self, t) for t in BASE if "{" + t + "}" in text})
+        else:
+            raise AttributeError(name)
+        setattr(self, name, df)
+        return df
 
 
 def role_sql(name: str) -> str:
