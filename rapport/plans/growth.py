@@ -24,8 +24,11 @@ RATES = ("voters_per_cm_week", "pct_matched_voters", "pct_ids", "pct_plans", "pc
 
 
 def with_program(members: DataFrame, program: str = "CM") -> DataFrame:
-    """Members with the constant top-level group."""
-    return members.withColumn("program", F.lit(program))
+    """Members with the constant top-level group.
+
+    Tied to the user id: joins on a bare literal would be planned without a key.
+    """
+    return members.withColumn("program", F.when(F.col("user_id").isNotNull(), program))
 
 
 def touches(edges: DataFrame) -> DataFrame:

@@ -9,13 +9,18 @@ from pyspark.sql import types as T
 from rapport.schemas import ID_LABEL, ORG, RESULTS, VOLUNTEERS
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row. Empty fields are null, quoted empty fields are ''."""
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+# Fixed value: how the statistics tools that exchange these files spell a missing value.
+MISSING = "NA"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, missing: str = MISSING) -> DataFrame:
+    """CSV with a header row. Blank fields and ``missing`` are null, quoted blanks are ''."""
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, nullValue=missing)
+
+
+def write_csv(df: DataFrame, path: str, missing: str = MISSING) -> None:
+    """CSV with a header row that keeps null (``missing``) and '' (quoted) apart."""
+    df.write.mode("overwrite").csv(path, header=True, nullValue=missing)
 
 
 def read_sheet(spark: SparkSession, path: str, view: str, schema: T.StructType) -> DataFrame:

@@ -1,0 +1,236 @@
+import datetime as dt
+import json
+
+import pytest
+from conftest import sets
+from pyspark.sql import functions as F
+
+from rapport.plans import sync
+from rapport.sources import files, sinks, tables
+from rapport.streaming.latest import read_latest, stream_latest
+from rapport.streaming.sync import LOG_SCHEMA, stream_delta
+
+TAG_IDS = {"T1": "early_voted", "T2": "ballot_mailed"}
+def order():
+    return [F.col("tag_timestamp").desc(), F.col("tag_name").desc()]
+
+
+
+@pytest.fixture
+def people(frame):
+    day = dt.date(2024, 1, 5)
+    absentee = frame(
+        "absentee",
+        [
+            dict(myv_van_id="v1", date_early_voted=day, date_ballot_mailed=day),
+            dict(myv_van_id="v2", date_ballot_mailed=day),
+            dict(myv_van_id="v3", date_ballot_mailed=day),
+            dict(myv_van_id="v4", date_request_received=day),
+            dict(myv_van_id="v5"),
+            dict(myv_van_id="v6", date_early_voted=day),
+        ],
+    )
+    file = frame("voter_file", [dict(sos_id=str(i), myv_van_id=f"v{i}") for i in range(1, 7)])
+    rows = [
+        ("r1", "GA_1", "T1", "Added", 1),
+        ("r1", "GA_1", "T1", "Removed", 2),  # the latest row counts: not present
+        ("r2", "GA_2", "T2", "Removed", 1),
+        ("r2", "GA_2", "T2", "Added", 2),  # present
+        ("r3", "GA_3", "T9", "Added", 1),  # not a status tag
+        ("r4", None, "T1", "Added", 1),
+    ]
+    tags = frame(
+        "tag_history",
+        [
+            dict(reach_id=r, state_file_id=s, tag_id=t, tag_action=a, tag_timestamp=dt.datetime(2024, 1, d))
+            for r, s, t, a, d in rows
+        ],
+    )
+    return absentee, file, tags
+
+
+def delta(people, log):
+    absentee, file, tags = people
+    return sync.status_delta(absentee, file, tags, log, TAG_IDS, order(), "GA_")
+
+
+def test_delta_uses_latest_tag_and_log(frame, people):
+    log = frame("tag_log", [dict(alloy_sos_id="GA_6", voting_status="early_voted"), dict(alloy_sos_id="GA_3", voting_status=None)])
+    expected = [("GA_1", "early_voted"), ("GA_3", "ballot_mailed"), ("GA_4", "request_received")]
+    assert sets(delta(people, log)) == expected
+
+
+def test_closed_loop_ends_with_nothing_to_send(spark, frame, people, tmp_path):
+    """Delta, batches, responses, success log, next delta: what failed is sent again, then nothing."""
+    log_path, results_path = str(tmp_path / "log"), str(tmp_path / "results")
+    log = frame("tag_log", [])
+    sinks.append_log(log, log_path)
+    sent = []
+    for attempt in range(3):
+        log = spark.read.schema(log.schema).parquet(log_path)
+        batches = sync.tag_payloads(delta(people, log), "voting_status", "alloy_sos_id", "State File ID", n=1).collect()
+        sent.append(len(batches))
+        with_failure = "GA_3" if attempt == 0 else None
+        lines = []
+        for batch in batches:
+            payload = json.loads(batch.payload_json)
+            assert payload["locked"] is True and len(payload["people"]) == batch.batch_size == 1
+            assert payload["people"][0]["action"] == "added" and payload["people"][0]["person_id_type"] == "State File ID"
+            done = [
+                {"person_id": p["person_id"], "status": "error" if p["person_id"] == with_failure else "success"}
+                for p in payload["people"]
+            ]
+            lines.append(json.dumps({"tag": payload["name"], "people": done}))
+        folder = tmp_path / "results" / str(attempt)
+        folder.mkdir(parents=True)
+        (folder / "r.json").write_text("\n".join(lines))
+        sinks.append_log(sync.successes(files.read_results(spark, f"{results_path}/{attempt}")), log_path)
+    assert sent == [4, 1, 0]
+
+
+def test_removing_is_a_payload_action(frame):
+    rows = frame("tag_log", [dict(alloy_sos_id="GA_1", voting_status="s")])
+    payload = sync.tag_payloads(rows, "voting_status", "alloy_sos_id", "id", action="removed").first().payload_json
+    assert json.loads(payload)["people"] == [{"person_id": "GA_1", "person_id_type": "id", "action": "removed"}]
+    with pytest.raises(ValueError):
+        sync.tag_payloads(rows, "voting_status", "alloy_sos_id", "id", action="other")
+
+
+def test_route_writes_one_folder_per_status(spark, frame, tmp_path):
+    rows = frame("tag_log", [dict(alloy_sos_id=str(i), voting_status="ab"[i % 2]) for i in range(5)])
+    sinks.route(rows, "voting_status", str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").glob("voting*")) == ["voting_status=a", "voting_status=b"]
+    assert sets(spark.read.schema(rows.schema).parquet(str(tmp_path / "out"))) == sets(rows)
+
+
+def test_last_label_of_a_sheet_wins(spark, tmp_path):
+    (tmp_path / "sheet.csv").write_text("id,label\n1,a\n2,a\n,b\n1,b\n")
+    sheet = files.read_id_labels(spark, str(tmp_path / "sheet.csv"))
+    assert sheet.count() == 3
+    ordered = sheet.withColumn("row", F.monotonically_increasing_id())
+    assert sets(sync.last_labels(ordered, "id", "label", [F.col("row").desc()])) == [("a", "2"), ("b", "1")]
+
+
+def test_group_payloads_tell_how_many_batches_make_a_group(spark):
+    segments = spark.range(25).select(F.col("id").alias("user_id"), F.when(F.col("id") < 22, "big").otherwise("small").alias("group_id"))
+    out = sync.group_payloads(segments, n=10).collect()
+    assert {(r.group_id, r.n_batches) for r in out} == {("big", 3), ("small", 1)}
+    users = [u["user_id"] for r in out for u in json.loads(r.payload_json)["users"]]
+    assert sorted(users) == list(range(25)) and max(r.batch_size for r in out) == 10
+
+
+# --- sources and sinks --------------------------------------------------------------------------
+
+
+def test_csv_keeps_null_and_empty_text_apart(spark, tmp_path):
+    df = spark.createDataFrame([("1", ""), ("2", None), ("3", 'a "b", c')], "id string, label string")
+    files.write_csv(df, str(tmp_path / "csv"))
+    assert sets(files.read_csv(spark, str(tmp_path / "csv"), df.schema)) == sets(df)
+    (tmp_path / "blank.csv").write_text('id,label\n1,\n2,""\n3,NA\n')
+    assert sets(files.read_csv(spark, str(tmp_path / "blank.csv"), df.schema)) == [("1", None), ("2", ""), ("3", None)]
+
+
+def test_sheet_is_also_a_view(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("id,label\n1,a\n")
+    schema = spark.createDataFrame([], "id string, label string").schema
+    files.read_sheet(spark, str(tmp_path / "s.csv"), "sheet_view", schema)
+    assert sets(spark.table("sheet_view")) == [("1", "a")]
+
+
+def test_table_scan_uses_the_declared_schema(spark, frame, tmp_path):
+    users = frame("users", [dict(user_id="1", state="GA")])
+    users.write.parquet(str(tmp_path / "users"))
+    loaded = tables.register(tables.load(spark, str(tmp_path), "users"), "loaded_users")
+    assert loaded.schema == users.schema and sets(spark.table("loaded_users")) == sets(users)
+
+
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_report_is_replaced(spark, tmp_path, kind):
+    for n in (3, 2):
+        path = sinks.write_report(spark.range(n), str(tmp_path), "r", kind)
+    assert spark.read.format(kind).option("header", True).load(path).count() == 2
+
+
+def test_saved_table_is_replaced(spark, tmp_path):
+    for n in (3, 2):
+        sinks.save_table(spark.range(n), "saved_report", str(tmp_path / "saved"))
+    assert spark.table("saved_report").count() == 2
+    spark.sql("DROP TABLE saved_report")
+
+
+def test_table_is_replaced_by_a_query_that_reads_it(spark, tmp_path):
+    root = str(tmp_path / "t")
+    sinks.replace_from_itself(spark, spark.range(3), root, "self_view")
+    for _ in range(2):
+        sinks.replace_from_itself(spark, spark.table("self_view").select((F.col("id") + 1).alias("id")), root, "self_view")
+    assert sets(spark.table("self_view")) == [(2,), (3,), (4,)]
+
+
+def test_log_by_day_and_compaction(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([("a", "s", dt.date(2024, 1, 1))], "alloy_sos_id string, voting_status string, day date")
+    sinks.append_log(rows, path, "day")
+    sinks.append_log(rows.withColumn("day", F.lit(dt.date(2024, 1, 2))), path, "day")
+    log = spark.read.schema(rows.schema).parquet(path)
+    assert log.count() == 2
+    small = sinks.compact_log(spark, log, str(tmp_path / "small"), sync.STATUS_KEYS, "compacted")
+    assert sets(small) == [("a", "s")]
+
+
+def test_scratch_and_stored_copies_lie_below_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = sinks.scratch(spark, "x"), sinks.scratch(spark, "x")
+    assert first != second and first.startswith(root)
+    copy = sinks.stored(spark.range(3), "numbers")
+    assert sets(copy) == [(0,), (1,), (2,)] and root in copy.inputFiles()[0]
+
+
+# --- streaming --------------------------------------------------------------------------------------
+
+
+def statuses(batch):
+    return batch.select("alloy_sos_id", "voting_status")
+
+
+def test_stream_sends_each_status_once(spark, frame, tmp_path):
+    inbox, log, check = (str(tmp_path / n) for n in ("in", "log", "check"))
+    present = frame("tag_log", [dict(alloy_sos_id="GA_9", voting_status="s")])
+
+    def run(*ids):
+        frame("tag_log", [dict(alloy_sos_id=i, voting_status="s") for i in ids]).coalesce(1).write.mode("append").parquet(inbox)
+        stream_delta(tables.stream(spark, inbox, present.schema), statuses, present, log, check).awaitTermination()
+        return spark.read.schema(LOG_SCHEMA).parquet(log)
+
+    assert sets(run("GA_1", "GA_1", "GA_9")) == [("GA_1", "s", 0)]
+    assert sets(run("GA_1", "GA_2")) == [("GA_1", "s", 0), ("GA_2", "s", 1)]
+
+
+def test_replayed_epoch_changes_nothing(spark, frame, tmp_path):
+    """Losing the last commit makes the stream run its last epoch again."""
+    inbox, log, check = (str(tmp_path / n) for n in ("in", "log", "check"))
+    none = frame("tag_log", [])
+
+    def run():
+        stream_delta(tables.stream(spark, inbox, none.schema), statuses, none, log, check).awaitTermination()
+        return sets(spark.read.schema(LOG_SCHEMA).parquet(log))
+
+    for day in ("a", "b"):
+        frame("tag_log", [dict(alloy_sos_id=day, voting_status="s")]).write.mode("append").parquet(inbox)
+        before = run()
+    for name in ("1", ".1.crc"):
+        (tmp_path / "check" / "commits" / name).unlink()
+    assert run() == before == [("a", "s", 0), ("b", "s", 1)]
+
+
+def test_stream_keeps_the_latest_row_and_ignores_late_ones(spark, tmp_path):
+    inbox, sink, check = (str(tmp_path / n) for n in ("in", "sink", "check"))
+    schema = "k string, ts int, id int, v string"
+
+    def run(*rows):
+        df = spark.createDataFrame(rows, schema)
+        df.coalesce(1).write.mode("append").parquet(inbox)
+        stream_latest(tables.stream(spark, inbox, df.schema), ["k"], ["ts", "id"], sink, check).awaitTermination()
+        return sets(read_latest(spark, sink, df.schema, ["k"]))
+
+    assert run(("a", 5, 1, "x"), ("a", 5, 2, "y"), ("b", 1, 3, "z")) == [("a", 5, 2, "y"), ("b", 1, 3, "z")]
+    assert run(("a", 4, 9, "late"), ("b", 2, 4, "new")) == [("a", 5, 2, "y"), ("b", 2, 4, "new")]
