@@ -29,11 +29,14 @@ def score_answers(answers: DataFrame, rules: ScoreRules) -> DataFrame:
 
 
 def latest_raw_answers(responses: DataFrame, survey_defs: DataFrame) -> DataFrame:
-    """Latest answer text per person and question; ties give the smallest text."""
-    named = responses.where("response_value IS NOT NULL").join(survey_defs, "question_id")
-    # a question may carry several names; the latest moment is per question
-    keys = ["reach_id", "question_id", "name_short"]
-    return latest_value(named, keys, "canvass_timestamp", "response_value", "min")
+    """Latest answer text per person and question; ties give the smallest text.
+
+    Answers are reduced before they meet the question names: joined first, they
+    would stay clustered by question, and one question may hold most answers.
+    """
+    answered = responses.where("response_value IS NOT NULL")
+    latest = latest_value(answered, ["reach_id", "question_id"], "canvass_timestamp", "response_value", "min")
+    return latest.join(survey_defs.select("question_id", "name_short"), "question_id")
 
 
 def latest_answers(responses: DataFrame, survey_defs: DataFrame, rules: ScoreRules) -> DataFrame:

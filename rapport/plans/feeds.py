@@ -104,7 +104,11 @@ def feed_voters(
     elections: DataFrame,
     params: VoterFeedParams,
 ) -> DataFrame:
-    """Household-expanded voters with contact data, answers, status and tier."""
+    """Household-expanded voters with contact data, answers, status and tier.
+
+    The result is distinct, so each lookup is made distinct before it is joined:
+    many equal answers of one person do not multiply.
+    """
     phones = (
         people.dropna("any", subset=["state_file_id", "phone"])
         .select(strip_prefix(F.col("state_file_id"), PREFIX_LENGTH).alias("sos_id"), "phone")
@@ -118,7 +122,7 @@ def feed_voters(
         "msq_currency",
         params.support_question,
         "support_id",
-    )
+    ).distinct()
     plan = named_answers(
         external,
         plan_names,
@@ -127,8 +131,9 @@ def feed_voters(
         "sq_currency",
         params.plan_question,
         "vote_plan",
-    )
-    volunteer = latest_by_file_id(response_list, params.volunteer_question, "vol_ask")
+    ).distinct()
+    volunteer = latest_by_file_id(response_list, params.volunteer_question, "vol_ask").distinct()
+    statuses = absentee.select("myv_van_id", raw_status().alias("voting_status")).distinct()
     past = elections.where(F.col("election_id") == params.past_election).select(
         F.col("registration_id").alias("master_registration_id")
     )
@@ -136,7 +141,7 @@ def feed_voters(
     return (
         mark_join(current, past, "master_registration_id", "voted_general")
         .join(expanded_network(edges, voter_file), "sos_id")
-        .join(absentee.select("myv_van_id", raw_status().alias("voting_status")), "myv_van_id", "left")
+        .join(statuses, "myv_van_id", "left")
         .join(phones, "sos_id", "left")
         .join(support, "myv_van_id", "left")
         .join(plan, "myv_van_id", "left")

@@ -23,25 +23,26 @@ def _trained(sheet: DataFrame, *extra: str | Column) -> DataFrame:
 
 
 def match_members(sheet: DataFrame, leaders: DataFrame, users: DataFrame) -> DataFrame:
-    """Users whose phone and leader code occur in the training sheet."""
+    """Users whose phone and leader code occur in the training sheet.
+
+    Both sides are distinct before they meet, so their join is. It is written
+    null-safe although no phone is null: rows then do not come out clustered by
+    phone, and a phone shared by very many users is split.
+    """
     trained = _trained(sheet).where("phone_number IS NOT NULL").distinct()
-    return (
-        trained.join(leaders, "invite_code")
-        .join(users.drop("invite_code"), "phone_number")
-        .select(
-            "user_id",
-            "first_name",
-            "last_name",
-            full_name(F.col("first_name"), F.col("last_name")).alias("user_name"),
-            "email_address",
-            "phone_number",
-            "date_joined",
-            "rmm",
-            "pod",
-            "rmm_email",
-        )
-        .distinct()
+    led = trained.join(leaders, "invite_code").select(
+        F.col("phone_number").alias("_phone"), "rmm", "pod", "rmm_email"
+    )
+    known = users.where("phone_number IS NOT NULL").select(
+        "user_id",
+        "first_name",
+        "last_name",
+        full_name(F.col("first_name"), F.col("last_name")).alias("user_name"),
+        "email_address",
+        "phone_number",
+        "date_joined",
     )
+    return known.distinct().join(led.distinct(), F.col("phone_number").eqNullSafe(F.col("_phone"))).drop("_phone")
 
 
 def match_errors(sheet: DataFrame, leaders: DataFrame, users: DataFrame, order_col: str) -> DataFrame:

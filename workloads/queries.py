@@ -569,7 +569,7 @@ def member_list(d: Data) -> DataFrame:
 @query
 def distinct_then_sum(d: Data) -> DataFrame:
     days = fn.days_between(F.lit(AS_OF), F.col("date_joined"))
-    rows = d.relationships.select("user_id").join(d.members, "user_id").withColumn("days", days)
+    rows = d.relationships.select("user_id").distinct().join(d.members, "user_id").withColumn("days", days)
     return ops.sum_once(rows, ["rmm", "pod"], ["user_id"], "days", "cm_days")
 
 
