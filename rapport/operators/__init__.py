@@ -8,7 +8,7 @@ from rapport.operators.grouping import (
     share_of_max,
     sum_once,
 )
-from rapport.operators.joins import anti, expand_by_shared_key, mark_join
+from rapport.operators.joins import anti, expand_by_shared_key, mark_join, split_join
 from rapport.operators.latest import (
     break_ties,
     first_answer,
@@ -42,6 +42,7 @@ __all__ = [
     "per_level",
     "pivot_answers",
     "share_of_max",
+    "split_join",
     "sum_once",
     "weighted_assign",
 ]

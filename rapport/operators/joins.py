@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def split_join(df: DataFrame, other: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Equi-join whose hot keys AQE can split; ``how`` is inner, left, left_semi or left_anti.
+
+    AQE splits a skewed partition only if both inputs come straight from a shuffle
+    made for the join and nothing after it relies on that shuffle. An input that
+    was aggregated by the same key skips the shuffle, and a later aggregate over
+    more columns reuses it. Comparing null-safe makes Spark shuffle by derived
+    columns, which rules out both. Null keys are taken from ``other`` first, so
+    they still match nothing.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    names = {k: f"_other_{k}" for k in keys}
+    right = other.dropna("any", subset=keys).withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()])
+    return df.join(right, same, how).drop(*names.values())
+
+
 def mark_join(df: DataFrame, keys_df: DataFrame, on: str, name: str) -> DataFrame:
     """Add a boolean column telling whether ``on`` occurs in ``keys_df``."""
-    known = keys_df.select(F.col(on).alias("_key")).where(F.col("_key").isNotNull()).distinct()
-    return (
-        df.join(known, F.col(on) == F.col("_key"), "left")
-        .withColumn(name, F.col("_key").isNotNull())
-        .drop("_key")
-    )
+    known = keys_df.select(on).distinct().withColumn("_known", F.lit(True))
+    marked = split_join(df, known, on, "left")
+    return marked.withColumn(name, F.col("_known").isNotNull()).drop("_known")
 
 
 def anti(df: DataFrame, keys_df: DataFrame, on: str | list[str], null_aware: bool = False) -> DataFrame:
@@ -26,7 +42,7 @@ def anti(df: DataFrame, keys_df: DataFrame, on: str | list[str], null_aware: boo
     """
     keys = [on] if isinstance(on, str) else list(on)
     right = keys_df.select(*keys)
-    kept = df.join(right.dropna("any"), keys, "left_anti")
+    kept = split_join(df, right, keys, "left_anti")
     if not null_aware:
         return kept
     (key,) = keys
@@ -43,5 +59,5 @@ def expand_by_shared_key(seed: DataFrame, base: DataFrame, id: str, shared: str)
 
     Goes through the distinct shared keys, so a crowded key never yields pairs.
     """
-    touched = base.join(seed.select(id).distinct(), id, "left_semi").select(shared).distinct()
-    return base.join(touched, shared, "left_semi").select(id).distinct()
+    touched = split_join(base, seed.select(id), id, "left_semi").select(shared).distinct()
+    return split_join(base, touched, shared, "left_semi").select(id).distinct()

@@ -16,6 +16,7 @@ from rapport.labels import (
     ACTION_TAG,
     ADDED_TAG,
 )
+from rapport.operators import split_join
 
 
 def activity_days(
@@ -120,10 +121,10 @@ def activity_feed(
     # Joining has no person: its rows skip the name join, where they would all
     # carry the same empty key.
     joined = users.select("user_id", F.col("date_joined").cast("timestamp").alias("action_timestamp"))
+    names = people.withColumnsRenamed({"first_name": "_first", "last_name": "_last"})
     columns = [*members.columns, "action_timestamp", "action", "value", "voter", "sos_id"]
     named = (
-        events.join(members, "user_id")
-        .join(people.withColumnsRenamed({"first_name": "_first", "last_name": "_last"}), "reach_id", "left")
+        split_join(split_join(events, members, "user_id"), names, "reach_id", "left")
         .withColumn("voter", full_name(F.col("_first"), F.col("_last")))
         .withColumn("sos_id", F.coalesce("sos_id", F.lit(ADDED_TAG)))
         .select(*columns)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rapport.functions import choices, choices_text
 from rapport.labels import WIDE_ANSWERS, ScoreRules
-from rapport.operators import latest_value, pivot_answers
+from rapport.operators import latest_value, pivot_answers, split_join
 
 
 def choice_score(choice: Column, rules: ScoreRules) -> Column:
@@ -36,7 +36,7 @@ def latest_raw_answers(responses: DataFrame, survey_defs: DataFrame) -> DataFram
     """
     answered = responses.where("response_value IS NOT NULL")
     latest = latest_value(answered, ["reach_id", "question_id"], "canvass_timestamp", "response_value", "min")
-    return latest.join(survey_defs.select("question_id", "name_short"), "question_id")
+    return split_join(latest, survey_defs.select("question_id", "name_short"), "question_id")
 
 
 def latest_answers(responses: DataFrame, survey_defs: DataFrame, rules: ScoreRules) -> DataFrame:
@@ -48,7 +48,7 @@ def latest_answers(responses: DataFrame, survey_defs: DataFrame, rules: ScoreRul
     latest = latest_raw_answers(responses, survey_defs)
     raw = F.col("response_value")
     shown = F.when(F.col("name_short").isin(*rules.multi_select), choices_text(raw)).otherwise(raw)
-    return latest.join(score_answers(latest, rules), "response_value", "left").select(
+    return split_join(latest, score_answers(latest, rules), "response_value", "left").select(
         F.to_date("canvass_timestamp").alias("canvass_date"),
         "canvass_timestamp",
         "reach_id",

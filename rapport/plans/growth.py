@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rapport.functions import days_between, greatest_strict, ratio
 from rapport.labels import ADDED_TAG, MATCHED_TAG, GrowthQuestions
-from rapport.operators import Level
+from rapport.operators import Level, split_join
 
 MEASURES = ("users", "voters", "matched_voters", "reach_adds", "ids", "plans", "votes")
 RATES = ("voters_per_cm_week", "pct_matched_voters", "pct_ids", "pct_plans", "pct_votes")
@@ -56,7 +56,7 @@ def group_touches(members: DataFrame, touched: DataFrame, level: Level) -> DataF
     """One row per (keys, person): the first day inside the group, and its tags."""
     columns = ("first_day", "first_ts", "matched_ts", "added_ts")
     keyed = members.select("user_id", *[k for k in level.keys if k != "user_id"]).distinct()
-    rows = touched.join(keyed, "user_id")
+    rows = split_join(touched, keyed, "user_id")
     if "user_id" not in level.keys:  # else there is one row per (keys, person) already
         rows = rows.groupBy(*level.keys, "reach_id").agg(*[F.min(c).alias(c) for c in columns])
     return rows.select(
@@ -93,7 +93,7 @@ def person_days(responses: DataFrame, votes: DataFrame, questions: GrowthQuestio
 
 def daily_counts(members: DataFrame, touched: DataFrame, days: DataFrame, level: Level) -> DataFrame:
     """New counts per (keys, day); null where a measure has nothing that day."""
-    people = group_touches(members, touched, level).join(days, "reach_id", "left")
+    people = split_join(group_touches(members, touched, level), days, "reach_id", "left")
     first = F.col("first_day")
 
     def mark(day: Column, **hits: Column) -> Column:

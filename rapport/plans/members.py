@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rapport.functions import clean_phone, full_name
+from rapport.operators import split_join
 
 # The first reason that applies is reported.
 BAD_PHONE = "Invalid phone number."
@@ -25,15 +26,11 @@ def _trained(sheet: DataFrame, *extra: str | Column) -> DataFrame:
 def match_members(sheet: DataFrame, leaders: DataFrame, users: DataFrame) -> DataFrame:
     """Users whose phone and leader code occur in the training sheet.
 
-    Both sides are distinct before they meet, so their join is. It is written
-    null-safe although no phone is null: rows then do not come out clustered by
-    phone, and a phone shared by very many users is split.
+    Both sides are distinct before they meet, so their join is.
     """
     trained = _trained(sheet).where("phone_number IS NOT NULL").distinct()
-    led = trained.join(leaders, "invite_code").select(
-        F.col("phone_number").alias("_phone"), "rmm", "pod", "rmm_email"
-    )
-    known = users.where("phone_number IS NOT NULL").select(
+    led = split_join(trained, leaders, "invite_code").select("phone_number", "rmm", "pod", "rmm_email")
+    known = users.select(
         "user_id",
         "first_name",
         "last_name",
@@ -42,7 +39,7 @@ def match_members(sheet: DataFrame, leaders: DataFrame, users: DataFrame) -> Dat
         "phone_number",
         "date_joined",
     )
-    return known.distinct().join(led.distinct(), F.col("phone_number").eqNullSafe(F.col("_phone"))).drop("_phone")
+    return split_join(known.distinct(), led.distinct(), "phone_number")
 
 
 def match_errors(sheet: DataFrame, leaders: DataFrame, users: DataFrame, order_col: str) -> DataFrame:
@@ -68,8 +65,7 @@ def match_errors(sheet: DataFrame, leaders: DataFrame, users: DataFrame, order_c
         .when(F.col("shared").isNotNull(), SHARED_PHONE)
     )
     return (
-        trained.join(codes, "invite_code", "left")
-        .join(phones, "phone_number", "left")
+        split_join(split_join(trained, codes, "invite_code", "left"), phones, "phone_number", "left")
         .where("has_code IS NULL OR has_user IS NULL OR shared IS NOT NULL")
         .orderBy(F.col(order_col).desc())
         .select(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rapport.labels import HAS_VOTED
+from rapport.operators import split_join
 
 TIERS = (1, 2, 3, 4)
 
@@ -67,8 +68,7 @@ def network_scores(
     )
     people = tier_counts(tiers, voter_file, crosswalk).join(open_people, "reach_id", "left_semi")
     return (
-        active_pairs(edges)
-        .join(people, "reach_id")
+        split_join(active_pairs(edges), people, "reach_id")
         .groupBy("user_id")
         .agg(
             *[F.sum(f"tier{t}").alias(f"tier{t}") for t in TIERS],

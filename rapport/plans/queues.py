@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rapport.functions import full_name
 from rapport.labels import ADDED_TAG, HAS_VOTED, MATCHED_TAG, NEEDS_TO_VOTE, TIER_TEXT, VOTED_RAW
-from rapport.operators import anti, mark_join
+from rapport.operators import anti, mark_join, split_join
 
 
 def tier_text(tier: Column) -> Column:
@@ -41,8 +41,7 @@ def work_queue(
     sort_1 = F.when(status_text == HAS_VOTED, 10).when(status_text.isNull(), 5).otherwise(0)
     sort_2 = F.when(code.isin(1, 2), 10).when(code == 3, 5).when(code.isNull(), 3).otherwise(1)
     return (
-        pairs.join(members, "user_id")
-        .join(known, "reach_id", "left")
+        split_join(split_join(pairs, members, "user_id"), known, "reach_id", "left")
         .withColumns(
             {
                 "tier_str": tier_text(F.col("tier")),
@@ -92,8 +91,7 @@ def volunteer_people(edges: DataFrame, members: DataFrame, wide: DataFrame, stat
     ).distinct()
     # both sides are distinct, and so is the result
     return (
-        anti(listed, members, "user_id")
-        .join(known, "reach_id", "left")
+        split_join(anti(listed, members, "user_id"), known, "reach_id", "left")
         .where(raw.isNull() | ~raw.isin(*VOTED_RAW))
         .select(
             "reach_id",

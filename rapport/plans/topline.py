@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rapport.functions import ratio
 from rapport.labels import ADDED_TAG, HAS_VOTED, UNMATCHED_PRIORITY, UNMATCHED_STATUS
-from rapport.operators import Level, latest_one
+from rapport.operators import Level, latest_one, split_join
 from rapport.plans.growth import with_program
 from rapport.plans.networks import TIERS, active_pairs, nonvoting_flag, tier_counts
 
@@ -17,7 +17,7 @@ SUPPORT_NAMES = {1: "ones", 2: "twos", 3: "threes", 4: "fours", 5: "fives"}
 def group_people(edges: DataFrame, members: DataFrame, level: Level) -> DataFrame:
     """Distinct (keys, reach_id) over active relationships of members."""
     keyed = with_program(members).select("user_id", *[k for k in level.keys if k != "user_id"]).distinct()
-    pairs = active_pairs(edges).join(keyed, "user_id").select(*level.keys, "reach_id")
+    pairs = split_join(active_pairs(edges), keyed, "user_id").select(*level.keys, "reach_id")
     # at user level both sides, and so their join, are distinct already
     return pairs if "user_id" in level.keys else pairs.distinct()
 
@@ -94,7 +94,7 @@ def group_figures(people: DataFrame, keys: list[str]) -> DataFrame:
 def topline(growth: DataFrame, edges: DataFrame, members: DataFrame, profile: DataFrame, level: Level) -> DataFrame:
     """Last growth day of each group with its support, open-vote and tier figures."""
     keys = list(level.keys)
-    people = group_people(edges, members, level).join(profile, "reach_id", "left")
+    people = split_join(group_people(edges, members, level), profile, "reach_id", "left")
     last = latest_one(growth, keys, [F.col("day").desc()])
     return last.join(group_figures(people, keys), keys, "left")
 

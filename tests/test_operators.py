@@ -156,3 +156,33 @@ def test_weights_are_followed(spark):
     out = ops.weighted_assign(spark.range(5000), "id", {"a": 3, "b": 1, "none": 0}, "w", 2)
     counts = {r["w"]: r["count"] for r in out.groupBy("w").count().collect()}
     assert set(counts) == {"a", "b"} and abs(counts["a"] / 5000 - 0.75) < 0.03
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_split_join_is_an_equi_join(spark, how):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "d")], "k int, v string")
+    right = spark.createDataFrame([(2, "x"), (2, "y"), (None, "z"), (3, "w")], "k int, o string")
+    assert sets(ops.split_join(left, right, "k", how)) == sets(left.join(right, "k", how))
+
+
+def test_hot_key_is_split_although_the_other_side_was_aggregated(spark, shuffled_joins):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id"))
+        edges = spark.range(0, 60000, 1, 16).select("id", hot.alias("k"))
+        summary = edges.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        joined = ops.split_join(edges, summary, "k").groupBy("k", "id").agg(F.max("n").alias("n"))
+        assert joined.collect() and "skew=true" in plan_of(joined)
+        plain = edges.join(summary, "k").groupBy("k", "id").agg(F.max("n").alias("n"))
+        assert plain.collect() and "skew=true" not in plan_of(plain)
+        assert sets(joined) == sets(plain)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
