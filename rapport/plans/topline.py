@@ -123,12 +123,25 @@ def member_topline(
     )
 
 
-def topline_summary(flat: DataFrame, keys: list[str]) -> DataFrame:
-    """Broad conditional summary of flat member/person rows.
+SUMMARY_MEASURES = [
+    "matched_voters",
+    "reach_adds",
+    "ids",
+    "plans",
+    "votes",
+    *[f"support_id_{name}" for name in SUPPORT_NAMES.values()],
+    "num_nonvoting_voters",
+    "nonvoting_support_ids",
+    "nonvoting_plans",
+    *[f"tier{t}" for t in TIERS],
+    "code_sum",
+]
+
 
-    Rows are first counted per (keys, user, member-days): that counts users and
-    adds each user's member-days once without a second pass, and splits a hot
-    group over its users. A null comparison counts as false.
+def summary_counts(flat: DataFrame, keys: list[str]) -> DataFrame:
+    """Conditional counts of flat rows per (keys, user, member-days).
+
+    Splits a hot group over its users. A null comparison counts as false.
     """
     code = F.col("support_id_numeric")
     matched, added = F.col("sos_id") != ADDED_TAG, F.col("sos_id") == ADDED_TAG
@@ -146,34 +159,52 @@ def topline_summary(flat: DataFrame, keys: list[str]) -> DataFrame:
         "nonvoting_plans": open_vote & planned,
         **{f"tier{t}": F.col("tier") == str(t) for t in TIERS},
     }
-    per_user = flat.groupBy(*dict.fromkeys((*keys, "user_id", "cm_days"))).agg(
-        *[F.count_if(cond).alias(name) for name, cond in counts.items()], F.sum(code).alias("_code_sum")
+    return flat.groupBy(*dict.fromkeys((*keys, "user_id", "cm_days"))).agg(
+        *[F.count_if(cond).alias(name) for name, cond in counts.items()], F.sum(code).alias("code_sum")
     )
+
+
+def summarise(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Summary per group from ``summary_counts`` by the same or more keys.
+
+    Counts are brought to one row per (keys, user, member-days) first, so a user's
+    member-days are added once.
+    """
+    unit = list(dict.fromkeys((*keys, "user_id", "cm_days")))
+    numbers = SUMMARY_MEASURES
+    per_user = counts.groupBy(*unit).agg(*[F.sum(c).alias(c) for c in numbers])
     c = F.col
-    # a user listed with two join dates has two rows here
     return (
         per_user.groupBy(*keys)
         .agg(
             F.countDistinct("user_id").alias("users"),
-            *[F.sum(name).alias(name) for name in counts],
-            F.sum("_code_sum").alias("_code_sum"),
+            *[F.sum(name).alias(name) for name in numbers],
             F.sum("cm_days").alias("_cm_days"),
         )
         .withColumns(
             {
                 "pct_votes": ratio(c("votes"), c("matched_voters")),
                 "pct_matched_voters": ratio(c("matched_voters"), c("matched_voters") + c("reach_adds")),
-                "avg_support_id": ratio(c("_code_sum"), c("ids")),
+                "avg_support_id": ratio(c("code_sum"), c("ids")),
                 "pct_nonvoting_support_ids": ratio(c("nonvoting_support_ids"), c("num_nonvoting_voters")),
                 "pct_nonvoting_plans": ratio(c("nonvoting_plans"), c("num_nonvoting_voters")),
                 "voters_per_cm_week": ratio(c("matched_voters"), c("_cm_days")) * 7,
             }
         )
-        .drop("_code_sum", *(["cm_days"] if "cm_days" in keys else []))
+        .drop("code_sum", *(["cm_days"] if "cm_days" in keys else []))
         .withColumnRenamed("_cm_days", "cm_days")
     )
 
 
+def topline_summary(flat: DataFrame, keys: list[str]) -> DataFrame:
+    """Broad conditional summary of flat member/person rows.
+
+    For several levels, store ``summary_counts`` by all their keys once and
+    ``summarise`` it per level.
+    """
+    return summarise(summary_counts(flat, keys), keys)
+
+
 MEMBER_KEYS = [
     "user_id",
     "date_joined",

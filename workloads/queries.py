@@ -545,10 +545,11 @@ def rollup_levels(d: Data) -> DataFrame:
 
 @query
 def topline_summary(d: Data) -> DataFrame:
-    flat = growth.with_program(d.typed_flat)
     levels = (ops.Level("cm", ("user_id", "rmm", "pod")), *ops.LEVELS[1:])
+    counts = topline.summary_counts(growth.with_program(d.typed_flat), ["rmm", "pod", "program"])
+    counts = sinks.stored(counts, "summary-counts")
     tops = [
-        topline.topline_summary(flat, list(level.keys)).select(
+        topline.summarise(counts, list(level.keys)).select(
             F.lit(level.name).alias("level"), F.concat_ws("|", *level.keys).alias("group_key"), "*"
         ).drop(*level.keys)
         for level in levels
