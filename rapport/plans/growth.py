@@ -11,6 +11,7 @@ is.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,10 +69,22 @@ def group_touches(members: DataFrame, touched: DataFrame, level: Level) -> DataF
     )
 
 
+# kinds of marks a person leaves on the calendar of a group
+TOUCHED, ANSWERED, PLANNED, VOTED = range(4)
+
+
+def _mark(day: Column, kind: int, next_day: Column | None = None) -> Column:
+    unset = F.lit(None).cast("date")
+    return F.struct(
+        day.alias("day"), (unset if next_day is None else next_day).alias("next_day"), F.lit(kind).alias("kind")
+    )
+
+
 def person_days(responses: DataFrame, votes: DataFrame, questions: GrowthQuestions) -> DataFrame:
-    """One row per person: first answer day per question, and the vote days.
+    """One row per person with its marks: first answer day per question, and vote days.
 
-    Vote days are distinct calendar days, so the array is bounded by the calendar.
+    Vote days are distinct and know the next one, so a person's marks are bounded by
+    the calendar.
     """
     ts, complete = F.col("canvass_timestamp"), F.col("response_id").isNotNull()
 
@@ -86,37 +99,46 @@ def person_days(responses: DataFrame, votes: DataFrame, questions: GrowthQuestio
         responses.where(F.col("question_name").isin(questions.support, questions.plan))
         .groupBy("reach_id")
         .agg(first_day(questions.support).alias("id_day"), first_day(questions.plan).alias("plan_day"))
+        .select(
+            "reach_id", F.array(_mark(F.col("id_day"), ANSWERED), _mark(F.col("plan_day"), PLANNED)).alias("answers")
+        )
     )
-    voted = votes.groupBy("reach_id").agg(F.collect_set("date_voted").alias("vote_days"))
-    return answered.join(voted, "reach_id", "full")
+    following = F.lead("date_voted").over(Window.partitionBy("reach_id").orderBy("date_voted"))
+    voted = (
+        votes.select("reach_id", "date_voted", following.alias("next_day"))
+        .groupBy("reach_id")
+        .agg(F.collect_list(_mark(F.col("date_voted"), VOTED, F.col("next_day"))).alias("votes"))
+    )
+    return answered.join(voted, "reach_id", "full").select(
+        "reach_id", F.concat(*[F.coalesce(c, F.array().cast(MARKS)) for c in ("answers", "votes")]).alias("marks")
+    )
+
+
+MARKS = "array<struct<day:date,next_day:date,kind:int>>"
 
 
 def daily_counts(members: DataFrame, touched: DataFrame, days: DataFrame, level: Level) -> DataFrame:
     """New counts per (keys, day); null where a measure has nothing that day."""
     people = split_join(group_touches(members, touched, level), days, "reach_id", "left")
     first = F.col("first_day")
-
-    def mark(day: Column, **hits: Column) -> Column:
-        return F.struct(
-            day.alias("day"),
-            *[hits.get(m, F.lit(False)).alias(m) for m in MEASURES[1:]],
-        )
-
-    yes = F.lit(True)
-    vote_days = F.array_distinct(F.transform(F.col("vote_days"), lambda d: greatest_strict(first, d)))
-    marks = F.concat(
-        F.array(
-            mark(first, voters=yes, matched_voters=F.col("is_matched"), reach_adds=F.col("is_added")),
-            mark(F.col("id_day"), ids=yes),
-            mark(F.col("plan_day"), plans=yes),
-        ),
-        F.transform(F.coalesce(vote_days, F.array().cast("array<date>")), lambda d: mark(d, votes=yes)),
-    )
+    marks = F.concat(F.array(_mark(first, TOUCHED)), F.coalesce("marks", F.array().cast(MARKS)))
+    marked = people.select(*level.keys, "first_day", "is_matched", "is_added", F.explode(marks).alias("m"))
+    kind, day, next_day = F.col("m.kind"), F.col("m.day"), F.col("m.next_day")
+    # A vote counts on the later of its day and the first touch. Of several votes
+    # before the touch, which all fall on the same day, only the last is kept.
     counted = (
-        people.select(*level.keys, F.explode(marks).alias("m"))
-        .where("m.day IS NOT NULL")
-        .groupBy(*level.keys, F.col("m.day").alias("day"))
-        .agg(*[F.count_if(f"m.{m}").alias(m) for m in MEASURES[1:]])
+        marked.where((kind != VOTED) | (day > first) | next_day.isNull() | (next_day > first))
+        .withColumn("day", F.when(kind == VOTED, greatest_strict(first, day)).otherwise(day))
+        .where("day IS NOT NULL")
+        .groupBy(*level.keys, "day")
+        .agg(
+            F.count_if(kind == TOUCHED).alias("voters"),
+            F.count_if((kind == TOUCHED) & F.col("is_matched")).alias("matched_voters"),
+            F.count_if((kind == TOUCHED) & F.col("is_added")).alias("reach_adds"),
+            F.count_if(kind == ANSWERED).alias("ids"),
+            F.count_if(kind == PLANNED).alias("plans"),
+            F.count_if(kind == VOTED).alias("votes"),
+        )
         .withColumn("users", F.lit(0).cast("bigint"))
     )
     joined = (
@@ -220,9 +242,25 @@ def series(
     """The growth series from ``touches`` and ``person_days``, which all levels share:
     store them once when building several levels."""
     members = with_program(members)
-    daily = daily_counts(members, touched, days, level)
+    inner = Level(level.name, ("user_id",)) if "user_id" in level.keys else level
+    daily = daily_counts(members, touched, days, inner)
     totals = {"sparse": sparse_totals, "dense": dense_totals}[form]
-    return with_today(growth_rates(totals(members, daily, level, start, report_start, as_of)), level, as_of)
+    out = with_today(growth_rates(totals(members, daily, inner, start, report_start, as_of)), inner, as_of)
+    return out if inner == level else _with_user_columns(out, members, level)
+
+
+def _with_user_columns(per_user: DataFrame, members: DataFrame, level: Level) -> DataFrame:
+    """Attach a user level's other keys to a series built by user id alone.
+
+    A user listed under two leaders has the same series twice. A group with a null
+    key has no figures, as a null key matches nothing.
+    """
+    groups = members.select(*level.keys).distinct()
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in level.keys])
+    figures = [c for c in per_user.columns if c not in ("user_id", "day")]
+    return per_user.join(groups, "user_id").select(
+        *level.keys, "day", *[F.when(known, F.col(c)).alias(c) for c in figures]
+    )
 
 
 def growth_series(
