@@ -96,6 +96,10 @@ TABLES: dict[str, T.StructType] = {
     "crosswalk": struct(**_text("reach_id sos_id")),
     "training_tracker": struct(**_text("invite_code phone_number cm_name email_address")),
     "leader_codes": struct(**_text("invite_code rmm pod rmm_email")),
+    "support_names": struct(
+        **_text("master_survey_question_id master_survey_response_id master_survey_response_name")
+    ),
+    "plan_names": struct(**_text("survey_question_id survey_response_id survey_response_name")),
     "phone_numbers": struct(**_text("myv_van_id phone_number")),
 }
 

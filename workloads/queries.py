@@ -10,24 +10,10 @@ from pyspark.sql import functions as F
 
 import rapport.functions as fn
 from rapport import operators as ops
-from rapport.labels import STATUS_STEPS, GrowthQuestions, ScoreRules, SupportCodes, TierRules
-from rapport.plans import (
-    activity,
-    answers,
-    feeds,
-    growth,
-    lists,
-    members,
-    nested,
-    networks,
-    queues,
-    status,
-    sync,
-    templates,
-    tiers,
-    topline,
-)
-from rapport.schemas import ORG, struct
+from rapport.labels import STATUS_STEPS, GrowthQuestions, ScoreRules, SupportCodes
+from rapport.plans import answers, feeds, growth, nested, status, sync, templates, tiers, topline
+from rapport.reports import Params, Reports
+from rapport.schemas import ORG, TABLES
 from rapport.sources import files, sinks, tables
 from rapport.streaming.latest import read_latest, stream_latest
 from rapport.streaming.sync import LOG_SCHEMA, stream_delta
@@ -42,78 +28,58 @@ SCORES = ScoreRules(
 )
 SURVEY_DEFS = [("purchase", "ID"), ("signup", "Plan"), ("click", "Vol Ask"), ("error", "Detailed Plan")]
 CODES = SupportCodes(questions=("error",), support=("r0",), undecided=("r1",), against=("r2",))
-TIER_RULES = TierRules(codes=CODES)
-QUESTIONS = GrowthQuestions(support="purchase", plan="signup")
-QUESTION_LABELS = {"purchase": "(1) Support ID", "signup": "(2) Vote Plan", "click": "(3) Vol Ask"}
-TAG_IDS = {"t0": "early_voted", "t1": "ballot_received", "t2": "ballot_mailed", "t3": "request_received"}
-GROUPS = {"member": "group-members", "out_of_state": "group-out-of-state", "everyone_else": "group-others"}
 RESPONSE_NAMES = [(question, f"r{n}", f"{question} answer {n}") for question in ("error", "signup") for n in range(5)]
-VOTER_FEED = feeds.VoterFeedParams("error", "signup", "click", "purchase")
+PARAMS = Params(
+    as_of=AS_OF,
+    calendar_start=CALENDAR_START,
+    report_start=REPORT_START,
+    scores=SCORES,
+    codes=CODES,
+    questions=GrowthQuestions(support="purchase", plan="signup"),
+    question_labels={"purchase": "(1) Support ID", "signup": "(2) Vote Plan", "click": "(3) Vol Ask"},
+    tag_ids={"t0": "early_voted", "t1": "ballot_received", "t2": "ballot_mailed", "t3": "request_received"},
+    groups={"member": "group-members", "out_of_state": "group-out-of-state", "everyone_else": "group-others"},
+    voter_feed=feeds.VoterFeedParams("error", "signup", "click", "purchase"),
+    home_state=HOME_STATE,
+    uncontactable_tag="t4",
+    note_category="User ID",
+    tag_order=("tag_timestamp", "event_id"),
+)
+# input tables whose role has another name
+ROLE_OF = {
+    "training_tracker": "training",
+    "leader_codes": "leaders",
+    "external_responses": "external",
+    "person_records": "records",
+    "phone_numbers": "phones",
+    "election_voted": "election",
+    "response_list": "responses",
+}
+LITERALS = {"survey_defs": SURVEY_DEFS, "support_names": RESPONSE_NAMES, "plan_names": RESPONSE_NAMES}
 RMM, POD, PROGRAM = ops.LEVELS[1], ops.LEVELS[2], ops.LEVELS[3]
 
 
-class Data(Tables):
-    """Roles plus the reports other reports build on."""
+class Data(Reports):
+    """The reports over the roles of one data folder."""
 
     def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark, root)
-        self.spark = spark
+        self.spark, self.root, self.roles = spark, root, Tables(spark, root)
+        super().__init__(self.role, PARAMS)
 
-    def literal(self, rows: list[tuple], **columns: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, struct(**columns))
-
-    @cached_property
-    def members(self) -> DataFrame:
-        return members.match_members(self.training, self.leaders, self.users)
+    def role(self, name: str) -> DataFrame:
+        if name in LITERALS:
+            return self.spark.createDataFrame(LITERALS[name], TABLES[name])
+        return getattr(self.roles, ROLE_OF.get(name, name))
 
-    @cached_property
-    def status(self) -> DataFrame:
-        return status.vote_status(self.crosswalk, self.voter_file, self.absentee)
-
-    @cached_property
-    def survey_defs(self) -> DataFrame:
-        return self.literal(SURVEY_DEFS, question_id="string", name_short="string")
-
-    @cached_property
-    def answers(self) -> DataFrame:
-        return answers.latest_answers(self.responses, self.survey_defs, SCORES)
-
-    @cached_property
-    def wide(self) -> DataFrame:
-        return answers.wide_answers(self.answers)
-
-    @cached_property
-    def tiers(self) -> DataFrame:
-        return tiers.voter_tiers(
-            self.voter_file, self.absentee, self.scores, self.external, self.answers, self.crosswalk, TIER_RULES
-        )
-
-    @cached_property
-    def votes(self) -> DataFrame:
-        return status.vote_days(self.crosswalk, self.voter_file, self.absentee)
-
-    @cached_property
-    def id_crosswalk(self) -> DataFrame:
-        return lists.id_crosswalk(self.notes, self.records, "User ID")
-
-    @cached_property
-    def profile(self) -> DataFrame:
-        return topline.person_profile(self.status, self.wide, self.tiers, self.voter_file, self.crosswalk)
-
-    @cached_property
-    def activity(self) -> DataFrame:
-        days = activity.activity_days(
-            self.users, self.contact_actions, self.relationships, self.responses, self.tag_history
-        )
-        return activity.last_activity(days, AS_OF)
-
-    @cached_property
-    def segments(self) -> DataFrame:
-        return lists.user_segments(self.users, self.members, HOME_STATE, GROUPS)
+    def __getattr__(self, name: str) -> DataFrame:
+        # only reached for names that are no report: a given table or a role
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return self.table(name)
 
     @cached_property
     def flat(self) -> DataFrame:
-        return self.spark.sql(FLAT, relationships=self.relationships, members=self.members)
+        return self.spark.sql(FLAT, relationships=self.table("relationships"), members=self.members)
 
     @cached_property
     def typed_flat(self) -> DataFrame:
@@ -126,38 +92,7 @@ class Data(Tables):
 
     @cached_property
     def volunteers(self) -> DataFrame:
-        return self.spark.sql(VOLUNTEERS, relationships=self.relationships, users=self.users)
-
-    @property
-    def tag_order(self) -> list:
-        return [F.col("tag_timestamp").desc(), F.col("event_id").desc()]
-
-    @cached_property
-    def delta(self) -> DataFrame:
-        return sync.status_delta(
-            self.absentee, self.voter_file, self.tag_history, self.tag_log, TAG_IDS, self.tag_order, PREFIX
-        )
-
-    @cached_property
-    def touched(self) -> DataFrame:
-        return growth.touches(self.relationships)
-
-    @cached_property
-    def days(self) -> DataFrame:
-        return growth.person_days(self.responses, self.votes, QUESTIONS)
-
-    def growth(self, level: ops.Level, form: str = "sparse") -> DataFrame:
-        return growth.series(
-            self.members, self.touched, self.days, level, CALENDAR_START, REPORT_START, AS_OF, form
-        )
-
-    def topline(self, level: ops.Level) -> DataFrame:
-        return topline.topline(self.growth(level), self.relationships, self.members, self.profile, level)
-
-    def store(self, *names: str) -> None:
-        """Replace shared reports by stored copies, for queries that read them repeatedly."""
-        for name in names:
-            setattr(self, name, sinks.stored(getattr(self, name), name))
+        return self.spark.sql(VOLUNTEERS, relationships=self.table("relationships"), users=self.table("users"))
 
     def scratch(self, label: str) -> str:
         return sinks.scratch(self.spark, label)
@@ -313,22 +248,12 @@ def last_activity(d: Data) -> DataFrame:
 
 @query
 def people_union(d: Data) -> DataFrame:
-    return activity.people_union(d.crosswalk, d.voter_file, d.relationships, d.contact_actions)
+    return d.people
 
 
 @query
 def activity_feed(d: Data) -> DataFrame:
-    feed = activity.activity_feed(
-        d.members,
-        d.users,
-        d.contact_actions,
-        d.relationships,
-        d.responses,
-        d.tag_history,
-        people_union(d),
-        QUESTION_LABELS,
-    )
-    return feed.select(
+    return d.activity_feed().select(
         "user_id",
         "user_name",
         "rmm",
@@ -347,7 +272,7 @@ def activity_feed(d: Data) -> DataFrame:
 
 @query
 def match_errors(d: Data) -> DataFrame:
-    return members.match_errors(d.training, d.leaders, d.users, "row_no")
+    return d.match_errors()
 
 
 @query
@@ -418,20 +343,19 @@ def voter_tiers(d: Data) -> DataFrame:
 
 @query
 def support_full(d: Data) -> DataFrame:
-    return lists.support_scores(d.external, d.scores, CODES)
+    return d.support
 
 
 @query
 def network_scores(d: Data) -> DataFrame:
-    return networks.network_scores(d.relationships, d.crosswalk, d.voter_file, d.absentee, d.tiers)
+    return d.network_scores()
 
 
 @query
 def answer_names(d: Data) -> DataFrame:
-    names = support_names(d)
     return feeds.named_answers(
         d.external,
-        names,
+        d.support_names,
         "master_survey_question_id",
         "master_survey_response_id",
         "msq_currency",
@@ -440,21 +364,6 @@ def answer_names(d: Data) -> DataFrame:
     )
 
 
-def support_names(d: Data) -> DataFrame:
-    return d.literal(
-        RESPONSE_NAMES,
-        master_survey_question_id="string",
-        master_survey_response_id="string",
-        master_survey_response_name="string",
-    )
-
-
-def plan_names(d: Data) -> DataFrame:
-    return d.literal(
-        RESPONSE_NAMES, survey_question_id="string", survey_response_id="string", survey_response_name="string"
-    )
-
-
 # --- growth and topline ----------------------------------------------------------------------
 
 
@@ -528,8 +437,7 @@ def topline_levels(d: Data) -> DataFrame:
 
 @query
 def member_enriched(d: Data) -> DataFrame:
-    top = topline.member_topline(d.topline(ops.LEVELS[0]), d.status, d.id_crosswalk, d.activity)
-    return rounded(top)
+    return rounded(d.member_topline())
 
 
 @query
@@ -599,7 +507,7 @@ def null_audit(d: Data) -> DataFrame:
 
 @query
 def latest_tag(d: Data) -> DataFrame:
-    return sync.latest_tags(d.tag_history, d.tag_order).select(
+    return sync.latest_tags(d.tag_history, d.tag_order()).select(
         "reach_id", "tag_id", "event_id", "state_file_id", "tag_action", "tag_date"
     )
 
@@ -609,18 +517,17 @@ def latest_tag(d: Data) -> DataFrame:
 
 @query
 def work_queue(d: Data) -> DataFrame:
-    person_tier = networks.tier_by_person(d.tiers, d.voter_file, d.crosswalk)
-    return queues.work_queue(d.relationships, d.members, d.wide, d.status, person_tier)
+    return d.work_queue()
 
 
 @query
 def non_member_users(d: Data) -> DataFrame:
-    return queues.volunteer_users(d.users, d.members, d.relationships, d.status)
+    return d.volunteer_users()
 
 
 @query
 def non_member_people(d: Data) -> DataFrame:
-    return queues.volunteer_people(d.relationships, d.members, d.wide, d.status)
+    return d.volunteer_people()
 
 
 @query
@@ -630,7 +537,7 @@ def id_crosswalk(d: Data) -> DataFrame:
 
 @query
 def not_enrolled(d: Data) -> DataFrame:
-    return lists.not_enrolled(d.users, d.notes, "User ID")
+    return d.not_enrolled()
 
 
 @query
@@ -640,20 +547,17 @@ def user_segments(d: Data) -> DataFrame:
 
 @query
 def uncontactable(d: Data) -> DataFrame:
-    support = lists.support_scores(d.external, d.scores, CODES)
-    return lists.uncontactable(
-        d.status, d.voter_file, d.crosswalk, d.phones, support, d.tag_history, "t4", PREFIX
-    )
+    return d.uncontactable()
 
 
 @query
 def strip_prefix(d: Data) -> DataFrame:
-    return feeds.feed_relationships(d.relationships)
+    return d.feed_relationships()
 
 
 @query
 def email_users(d: Data) -> DataFrame:
-    return feeds.feed_users(d.users, d.relationships, d.id_crosswalk, d.members)
+    return d.feed_users()
 
 
 @query
@@ -672,20 +576,7 @@ def mark_flag(d: Data) -> DataFrame:
 
 @query
 def email_voters(d: Data) -> DataFrame:
-    return feeds.feed_voters(
-        d.relationships,
-        d.voter_file,
-        d.absentee,
-        d.people,
-        d.external,
-        support_names(d),
-        plan_names(d),
-        d.responses,
-        d.tiers,
-        d.scores,
-        d.election,
-        VOTER_FEED,
-    )
+    return d.feed_voters()
 
 
 @query
@@ -790,7 +681,7 @@ def stream_delta_sync(d: Data) -> DataFrame:
         )
         return sync.current_statuses(rows, d.voter_file, PREFIX)
 
-    present = sync.present_statuses(d.tag_history, d.tag_log, TAG_IDS, d.tag_order)
+    present = sync.present_statuses(d.tag_history, d.tag_log, PARAMS.tag_ids, d.tag_order())
     stream_delta(source, statuses, present, log_path, checkpoint).awaitTermination()
     return d.spark.read.schema(LOG_SCHEMA).parquet(log_path).drop("epoch")
 
