@@ -11,7 +11,6 @@ is.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -242,7 +241,7 @@ def series(
     """The growth series from ``touches`` and ``person_days``, which all levels share:
     store them once when building several levels."""
     members = with_program(members)
-    inner = Level(level.name, ("user_id",)) if "user_id" in level.keys else level
+    inner = level.narrow
     daily = daily_counts(members, touched, days, inner)
     totals = {"sparse": sparse_totals, "dense": dense_totals}[form]
     out = with_today(growth_rates(totals(members, daily, inner, start, report_start, as_of)), inner, as_of)
@@ -256,7 +255,7 @@ def _with_user_columns(per_user: DataFrame, members: DataFrame, level: Level) ->
     key has no figures, as a null key matches nothing.
     """
     groups = members.select(*level.keys).distinct()
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in level.keys])
+    known = level.all_known()
     figures = [c for c in per_user.columns if c not in ("user_id", "day")]
     return per_user.join(groups, "user_id").select(
         *level.keys, "day", *[F.when(known, F.col(c)).alias(c) for c in figures]

@@ -93,10 +93,12 @@ def group_figures(people: DataFrame, keys: list[str]) -> DataFrame:
 
 def topline(growth: DataFrame, edges: DataFrame, members: DataFrame, profile: DataFrame, level: Level) -> DataFrame:
     """Last growth day of each group with its support, open-vote and tier figures."""
-    keys = list(level.keys)
-    people = split_join(group_people(edges, members, level), profile, "reach_id", "left")
-    last = latest_one(growth, keys, [F.col("day").desc()])
-    return last.join(group_figures(people, keys), keys, "left")
+    keys = list(level.narrow.keys)
+    people = split_join(group_people(edges, members, level.narrow), profile, "reach_id", "left")
+    figures = group_figures(people, keys)
+    last = latest_one(growth, list(level.keys), [F.col("day").desc()])
+    known, new = level.all_known(), [c for c in figures.columns if c not in keys]
+    return last.join(figures, keys, "left").select(*last.columns, *[F.when(known, F.col(c)).alias(c) for c in new])
 
 
 def member_topline(

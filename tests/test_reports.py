@@ -425,6 +425,18 @@ def test_group_figures_match_the_separate_reports(small_topline):
     assert {figures["c"][c] for c in figures["c"].asDict() if c not in keys} == {None}
 
 
+def test_a_group_with_a_null_key_has_no_topline_figures(small_topline):
+    member, edges, profile = small_topline
+    member = member.withColumn("rmm", F.when(F.col("rmm") != "a", F.col("rmm")))
+    series = member.select(*ops.LEVELS[0].keys, F.explode(F.array(F.lit(1), F.lit(2))).alias("day"))
+    out = topline.topline(series, edges, member, profile, ops.LEVELS[0])
+    assert sets(out, "user_id", "day", "support_id_fives", "num_nonvoting_voters", "tier4") == [
+        ("u1", 2, None, None, None),
+        ("u2", 2, 1, 1, 2),
+        ("u3", 2, None, None, None),
+    ]
+
+
 def test_member_topline_defaults(spark):
     top = spark.createDataFrame([("u1", 5), ("u2", 6)], "user_id string, users int")
     known = spark.createDataFrame([("v1", "Early Voted", "Has Voted!", 10)], "myv_van_id string, voting_status_raw string, voting_status string, voting_status_priority int")
