@@ -6,25 +6,31 @@ folders under the one the session names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables.
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh folder path below the session's checkpoint folder.
-
-    A local session without that setting (a test) gets a temporary folder.
+    It lies below ``spark.checkpoint.dir``. A session without that setting uses its
+    warehouse folder, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rapport-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/rapport/{label}-{uuid.uuid4().hex}"
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/rapport-{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder path for one intermediate table."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whichever file system holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

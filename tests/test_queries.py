@@ -8,9 +8,9 @@ from conftest import SF, plan_of
 import __spark_entry__ as entry
 
 duckdb = pytest.importorskip("duckdb")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.QUERIES, entry.ORACLES
 
-# An all-pairs join, a row-at-a-time Python step, or one task for everything.
+# An all-pairs join or a Python step.
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "MapIn", "FlatMapGroups"]
 
 
