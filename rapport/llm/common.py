@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rapport.operators.joins import split_join
 from rapport.sources.sinks import stored
@@ -62,6 +63,24 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.to_pylist()
 
 
+def keep_rows(docs: DataFrame, read: Column, decide: Callable[[list[bytes | None]], list[bool]]) -> DataFrame:
+    """Rows of ``docs`` that ``decide`` keeps by the texts in ``read``, columns as they are.
+
+    Columns go by place, so any names do, also equal ones and such with dots.
+    """
+    names = docs.columns
+    plain = [f"c{k}" for k in range(len(names))]
+    schema = T.StructType([T.StructField(p, f.dataType) for p, f in zip(plain, docs.schema)])
+
+    def run(batches):
+        for batch in batches:
+            keep = pa.array(decide(text_bytes(batch.column(len(plain)))), pa.bool_())
+            yield batch.select(range(len(plain))).filter(keep)
+
+    rows = docs.select("*", read.cast("binary").alias("_read")).toDF(*plain, "read")
+    return rows.mapInArrow(run, schema).toDF(*names)
+
+
 def words_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of several texts at once: bytes, word starts, word ends, text of each word.
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rapport.llm.common import MULTIPLIER, chunks, mix, text_bytes, word_hashes, words_of
+from rapport.llm.common import MULTIPLIER, chunks, keep_rows, mix, text_bytes, word_hashes, words_of
 
 # Benchmark text searched in one pass over the documents; more text takes more passes.
 BLOCK_BYTES = 8 << 20
@@ -199,14 +199,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, wid
 def keep_clean(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:
     """Rows of ``docs``, all columns as they are, that hold no benchmark item."""
     for index in _blocks(benchmark, width):
-        lowered = docs.columns + ["_lowered"]
-        rows = docs.select("*", _lowered().alias("_lowered")).toDF(*lowered)
-
-        def run(batches, index=index):
-            for batch in batches:
-                found = covered(index.value, text_bytes(batch.column(batch.num_columns - 1)), least)
-                clean = batch.filter(pa.array([not f for f in found], pa.bool_()))
-                yield clean.select(range(batch.num_columns - 1))
-
-        docs = rows.mapInArrow(run, docs.schema)
+        docs = keep_rows(docs, _lowered(), lambda texts, index=index: [not f for f in covered(index.value, texts, least)])
     return docs

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rapport.llm.common import mix, text_bytes
+from rapport.llm.common import keep_rows, mix, text_bytes
 
 UNKNOWN = "und"
 N = 3
@@ -209,12 +209,8 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.0) -> DataFr
     Rejected are texts without a letter and texts whose cosine with every learned language
     is ``least`` or lower.
     """
-    schema, at = docs.schema, docs.columns.index("text")
+    def decide(texts):
+        found = [model.predict(t if t is None else t.decode()) for t in texts]
+        return [lang != UNKNOWN and score > least for lang, score in found]
 
-    def run(batches):
-        for batch in batches:
-            scores = [model.predict(t if t is None else t.decode()) for t in text_bytes(batch.column(at))]
-            keep = [lang != UNKNOWN and score > least for lang, score in scores]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, schema)
+    return keep_rows(docs, F.col("text"), decide)
