@@ -19,6 +19,8 @@ WEIGHTS = (5, 2, 1)
 # Membership patterns the flow is solved for; they are aggregates, not documents.
 MAX_PATTERNS = 100_000
 CELLS = 4096
+# Documents added one by one at most to fill what whole documents in order leave lacking.
+FILLS = 8
 
 
 class Flow:
@@ -114,11 +116,11 @@ def draw(seed: int, id: str = "doc_id", text: str = "text") -> Column:
 
 
 def choose(rows: DataFrame, quotas: dict | None = None, repeats: int = MAX_REPEATS):
-    """How often each pattern's documents are taken: a list of (members, size, times, last, extra).
+    """How often each pattern's documents are taken: a list of (members, size, times, last, extras).
 
     ``rows`` has members (array of sources, sorted), size and draw. All documents of a
     pattern are taken ``times`` times, those up to ``last`` in the seeded order once more, and
-    the one at ``extra`` too, which brings the words nearest to what the flow asks for.
+    the few at ``extras`` too, which bring the words nearest to what the flow asks for.
     Running sums are taken over cells of the order first, then over the one cell of
     each pattern in which the wanted sum falls. ``quotas`` maps sources to words; without it,
     ``targets`` of single sources. Equal draws are taken together.
@@ -135,7 +137,7 @@ def choose(rows: DataFrame, quotas: dict | None = None, repeats: int = MAX_REPEA
     want = [(list(m), taken[m] - times[m] * n) for m, n in sizes.items()]
     want = F.broadcast(spark.createDataFrame(want, "members array<string>, want long").where("want > 0"))
 
-    part = F.shiftrightunsigned("draw", 52).cast("int")
+    part = F.shiftrightunsigned("draw", 64 - CELLS.bit_length() + 1).cast("int")
     cells = rows.groupBy("members", part.alias("cell")).agg(F.sum("size").alias("size"))
     so_far = Window.partitionBy("members").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     cells = cells.withColumn("upto", F.sum("size").over(so_far)).join(want, "members")
@@ -156,23 +158,37 @@ def choose(rows: DataFrame, quotas: dict | None = None, repeats: int = MAX_REPEA
     )
     # Without a fitting row in the cell, the order ends just before the cell's first row.
     ends = ends.select("members", (F.col("want") - F.col("got")).alias("lack"), F.coalesce("last", F.col("first") - 1).alias("last"))
-    ends = stored(ends, "mix-ends")
-    later = rows.where("size > 0").withColumn("place", place).join(F.broadcast(ends), "members")
-    off = F.abs(F.col("lack") - F.col("size"))
-    extra = later.where((F.col("place") > F.col("last")) & (off < F.col("lack"))).groupBy("members")
-    extra = extra.agg(F.min(F.struct(off, F.col("place"))).getField("place").alias("extra"))
-    found = {tuple(r.members): (r["last"], r.extra) for r in ends.join(extra, "members", "left").collect()}
-    return [(list(m), n, times[m], *found.get(m, (None, None))) for m, n in sizes.items()]
+    found = {tuple(r.members): [r["last"], r["lack"], []] for r in ends.collect()}
+    later = rows.where("size > 0").withColumn("place", place)
+    for _ in range(FILLS):
+        # What is lacking, and nothing where it is too little to matter.
+        lacking = [(list(m), last, lack, given) for m, (last, lack, given) in found.items() if lack * 1000 > sizes[m]]
+        if not lacking:
+            break
+        lacking = spark.createDataFrame(lacking, "members array<string>, last long, lack long, given array<long>")
+        free = later.join(F.broadcast(lacking), "members")
+        free = free.where((F.col("place") > F.col("last")) & ~F.array_contains("given", F.col("place")))
+        # The largest document that fits; if none does, the one that comes nearest.
+        off = F.abs(F.col("lack") - F.col("size"))
+        best = F.struct(F.col("size") > F.col("lack"), off.alias("off"), "place", "size")
+        picks = free.where(off < F.col("lack")).groupBy("members").agg(F.min(best).alias("best")).collect()
+        if not picks:
+            break
+        for r in picks:
+            held = found[tuple(r.members)]
+            held[1] -= r.best["size"]
+            held[2].append(r.best["place"])
+    return [(list(m), n, times[m], found[m][0] if m in found else None, found[m][2] if m in found else []) for m, n in sizes.items()]
 
 
 def copies(rows: DataFrame, plan: list) -> DataFrame:
     """Add members' ``source_size`` and ``copies``, how often the mix takes each row."""
-    schema = "members array<string>, source_size long, times long, last long, extra long"
+    schema = "members array<string>, source_size long, times long, last long, extras array<long>"
     plan = F.broadcast(rows.sparkSession.createDataFrame(plan, schema))
     place = F.col("draw").bitwiseXOR(F.lit(-(1 << 63)))
-    once = F.coalesce((place <= F.col("last")) | (place == F.col("extra")), place <= F.col("last"), F.lit(False))
-    both = rows.join(plan, "members").withColumn("copies", F.col("times") + once.cast("long"))
-    return both.drop("times", "last", "extra")
+    once = F.coalesce(place <= F.col("last"), F.lit(False)) | F.array_contains("extras", place)
+    taken = F.when(F.col("size") > 0, F.col("times") + once.cast("long")).otherwise(F.lit(0))
+    return rows.join(plan, "members").withColumn("copies", taken.cast("long")).drop("times", "last", "extras")
 
 
 def _rows(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
