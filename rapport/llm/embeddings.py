@@ -60,9 +60,9 @@ def compare(left: pd.DataFrame, right: pd.DataFrame, same: bool, least: float):
     """
 
     def parts(block):
-        return np.stack(block.unit.to_numpy()), block.home.to_numpy(), block.rep.to_numpy(), block.n.to_numpy()
+        return np.stack(block.unit.to_numpy()), *(block[c].to_numpy() for c in ("home", "cls", "rep", "n"))
 
-    (a, home_a, rep_a, n_a), (b, home_b, rep_b, n_b) = parts(left), parts(right)
+    (a, home_a, cls_a, rep_a, n_a), (b, home_b, cls_b, rep_b, n_b) = parts(left), parts(right)
     cell = int(left.cell.iloc[0])
     near = a @ b.T >= least
     if same:
@@ -94,15 +94,15 @@ def compare(left: pd.DataFrame, right: pd.DataFrame, same: bool, least: float):
             break
         low_a, low_b = new_a, new_b
     if same:
-        return rep_a, links_a, low_a
-    return np.concatenate((rep_a, rep_b)), np.concatenate((links_a, links_b)), np.concatenate((low_a, low_b))
+        return cls_a, rep_a, links_a, low_a
+    return tuple(map(np.concatenate, ((cls_a, cls_b), (rep_a, rep_b), (links_a, links_b), (low_a, low_b))))
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
-    """Classes of equal vectors that can link: (rep, n, label, embedding, unit).
+    """Classes of equal vectors that can link: (cls, rep, n, label, embedding, unit).
 
-    ``rep`` is the smallest id, ``n`` the number of rows, ``unit`` the vector in double
-    precision divided by its length. Left out are null ids and labels, and vectors that are
+    ``rep`` is the smallest id, ``cls`` tells classes of the same ``rep`` apart, ``n`` is the
+    number of rows, ``unit`` the vector in double precision divided by its length. Left out are null ids and labels, and vectors that are
     null, empty or zero or hold a null, infinite or undefined component.
     """
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -122,28 +122,28 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
                 units.append((v / np.linalg.norm(v)).tolist())
             yield batch.append_column("unit", pa.array(units, pa.list_(pa.float64())))
 
-    classes = classes.select("rep", "n", "label", "embedding")
+    classes = classes.select(F.xxhash64("label", "embedding").alias("cls"), "rep", "n", "label", "embedding")
     kind = dict(classes.dtypes)["label"]
-    return classes.mapInArrow(run, f"rep long, n long, label {kind}, embedding array<double>, unit array<double>")
+    return classes.mapInArrow(run, f"cls long, rep long, n long, label {kind}, embedding array<double>, unit array<double>")
 
 
 def cell_links(classes: DataFrame, least: float, margin: float, cells: int | None) -> DataFrame:
-    """Rows (rep, links, low) from every pair of blocks; a class has a row for each it links in.
+    """Rows (cls, rep, links, low) from every pair of blocks; a class has a row for each it links in.
 
-    ``classes`` has rep, n, label and unit; it is read several times.
+    ``classes`` has cls, rep, n, label and unit; it is read several times.
     """
     spark = classes.sparkSession
     width = F.size("unit")
     total = classes.count()
     cells = cells or int(min(MAX_CELLS, max(1, total**0.5 / 2)))
-    drawn = classes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("unit").collect()
+    drawn = classes.orderBy("cls", "rep").limit(SAMPLE).select("unit").collect()
     by_width: dict[int, list] = {}
     for row in drawn:
         by_width.setdefault(len(row.unit), []).append(row.unit)
     centroids = {w: fit(np.array(v), cells) for w, v in by_width.items()}
     sent = spark.sparkContext.broadcast(centroids)
     kind = dict(classes.dtypes)["label"]
-    rows = classes.select("rep", "n", "label", "unit", width.cast("int").alias("width"))
+    rows = classes.select("cls", "rep", "n", "label", "unit", width.cast("int").alias("width"))
 
     def assign(batches):
         for pdf in batches:
@@ -157,28 +157,27 @@ def cell_links(classes: DataFrame, least: float, margin: float, cells: int | Non
                     out = part.iloc[at + row].copy()
                     lists = [np.flatnonzero(x).tolist() for x in near]
                     out["home"], out["cell"], out["visit"] = home[row], cell, [lists[k] for k in row]
-                    yield out[["rep", "n", "label", "width", "unit", "home", "cell", "visit"]]
+                    yield out[["cls", "rep", "n", "label", "width", "unit", "home", "cell", "visit"]]
 
-    schema = f"rep long, n long, label {kind}, width int, unit array<double>, home int, cell int, visit array<int>"
+    schema = f"cls long, rep long, n long, label {kind}, width int, unit array<double>, home int, cell int, visit array<int>"
     placed = stored(rows.mapInPandas(assign, schema), "cells")
     at = ["label", "width", "cell"]
     full = placed.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = split_join(placed, full, at)
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     # Each block meets each of its cell, itself included, once: as (lower, higher).
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = placed.select("*", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf.lo.iloc[0]), int(pdf.hi.iloc[0])
-        pdf = pdf.sort_values("rep", kind="stable")
+        pdf = pdf.sort_values(["rep", "cls"], kind="stable")
         left, right = pdf[pdf.block == lo], pdf[pdf.block == hi]
         out = compare(left, right, lo == hi, least) if len(left) and len(right) else None
-        rep, links, low = out or ([], [], [])
-        found = pd.DataFrame({"rep": rep, "links": links, "low": low}, dtype="int64")
+        found = pd.DataFrame(dict(zip(("cls", "rep", "links", "low"), out or ([], [], [], []))), dtype="int64")
         return found[(found.links > 0) | (found.low != found.rep)]
 
-    return pairs.groupBy(*at, "lo", "hi").applyInPandas(run, "rep long, links long, low long")
+    return pairs.groupBy(*at, "lo", "hi").applyInPandas(run, "cls long, rep long, links long, low long")
 
 
 def near_duplicates(
@@ -204,8 +203,9 @@ def near_duplicates(
     classes = stored(unit_vectors(vectors), "vectors")
     links = stored(cell_links(classes, least, margin, cells), "cell-links")
     groups = components(links.select(F.col("rep").alias("a"), F.col("low").alias("b")), "vector-links")
-    counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    classes = classes.join(counts, "rep", "left").join(groups, classes.rep == groups.node, "left")
+    counts = links.groupBy("rep", "cls").agg(F.sum("links").alias("links"))
+    classes = classes.join(counts, ["rep", "cls"], "left")
+    classes = classes.join(groups, classes.rep == groups.node, "left")
     classes = classes.select(
         "label",
         "embedding",
@@ -214,5 +214,5 @@ def near_duplicates(
     )
     rows = split_join(found, classes, ["label", "embedding"], "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
-    rows = rows.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"))
+    rows = rows.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links"), component.alias("component_id"))
     return rows.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
