@@ -90,7 +90,7 @@ def gumbel(seed: int, id: str = "doc_id") -> Column:
 
 
 def kth_largest(rows: DataFrame, columns: list[str], k: int) -> list[int] | None:
-    """Values of the ``k``-th largest row by some long columns, null if there are fewer rows.
+    """Values of the ``k``-th largest row (from 1) by some long columns, None if there are fewer rows.
 
     Counts rows by 16 bits of a column at a time, among those that agree with what is known,
     so any number of rows and any ``k`` cost a few passes and 65,536 counts at most each.
@@ -134,9 +134,12 @@ def resample(docs: DataFrame, target: DataFrame, share: float = 0.5, seed: int =
     order = F.floor(fine * float(1 << 32)).cast("long")
     rows = rows.withColumn("order", order).withColumn("before", F.bitwise_not(F.coalesce("doc_id", F.lit((1 << 63) - 1))))
     total = rows.count()
-    edge = kth_largest(rows, ["order", "before"], int(round(total * share)))
-    if edge is None:
-        kept = F.lit(total > 0 and share > 0)
+    k = int(round(total * share))
+    edge = kth_largest(rows, ["order", "before"], k)
+    if not k:
+        kept = F.lit(False)
+    elif edge is None:
+        kept = F.lit(True)
     elif len(edge) == 1:
         kept = F.col("order") >= edge[0]
     else:
