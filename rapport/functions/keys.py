@@ -23,9 +23,9 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat_ws(" ", first, last)
 
 
-def strip_prefix(value: Column, n: int) -> Column:
-    """Drop the first ``n`` characters of an external id."""
-    return F.substring(value, n + 1, 2147483647)
+def strip_prefix(value: Column, prefix: str) -> Column:
+    """Bare id of an external id: without exactly this prefix, as it is where it has none."""
+    return F.when(value.startswith(prefix), F.substring(value, len(prefix) + 1, 2147483647)).otherwise(value)
 
 
 def add_prefix(value: Column, prefix: str) -> Column:

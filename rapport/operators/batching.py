@@ -2,7 +2,8 @@
 
 A status or a group may cover most people, so a key is first split into hash
 buckets of a bounded expected size, and only rows of one bucket are numbered
-together. The number of buckets follows the key's row count.
+together. The number of buckets follows the key's row count, so batch numbers and the
+rows that share one change as a key grows; every row is in one batch all the same.
 """
 
 from __future__ import annotations
@@ -62,21 +63,41 @@ def collect_batches(
 ) -> DataFrame:
     """One row per batch with its items as an array of at most ``n``.
 
-    ``same`` lists columns that are constant inside a key. Batches are grouped by
-    the bucket they were numbered in, which needs no further shuffle.
+    ``same`` lists columns that are constant inside a key. Most keys fit into one
+    batch and only need a grouping; rows of the others are numbered, and grouped by
+    the bucket they were numbered in, which needs no further shuffle. ``df`` is read
+    three times; pass a stored table when it is costly to compute.
     """
-    return (
-        _slots(df, key, id, n, repeated)
-        .groupBy(*dict.fromkeys((key, *same)), *SLOT)
-        .agg(F.count(F.lit(1)).alias("batch_size"), F.collect_list(item).alias(name))
-        .withColumn("batch_no", _batch_no())
-        .drop(*SLOT)
+    keys = list(dict.fromkeys((key, *same)))
+    counted = [F.count(F.lit(1)).alias("batch_size"), F.collect_list(item).alias(name)]
+    large = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > n)
+    large = large.select(F.col(key).alias("_large"))
+    here = F.col(key).eqNullSafe(F.col("_large"))
+    one = df.join(large, here, "left_anti").groupBy(*keys).agg(*counted)
+    several = _slots(df.join(large, here, "left_semi"), key, id, n, repeated).groupBy(*keys, *SLOT).agg(*counted)
+    return one.withColumn("batch_no", F.lit(0).cast("bigint")).unionByName(
+        several.withColumn("batch_no", _batch_no().cast("bigint")).drop(*SLOT)
     )
 
 
-def payloads(df: DataFrame, key: str, id: str, person: Column, n: int = 1000, name: str = "people") -> DataFrame:
-    """One JSON payload per batch: ``{"name": key, "locked": true, name: [person, ...]}``."""
-    payload = F.struct(F.col(key).alias("name"), F.lit(True).alias("locked"), F.col("_people").alias(name))
+def payloads(
+    df: DataFrame,
+    key: str,
+    id: str,
+    person: Column,
+    n: int = 1000,
+    name: str = "people",
+    targets: dict[str, tuple[str, str]] | None = None,
+) -> DataFrame:
+    """One JSON payload per batch: ``{"name": ..., "locked": true, name: [person, ...]}``.
+
+    ``targets`` gives the tag id a key's payloads are sent to and the tag name they
+    carry; without it, or for a key it lacks, the id is null and the name is the key.
+    """
+    targets = targets or {}
+    label = F.coalesce(*[F.when(F.col(key) == k, text) for k, (_, text) in targets.items()], F.col(key))
+    tag = F.coalesce(*[F.when(F.col(key) == k, tag) for k, (tag, _) in targets.items()], F.lit(None).cast("string"))
+    payload = F.struct(label.alias("name"), F.lit(True).alias("locked"), F.col("_people").alias(name))
     return collect_batches(df, key, id, person, "_people", n).select(
-        key, "batch_no", "batch_size", F.to_json(payload).alias("payload_json")
+        key, tag.alias("tag_id"), "batch_no", "batch_size", F.to_json(payload).alias("payload_json")
     )

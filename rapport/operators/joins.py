@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,11 +25,26 @@ def split_join(df: DataFrame, other: DataFrame, on: str | list[str], how: str =
     return df.join(right, same, how).drop(*names.values())
 
 
-def mark_join(df: DataFrame, keys_df: DataFrame, on: str, name: str) -> DataFrame:
-    """Add a boolean column telling whether ``on`` occurs in ``keys_df``."""
+def mark_join(df: DataFrame, keys_df: DataFrame, on: str, name: str, three_valued: bool = False) -> DataFrame:
+    """Add a boolean column telling whether ``on`` occurs in ``keys_df``.
+
+    ``three_valued`` follows SQL ``IN``: where it is not found, a null key against a
+    list that is not empty, or a list that holds a null, gives null instead of false.
+    """
     known = keys_df.select(on).distinct().withColumn("_known", F.lit(True))
     marked = split_join(df, known, on, "left")
-    return marked.withColumn(name, F.col("_known").isNotNull()).drop("_known")
+    absent = F.lit(False)
+    if three_valued:
+        state = _list_state(keys_df, on)
+        unsure = (state == 2) | ((state == 1) & F.col(on).isNull())
+        absent = F.when(unsure, F.lit(None).cast("boolean")).otherwise(False)
+    return marked.withColumn(name, F.coalesce("_known", absent)).drop("_known")
+
+
+def _list_state(keys_df: DataFrame, key: str) -> Column:
+    """Scalar subquery over a list: 0 if it is empty, 1 if it holds no null, 2 if it does."""
+    nulls = F.count_if(F.col(key).isNull())
+    return keys_df.agg(F.when(F.count(F.lit(1)) == 0, 0).when(nulls == 0, 1).otherwise(2)).scalar()
 
 
 def anti(df: DataFrame, keys_df: DataFrame, on: str | list[str], null_aware: bool = False) -> DataFrame:
@@ -46,11 +61,7 @@ def anti(df: DataFrame, keys_df: DataFrame, on: str | list[str], null_aware: boo
     if not null_aware:
         return kept
     (key,) = keys
-    # 0: empty list, 1: no null in it, 2: holds a null
-    state = right.agg(
-        F.when(F.count(F.lit(1)) == 0, 0).when(F.count_if(F.col(key).isNull()) == 0, 1).otherwise(2)
-    )
-    state = state.scalar()
+    state = _list_state(right, key)
     return kept.where((state == 0) | ((state == 1) & F.col(key).isNotNull()))
 
 

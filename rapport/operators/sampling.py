@@ -9,27 +9,42 @@ from pyspark.sql import functions as F
 
 from rapport.functions import stable_hash, unit_hash
 
-ROWS_PER_BUCKET = 100_000
+# Rows are numbered in GROUPS * GROUPS ranges of their hash, whatever their number.
+GROUPS = 256
 
 
-def dense_index(df: DataFrame, order: str, seed: int = 0, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Number rows 0..n-1 in column ``idx`` without one global sort.
+def dense_index(df: DataFrame, order: str, seed: int = 0, groups: int = GROUPS) -> DataFrame:
+    """Number rows 0..n-1 in column ``idx``, in the order of (hash of ``order``, ``order``).
 
-    Rows are numbered inside hash buckets, whose number follows the row count, and
-    shifted by the running size of the buckets before: a window over one row per
-    bucket. ``order`` must be unique.
+    The hash is cut into ``groups`` ranges of ``groups`` ranges each. Rows are numbered
+    inside a range and shifted by the rows in the ranges before: those of the same
+    group by a window over ``groups`` rows, those of earlier groups by adding each
+    group's size to all later ones. So no task sees more than a range, and the
+    result does not depend on ``groups``: a row more shifts others by one at most.
+    ``order`` must be unique.
     """
-    buckets = df.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows_per_bucket)))).scalar()
-    rows = df.withColumn("_bucket", F.pmod(stable_hash(F.col(order), seed), buckets))
-    sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    w = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(w), F.lit(0)).alias("_start"))
-    rn = F.row_number().over(Window.partitionBy("_bucket").orderBy(order))
+    width = 2**60 // (groups * groups)
+    hashed = stable_hash(F.col(order), seed)
+    cell = F.least(F.floor(hashed / F.lit(width)), F.lit(groups * groups - 1))
+    rows = df.withColumn("_hash", hashed).withColumn("_cell", cell)
+    sizes = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sizes.withColumn("_group", F.floor(F.col("_cell") / F.lit(groups)))
+    later = sizes.groupBy("_group").agg(F.sum("_size").alias("_rows"))
+    later = later.where(F.col("_group") < groups - 1).select(
+        F.explode(F.sequence(F.col("_group") + 1, F.lit(groups - 1).cast("bigint"))).alias("_group"), "_rows"
+    )
+    before = later.groupBy("_group").agg(F.sum("_rows").alias("_before"))
+    w = Window.partitionBy("_group").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(w), F.lit(0)))
+    starts = starts.join(before, "_group", "left").select(
+        "_cell", (F.col("_start") + F.coalesce("_before", F.lit(0))).alias("_start")
+    )
+    rn = F.row_number().over(Window.partitionBy("_cell").orderBy("_hash", order))
     return (
         rows.withColumn("_rn", rn)
-        .join(starts, "_bucket")
+        .join(starts, "_cell")
         .withColumn("idx", F.col("_start") + F.col("_rn") - 1)
-        .drop("_bucket", "_start", "_rn")
+        .drop("_hash", "_cell", "_start", "_rn")
     )
 
 

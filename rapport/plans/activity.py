@@ -88,7 +88,7 @@ def activity_feed(
     people: DataFrame,
     question_labels: dict[str, str],
 ) -> DataFrame:
-    """Everything members did, newest first, with readable text and person names."""
+    """Everything members did, with readable text and person names."""
 
     def event(df: DataFrame, ts: str, action: str, value: Column) -> DataFrame:
         return df.select(
@@ -137,5 +137,4 @@ def activity_feed(
         F.lit("").alias("voter"),
         F.lit(None).cast("string").alias("sos_id"),
     )
-    # the later sort keys let range partitioning split one busy moment
-    return named.unionByName(joins).orderBy(F.col("action_timestamp").desc(), "user_id", "voter")
+    return named.unionByName(joins)

@@ -12,14 +12,12 @@ from rapport.labels import NEEDS_TO_VOTE
 from rapport.operators import distinct_counts, expand_by_shared_key, latest_ties, mark_join
 from rapport.plans.status import raw_status
 
-PREFIX_LENGTH = 3
 
-
-def feed_relationships(edges: DataFrame) -> DataFrame:
+def feed_relationships(edges: DataFrame, prefix: str) -> DataFrame:
     """Active relationships to people on the file, with their bare file id."""
     return edges.where("relationship_status = 'Active' AND state_file_id IS NOT NULL").select(
         "reach_id",
-        strip_prefix(F.col("state_file_id"), PREFIX_LENGTH).alias("sos_id"),
+        strip_prefix(F.col("state_file_id"), prefix).alias("sos_id"),
         "user_id",
         "user_name",
         "relationship_type",
@@ -66,18 +64,18 @@ def named_answers(
     )
 
 
-def latest_by_file_id(response_list: DataFrame, question: str, out: str) -> DataFrame:
+def latest_by_file_id(response_list: DataFrame, question: str, out: str, prefix: str) -> DataFrame:
     """Latest answers to one question by bare file id, ties kept."""
     asked = response_list.where(F.col("question_name") == question)
     return latest_ties(asked, ["question_id", "reach_id"], "canvass_timestamp").select(
-        strip_prefix(F.col("state_file_id"), PREFIX_LENGTH).alias("sos_id"), F.col("response_value").alias(out)
+        strip_prefix(F.col("state_file_id"), prefix).alias("sos_id"), F.col("response_value").alias(out)
     )
 
 
-def expanded_network(edges: DataFrame, voter_file: DataFrame) -> DataFrame:
+def expanded_network(edges: DataFrame, voter_file: DataFrame, prefix: str) -> DataFrame:
     """File ids of actively related people and everyone at their addresses."""
     related = edges.where("relationship_status = 'Active'").select(
-        strip_prefix(F.col("state_file_id"), PREFIX_LENGTH).alias("sos_id")
+        strip_prefix(F.col("state_file_id"), prefix).alias("sos_id")
     )
     return expand_by_shared_key(related, voter_file, "sos_id", "voting_address_id")
 
@@ -90,6 +88,10 @@ class VoterFeedParams:
     past_election: str
 
 
+# What one row of the voter file is looked up by.
+VOTER_KEYS = ["sos_id", "myv_van_id", "person_id", "master_registration_id"]
+
+
 def feed_voters(
     edges: DataFrame,
     voter_file: DataFrame,
@@ -103,15 +105,18 @@ def feed_voters(
     scores: DataFrame,
     elections: DataFrame,
     params: VoterFeedParams,
+    prefix: str,
 ) -> DataFrame:
     """Household-expanded voters with contact data, answers, status and tier.
 
-    The result is distinct, so each lookup is made distinct before it is joined:
-    many equal answers of one person do not multiply.
+    Only ids of the expanded network meet the lookups, which are folded to one per
+    key; the wide row of the voter file joins once, at the end. The result is
+    distinct, so each lookup is made distinct before it is joined: many equal
+    answers of one person do not multiply.
     """
     phones = (
         people.dropna("any", subset=["state_file_id", "phone"])
-        .select(strip_prefix(F.col("state_file_id"), PREFIX_LENGTH).alias("sos_id"), "phone")
+        .select(strip_prefix(F.col("state_file_id"), prefix).alias("sos_id"), "phone")
         .distinct()
     )
     support = named_answers(
@@ -132,22 +137,30 @@ def feed_voters(
         params.plan_question,
         "vote_plan",
     ).distinct()
-    volunteer = latest_by_file_id(response_list, params.volunteer_question, "vol_ask").distinct()
+    volunteer = latest_by_file_id(response_list, params.volunteer_question, "vol_ask", prefix).distinct()
     statuses = absentee.select("myv_van_id", raw_status().alias("voting_status")).distinct()
     past = elections.where(F.col("election_id") == params.past_election).select(
         F.col("registration_id").alias("master_registration_id")
     )
     current = voter_file.where("reg_on_current_file")
+    by_file = phones.join(volunteer, "sos_id", "full")
+    by_van = statuses.join(support, "myv_van_id", "full").join(plan, "myv_van_id", "full")
+    by_person = tiers.select("person_id", "tier").join(scores.select("person_id", "gotv_score"), "person_id", "full")
+    ids = current.select(*VOTER_KEYS).distinct().join(expanded_network(edges, voter_file, prefix), "sos_id")
+    found = (
+        mark_join(
+            ids.join(by_file, "sos_id", "left").join(by_van, "myv_van_id", "left").join(by_person, "person_id", "left"),
+            past,
+            "master_registration_id",
+            "voted_general",
+            three_valued=True,
+        )
+        .distinct()
+        .withColumnsRenamed({k: f"_{k}" for k in VOTER_KEYS})
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in VOTER_KEYS]
     return (
-        mark_join(current, past, "master_registration_id", "voted_general")
-        .join(expanded_network(edges, voter_file), "sos_id")
-        .join(statuses, "myv_van_id", "left")
-        .join(phones, "sos_id", "left")
-        .join(support, "myv_van_id", "left")
-        .join(plan, "myv_van_id", "left")
-        .join(volunteer, "sos_id", "left")
-        .join(tiers.select("person_id", "tier"), "person_id", "left")
-        .join(scores.select("person_id", "gotv_score"), "person_id", "left")
+        current.join(found, same)
         .select(
             "myv_van_id",
             "last_name",

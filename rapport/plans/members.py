@@ -45,8 +45,8 @@ def match_members(sheet: DataFrame, leaders: DataFrame, users: DataFrame) -> Dat
 def match_errors(sheet: DataFrame, leaders: DataFrame, users: DataFrame, order_col: str) -> DataFrame:
     """Training rows that cannot be matched, with the first reason that applies.
 
-    A phone held by several users gives one row per user. Rows come in reverse
-    order of ``order_col``, the sheet's own row order.
+    A phone held by several users gives one row per user. ``order_col`` is the
+    sheet's own row order, by which the report is written in reverse.
     """
     trained = _trained(
         sheet, "cm_name", "email_address", F.col("phone_number").alias("phone_original"), order_col
@@ -67,8 +67,8 @@ def match_errors(sheet: DataFrame, leaders: DataFrame, users: DataFrame, order_c
     return (
         split_join(split_join(trained, codes, "invite_code", "left"), phones, "phone_number", "left")
         .where("has_code IS NULL OR has_user IS NULL OR shared IS NOT NULL")
-        .orderBy(F.col(order_col).desc())
         .select(
+            order_col,
             "invite_code",
             "cm_name",
             "email_address",

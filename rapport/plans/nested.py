@@ -90,7 +90,7 @@ def nest_volunteers(flat: DataFrame, max_people: int = 1000) -> DataFrame:
 
 
 def volunteer_summary(flat: DataFrame) -> DataFrame:
-    """Network figures per volunteer from flat rows, by join date."""
+    """Network figures per volunteer from flat rows."""
     keys = ["user_id", "user_name", "phone_number", "date_joined", "zip_code", "state"]
     return (
         flat.groupBy(*keys)
@@ -100,7 +100,6 @@ def volunteer_summary(flat: DataFrame) -> DataFrame:
             F.count_if(F.col("voting_status") == "Has Voted!").alias("voters_voted"),
             F.count_if(F.col("only_reachable_by_reacher") == "y").alias("voters_uncontactable"),
         )
-        .orderBy("date_joined", "user_id")
         .select(
             "user_id",
             "user_name",
@@ -117,9 +116,9 @@ def volunteer_summary(flat: DataFrame) -> DataFrame:
 
 
 def volunteer_list(flat: DataFrame) -> DataFrame:
-    """Every volunteer's people, by user name."""
+    """Every volunteer's people."""
     columns = ["reach_id", "user_id", "user_name", *VOLUNTEER_PERSON_FIELDS[1:]]
-    return flat.select(*columns).orderBy("user_name", "user_id", "reach_id")
+    return flat.select(*columns)
 
 
 def member_list(flat: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def volunteer_users(users: DataFrame, members: DataFrame, edges: DataFrame, stat
 
 
 def volunteer_people(edges: DataFrame, members: DataFrame, wide: DataFrame, status: DataFrame) -> DataFrame:
-    """People of non-members who have not voted, by user name."""
+    """People of non-members who have not voted."""
     raw = F.col("voting_status_raw")
     known = wide.select("reach_id", "support_id", "vote_plan", "detailed_plan", "vol_ask").join(
         status.select("reach_id", "voting_status_raw").distinct(), "reach_id", "full"
@@ -106,5 +106,4 @@ def volunteer_people(edges: DataFrame, members: DataFrame, wide: DataFrame, stat
             "vol_ask",
             F.when(raw == NEEDS_TO_VOTE, "").otherwise(raw).alias("voting_status"),
         )
-        .orderBy("user_name", "user_id", "reach_id")
     )

@@ -56,15 +56,24 @@ def status_delta(
 
 
 def tag_payloads(
-    delta: DataFrame, key: str, id: str, id_type: str, n: int = 1000, action: str = "added"
+    delta: DataFrame,
+    key: str,
+    id: str,
+    id_type: str,
+    n: int = 1000,
+    action: str = "added",
+    targets: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """Bulk-update payloads of at most ``n`` people per status."""
+    """Bulk-update payloads of at most ``n`` people per status.
+
+    ``targets`` maps a status to the tag id the payload is sent to and its tag name.
+    """
     if action not in ACTIONS:
         raise ValueError(f"action must be one of {ACTIONS}")
     person = F.struct(
         F.col(id).alias("person_id"), F.lit(id_type).alias("person_id_type"), F.lit(action).alias("action")
     )
-    return payloads(delta.select(key, id).distinct(), key, id, person, n)
+    return payloads(delta.select(key, id).distinct(), key, id, person, n, targets=targets)
 
 
 def successes(results: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ stores the views that several reports read and writes one output per report.
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Callable, Iterable
+from copy import copy
 from dataclasses import dataclass, field
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,20 +38,41 @@ class Params:
     home_state: str
     uncontactable_tag: str
     note_category: str
-    prefix: str = "GA_"
+    # what an external id starts with, before the file's own id
+    prefix: str
     person_id_type: str = "State File ID"
+    # the name a tag's payloads carry, by tag id; the status where none is given
+    tag_names: dict[str, str] = field(default_factory=dict)
     # the sheet's own row order, and what makes the latest tag row definite
     sheet_order: str = "row_no"
     tag_order: tuple[str, ...] = ("tag_timestamp",)
     levels: tuple[ops.Level, ...] = field(default=ops.LEVELS)
 
 
+class view:
+    """A view several reports read: built once per ``Reports``, with a count of its reads."""
+
+    def __init__(self, build: Callable[[Reports], DataFrame]):
+        self.build, self.name, self.__doc__ = build, build.__name__, build.__doc__
+
+    def __get__(self, reports: Reports | None, owner: type) -> DataFrame | view:
+        if reports is None:
+            return self
+        reports.reads[self.name] += 1
+        if self.name not in reports.built:
+            reports.built[self.name] = self.build(reports)
+        return reports.built[self.name]
+
+
 class Reports:
     """Views and reports by name; ``table`` gives an input table by name."""
 
     def __init__(self, table: Callable[[str], DataFrame], params: Params):
         self._table, self.params = table, params
         self._tables: dict[str, DataFrame] = {}
+        self.built: dict[str, DataFrame] = {}
+        self.reads: Counter[str] = Counter()
+        self.copies: list[tuple[SparkSession, str]] = []
 
     @classmethod
     def over(cls, spark: SparkSession, root: str, params: Params) -> Reports:
@@ -66,31 +87,54 @@ class Reports:
     def store(self, *names: str) -> None:
         """Replace shared views by stored copies, for when several reports read them."""
         for name in names:
-            setattr(self, name, sinks.stored(getattr(self, name), name))
+            df = getattr(self, name)
+            path = sinks.scratch(df.sparkSession, name)
+            self.built[name] = sinks.stored_at(df, path)
+            self.copies.append((df.sparkSession, path))
+
+    def prepare(self, *names: str) -> None:
+        """Store the views that building these reports reads more than once.
+
+        The reports are planned on the side to count the reads. A view is stored after
+        those it reads itself, which then come from their copies.
+        """
+        trial = copy(self)
+        trial.built, trial.reads = dict(self.built), Counter()
+        builders = trial.by_name()
+        for name in names:
+            builders[name]()
+        self.store(*[name for name in SHARED if trial.reads[name] > 1 and name not in self.built])
+
+    def clear(self) -> None:
+        """Delete the stored copies; what was built on them cannot be read any more."""
+        for spark, path in self.copies:
+            sinks.delete(spark, path)
+        self.copies.clear()
+        self.built.clear()
 
     # --- shared views ----------------------------------------------------------------
 
-    @cached_property
+    @view
     def members(self) -> DataFrame:
         return members.match_members(self.table("training_tracker"), self.table("leader_codes"), self.table("users"))
 
-    @cached_property
+    @view
     def status(self) -> DataFrame:
         return status.vote_status(self.table("crosswalk"), self.table("voter_file"), self.table("absentee"))
 
-    @cached_property
+    @view
     def votes(self) -> DataFrame:
         return status.vote_days(self.table("crosswalk"), self.table("voter_file"), self.table("absentee"))
 
-    @cached_property
+    @view
     def answers(self) -> DataFrame:
         return answers.latest_answers(self.table("responses"), self.table("survey_defs"), self.params.scores)
 
-    @cached_property
+    @view
     def wide(self) -> DataFrame:
         return answers.wide_answers(self.answers)
 
-    @cached_property
+    @view
     def tiers(self) -> DataFrame:
         return tiers.voter_tiers(
             self.table("voter_file"),
@@ -102,47 +146,47 @@ class Reports:
             TierRules(self.params.codes),
         )
 
-    @cached_property
+    @view
     def person_tier(self) -> DataFrame:
         return networks.tier_by_person(self.tiers, self.table("voter_file"), self.table("crosswalk"))
 
-    @cached_property
+    @view
     def profile(self) -> DataFrame:
         return topline.person_profile(
             self.status, self.wide, self.tiers, self.table("voter_file"), self.table("crosswalk")
         )
 
-    @cached_property
+    @view
     def id_crosswalk(self) -> DataFrame:
         return lists.id_crosswalk(self.table("notes"), self.table("person_records"), self.params.note_category)
 
-    @cached_property
+    @view
     def activity(self) -> DataFrame:
         inputs = ("users", "contact_actions", "relationships", "responses", "tag_history")
         return activity.last_activity(activity.activity_days(*map(self.table, inputs)), self.params.as_of)
 
-    @cached_property
+    @view
     def people(self) -> DataFrame:
         inputs = ("crosswalk", "voter_file", "relationships", "contact_actions")
         return activity.people_union(*map(self.table, inputs))
 
-    @cached_property
+    @view
     def touched(self) -> DataFrame:
         return growth.touches(self.table("relationships"))
 
-    @cached_property
+    @view
     def days(self) -> DataFrame:
         return growth.person_days(self.table("responses"), self.votes, self.params.questions)
 
-    @cached_property
+    @view
     def segments(self) -> DataFrame:
         return lists.user_segments(self.table("users"), self.members, self.params.home_state, self.params.groups)
 
-    @cached_property
+    @view
     def support(self) -> DataFrame:
         return lists.support_scores(self.table("external_responses"), self.table("scores"), self.params.codes)
 
-    @cached_property
+    @view
     def delta(self) -> DataFrame:
         return sync.status_delta(
             self.table("absentee"),
@@ -161,6 +205,8 @@ class Reports:
 
     def growth(self, level: ops.Level, form: str = "sparse") -> DataFrame:
         p = self.params
+        if form == "sparse" and f"growth_{level.name}" in self.built:
+            return self.built[f"growth_{level.name}"]
         return growth.series(
             self.members, self.touched, self.days, level, p.calendar_start, p.report_start, p.as_of, form
         )
@@ -205,7 +251,7 @@ class Reports:
         return queues.volunteer_people(self.table("relationships"), self.members, self.wide, self.status)
 
     def feed_relationships(self) -> DataFrame:
-        return feeds.feed_relationships(self.table("relationships"))
+        return feeds.feed_relationships(self.table("relationships"), self.params.prefix)
 
     def feed_users(self) -> DataFrame:
         return feeds.feed_users(self.table("users"), self.table("relationships"), self.id_crosswalk, self.members)
@@ -224,6 +270,7 @@ class Reports:
             self.table("scores"),
             self.table("election_voted"),
             self.params.voter_feed,
+            self.params.prefix,
         )
 
     def not_enrolled(self) -> DataFrame:
@@ -242,7 +289,10 @@ class Reports:
         )
 
     def tag_payloads(self) -> DataFrame:
-        return sync.tag_payloads(self.delta, "voting_status", "alloy_sos_id", self.params.person_id_type)
+        targets = {status: (tag, self.params.tag_names.get(tag, status)) for tag, status in self.params.tag_ids.items()}
+        return sync.tag_payloads(
+            self.delta, "voting_status", "alloy_sos_id", self.params.person_id_type, targets=targets
+        )
 
     def group_payloads(self) -> DataFrame:
         return sync.group_payloads(self.segments)
@@ -262,14 +312,50 @@ class Reports:
         }
 
 
-# views that at least three reports read
-SHARED = ("members", "status", "answers", "wide", "tiers", "profile", "touched", "days")
+# Views worth a stored copy when they are read more than once, each after those it reads.
+SHARED = (
+    "members",
+    "status",
+    "votes",
+    "answers",
+    "wide",
+    "tiers",
+    "person_tier",
+    "profile",
+    "touched",
+    "days",
+    "id_crosswalk",
+    "activity",
+    "people",
+    "segments",
+    "delta",
+)
+
+# How reports are sorted when they are written.
+ORDER = {
+    "activity_feed": lambda p: [F.col("action_timestamp").desc(), "user_id", "voter"],
+    "volunteer_people": lambda p: ["user_name", "user_id", "reach_id"],
+    "match_errors": lambda p: [F.col(p.sheet_order).desc()],
+}
 
 
 def write_reports(reports: Reports, root: str, names: Iterable[str] | None = None) -> dict[str, str]:
-    """Write reports (all of them unless named) below ``root`` and return their paths."""
+    """Write reports (all of them unless named) below ``root`` and return their paths.
+
+    Views that the wanted reports read more than once are stored first and deleted at the
+    end. A written growth series is read back by the topline of its level.
+    """
+    wanted = list(reports.by_name()) if names is None else list(names)
     builders = reports.by_name()
-    wanted = list(builders) if names is None else list(names)
-    if len(wanted) > 2:
-        reports.store(*SHARED)
-    return {name: sinks.write_report(builders[name](), root, name) for name in wanted}
+    try:
+        reports.prepare(*wanted)
+        paths = {}
+        for name in wanted:
+            df = builders[name]()
+            order = ORDER[name](reports.params) if name in ORDER else None
+            paths[name] = sinks.write_report(df, root, name, order=order)
+            if name.startswith("growth_"):
+                reports.built[name] = df.sparkSession.read.schema(df.schema).parquet(paths[name])
+        return paths
+    finally:
+        reports.clear()

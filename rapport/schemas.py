@@ -94,7 +94,7 @@ TABLES: dict[str, T.StructType] = {
     "notes": struct(**_text("myc_van_id note_text note_category_name")),
     "person_records": struct(**_text("myc_van_id myv_van_id")),
     "crosswalk": struct(**_text("reach_id sos_id")),
-    "training_tracker": struct(**_text("invite_code phone_number cm_name email_address")),
+    "training_tracker": struct(row_no="bigint", **_text("invite_code phone_number cm_name email_address")),
     "leader_codes": struct(**_text("invite_code rmm pod rmm_email")),
     "support_names": struct(
         **_text("master_survey_question_id master_survey_response_id master_survey_response_name")

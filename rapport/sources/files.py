@@ -14,8 +14,11 @@ MISSING = "NA"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, missing: str = MISSING) -> DataFrame:
-    """CSV with a header row. Blank fields and ``missing`` are null, quoted blanks are ''."""
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, nullValue=missing)
+    """CSV with a header row. Blank fields and ``missing`` are null, quoted blanks are ''.
+
+    A line that does not fit the schema fails the read.
+    """
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, nullValue=missing, mode="FAILFAST")
 
 
 def write_csv(df: DataFrame, path: str, missing: str = MISSING) -> None:
@@ -36,12 +39,12 @@ def read_id_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, path: str, schema: T.DataType, whole_file: bool) -> DataFrame:
-    text = spark.read.text(path, wholetext=whole_file)
-    return text.select(F.from_json("value", schema).alias("doc"))
+    text = spark.read.text(path, wholetext=whole_file).where("trim(value) <> ''")
+    return text.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("doc"))
 
 
 def read_org(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
-    """Organiser JSON as rows (doc: map pod -> leaders).
+    """Organiser JSON as rows (doc: map pod -> leaders). A broken document fails the read.
 
     One JSON object per line lets Spark split the input; ``whole_file`` reads a
     file holding a single pretty-printed object, which one task must parse.
@@ -57,7 +60,7 @@ def read_volunteers(spark: SparkSession, path: str, whole_file: bool = False) ->
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Bulk-update responses, one JSON object per line, next to the tag they answer."""
     schema = T.StructType([T.StructField("tag", T.StringType()), *RESULTS.fields])
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
 def write_json(df: DataFrame, path: str) -> None:

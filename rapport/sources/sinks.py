@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from rapport.sources.files import write_csv
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -27,10 +30,27 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder from whichever file system holds it."""
+def _folder(spark: SparkSession, path: str):
+    """File system and path object of a folder, whichever file system holds it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def numbered(spark: SparkSession, root: str, key: str) -> list[int]:
+    """Numbers n of the folders ``root/key=n`` that were written to the end, rising."""
+    files, folder = _folder(spark, root)
+    if not files.exists(folder):
+        return []
+    found = [entry.getPath() for entry in files.listStatus(folder) if entry.isDirectory()]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    names = [p.getName() for p in found if files.exists(done(p, "_SUCCESS"))]
+    return sorted(int(name.removeprefix(f"{key}=")) for name in names if name.startswith(f"{key}="))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -38,18 +58,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     The copy lives in shared storage, so losing an executor costs no recomputation.
     """
-    path = scratch(df.sparkSession, label)
+    return stored_at(df, scratch(df.sparkSession, label))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """``stored`` with a path of the caller's, who can delete the copy after use."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_report(df: DataFrame, root: str, name: str, format: str = "parquet") -> str:
-    """Replace one named report: clear it, then write it."""
+def write_report(
+    df: DataFrame, root: str, name: str, format: str = "parquet", order: list[Column | str] | None = None
+) -> str:
+    """Replace one named report: clear it, then write it, sorted by ``order`` if given."""
     path = f"{root}/{name}"
-    writer = df.write.mode("overwrite")
+    rows = df.orderBy(*order) if order else df
     if format == "csv":
-        writer = writer.option("header", True)
-    writer.format(format).save(path)
+        write_csv(rows, path)
+    else:
+        rows.write.mode("overwrite").format(format).save(path)
     return path
 
 
@@ -61,31 +88,52 @@ def save_table(df: DataFrame, table: str, path: str | None = None) -> None:
     writer.saveAsTable(table)
 
 
-def replace_from_itself(spark: SparkSession, df: DataFrame, root: str, view: str) -> DataFrame:
-    """Replace a table by a query that reads it.
+# --- tables that are replaced as a whole --------------------------------------------------
+#
+# Versions of a table are folders ``version=n``. The last one that was written to its end is
+# the table, for any session that looks: no name has to be moved, and a failed write leaves
+# the table as it was.
+
 
-    Spark refuses to overwrite what it is reading, so the result goes to a new
-    version folder and the name is then pointed at it. A failed write leaves the
-    name on the old version.
+def version_path(spark: SparkSession, root: str) -> str:
+    """Folder of a table's current version; of its first one if there is none yet."""
+    return f"{root}/version={max(numbered(spark, root, 'version'), default=0)}"
+
+
+def read_version(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The table's current version."""
+    return spark.read.schema(schema).parquet(version_path(spark, root))
+
+
+def replace_version(spark: SparkSession, df: DataFrame, root: str, keep: int = 2) -> DataFrame:
+    """Replace a table by a query, which may read it, and return the new version.
+
+    Spark refuses to overwrite what it is reading, so the result goes to a new folder. The
+    last ``keep`` versions stay, for readers that began before; older ones are removed. Of
+    two writers at once the second fails, as its folder exists.
     """
-    path = f"{root}/version={uuid.uuid4().hex}"
+    before = numbered(spark, root, "version")
+    path = f"{root}/version={max(before, default=-1) + 1}"
     df.write.parquet(path)
-    new = spark.read.schema(df.schema).parquet(path)
-    new.createOrReplaceTempView(view)
-    return new
+    for old in before[: max(len(before) + 1 - keep, 0)]:
+        delete(spark, f"{root}/version={old}")
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def append_log(df: DataFrame, path: str, day: str | None = None) -> None:
-    """Append rows to a log, in one folder per log day if ``day`` names a column."""
+def append_log(df: DataFrame, root: str, day: str | None = None) -> None:
+    """Append rows to a log's current version, a folder per log day if ``day`` names a column."""
     writer = df.write.mode("append")
     if day:
         writer = writer.partitionBy(day)
-    writer.parquet(path)
+    writer.parquet(version_path(df.sparkSession, root))
 
 
-def compact_log(spark: SparkSession, log: DataFrame, root: str, keys: list[str], view: str) -> DataFrame:
-    """Rewrite a log without repeated keys into a new version."""
-    return replace_from_itself(spark, log.select(*keys).distinct(), root, view)
+def compact_log(spark: SparkSession, root: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """Rewrite a log without repeated keys; later appends go to the new version.
+
+    Appenders must pause meanwhile: what they add to the old version is not carried over.
+    """
+    return replace_version(spark, read_version(spark, root, schema).select(*keys).distinct(), root)
 
 
 def route(df: DataFrame, by: str, path: str) -> None:
@@ -94,5 +142,3 @@ def route(df: DataFrame, by: str, path: str) -> None:
     Rows keep their tasks, so a value holding most rows is written by many tasks.
     """
     df.write.mode("overwrite").partitionBy(by).parquet(path)
-
-

@@ -13,13 +13,16 @@ def load(spark: SparkSession, root: str, name: str, schema: T.StructType | None
     return spark.read.schema(schema or TABLES[name]).parquet(f"{root}/{name}")
 
 
-def stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def stream(spark: SparkSession, path: str, schema: T.StructType, files_per_epoch: int | None = None) -> DataFrame:
     """File stream over one Parquet table, be it a folder or a single file.
 
     A plain path makes the file source insist on a folder; a pattern matching
-    only that path does not.
+    only that path does not. ``files_per_epoch`` bounds what one micro-batch reads.
     """
-    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
+    reader = spark.readStream.schema(schema)
+    if files_per_epoch:
+        reader = reader.option("maxFilesPerTrigger", files_per_epoch)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

@@ -5,26 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import StructType
 
 from rapport.operators import latest_one
+from rapport.sources import sinks
+
+# Epochs after which the changes are folded into one state.
+FOLD_EVERY = 20
 
 
 def stream_latest(
-    source: DataFrame, keys: list[str], order: list[str], sink: str, checkpoint: str
+    source: DataFrame, keys: list[str], order: list[str], sink: str, checkpoint: str, fold_every: int = FOLD_EVERY
 ) -> StreamingQuery:
     """Stream the latest row of each changed key to ``sink``, one folder per epoch.
 
-    State is one row per key. ``order`` lists the timestamp and then a unique
-    column, which makes the latest row definite; late rows lose against the state
-    and need no watermark. A replayed epoch overwrites its own folder.
+    The streaming state is one row per key. ``order`` lists the timestamp and then a
+    unique column, which makes the latest row definite; late rows lose against the
+    state and need no watermark. Every ``fold_every`` epochs the changes so far are
+    folded into a full state of the sink and removed, so a reader never sees more
+    than that many folders. A replayed epoch overwrites its own folder; one that was
+    folded already is part of the state and is left out.
     """
     rest = [c for c in source.columns if c not in keys and c not in order]
     row = F.struct(*order, *rest)
     latest = source.groupBy(*keys).agg(F.max(row).alias("row")).select(*keys, "row.*")
+    schema = latest.schema
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
+        spark = batch.sparkSession
+        states = sinks.numbered(spark, f"{sink}/state", "epoch")
+        if states and states[-1] >= epoch:
+            return
+        batch.write.mode("overwrite").parquet(f"{sink}/changes/epoch={epoch}")
+        if (epoch + 1) % fold_every == 0:
+            read_latest(spark, sink, schema, keys).write.mode("overwrite").parquet(f"{sink}/state/epoch={epoch}")
+            for old in states:
+                sinks.delete(spark, f"{sink}/state/epoch={old}")
+            for old in sinks.numbered(spark, f"{sink}/changes", "epoch"):
+                if old <= epoch:
+                    sinks.delete(spark, f"{sink}/changes/epoch={old}")
 
     return (
         latest.writeStream.outputMode("update")
@@ -36,6 +55,15 @@ def stream_latest(
 
 
 def read_latest(spark: SparkSession, sink: str, schema: StructType, keys: list[str]) -> DataFrame:
-    """Current state: for each key the row of its newest epoch."""
-    epochs = spark.read.schema(StructType([*schema.fields]).add("epoch", LongType())).parquet(sink)
-    return latest_one(epochs, keys, [F.col("epoch").desc()]).drop("epoch")
+    """Current state: for each key the row of its newest epoch since the last full state."""
+    states = sinks.numbered(spark, f"{sink}/state", "epoch")[-1:]
+    since = states[0] if states else -1
+    epochs = [n for n in sinks.numbered(spark, f"{sink}/changes", "epoch") if n > since]
+    paths = [f"{sink}/state/epoch={n}" for n in states] + [f"{sink}/changes/epoch={n}" for n in epochs]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    parts = [spark.read.schema(schema).parquet(p).withColumn("epoch", F.lit(n).cast("long")) for p, n in zip(paths, states + epochs)]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return latest_one(rows, keys, [F.col("epoch").desc()]).drop("epoch")

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rapport.operators import anti
+from rapport.operators import anti, split_join
 from rapport.plans.sync import STATUS_KEYS
+from rapport.sources import sinks
 
-LOG_SCHEMA = "alloy_sos_id string, voting_status string, epoch bigint"
+LOG_SCHEMA = "alloy_sos_id string, voting_status string, run string, epoch bigint"
+
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """All statuses sent, with the run and epoch that sent them."""
+    return spark.read.schema(LOG_SCHEMA).option("basePath", log_path).parquet(log_path)
 
 
 def stream_delta(
@@ -24,19 +31,26 @@ def stream_delta(
     """Turn a stream of status rows into a log of statuses sent.
 
     ``statuses`` maps a micro-batch to distinct (alloy_sos_id, voting_status);
-    ``present`` is what the tag history already shows. Every epoch writes its own
-    log folder and reads only the folders before it, so a replay after a lost
-    driver or executor writes the same rows again in place.
+    ``present`` is what the tag history already shows, stored once for all epochs.
+    Every epoch writes its own folder of the log, named by the run, which is the
+    checkpoint's own id, and the epoch. It reads all other folders first, also those
+    of earlier runs, so a replay after a lost driver or executor writes the same rows
+    again in place, and a new checkpoint neither overwrites the log nor sends twice.
+    Of what is known, only the batch's own keys are compared.
     """
+    spark = source.sparkSession
+    sent = sinks.stored(present.select(*STATUS_KEYS).dropna("any").distinct(), "present")
+    # The log exists from the start, so that the first epoch can read it.
+    spark.createDataFrame([], LOG_SCHEMA).write.mode("append").partitionBy("run", "epoch").parquet(log_path)
 
     def send(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        out = statuses(batch).select(*STATUS_KEYS).dropna("any").distinct()
-        delta = anti(out, present.select(*STATUS_KEYS), STATUS_KEYS)
-        if epoch > 0:
-            log = spark.read.schema(LOG_SCHEMA).option("basePath", log_path).parquet(log_path)
-            delta = anti(delta, log.where(F.col("epoch") < epoch), STATUS_KEYS)
-        delta.write.mode("overwrite").parquet(f"{log_path}/epoch={epoch}")
+        run = json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+        out = sinks.stored(statuses(batch).select(*STATUS_KEYS).dropna("any").distinct(), "batch")
+        log = read_log(spark, log_path).where((F.col("run") != run) | (F.col("epoch") < epoch))
+        known = sent.unionByName(log.select(*STATUS_KEYS))
+        known = split_join(known, out, STATUS_KEYS, "left_semi")
+        anti(out, known, STATUS_KEYS).write.mode("overwrite").parquet(f"{log_path}/run={run}/epoch={epoch}")
 
     return (
         source.writeStream.foreachBatch(send)

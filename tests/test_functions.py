@@ -29,8 +29,10 @@ def test_full_name_skips_missing_parts(spark):
 
 
 def test_prefixes(spark):
-    assert values(spark, ["GA_12", "GA_", None], "string", lambda c: fn.strip_prefix(c, 3)) == ["12", "", None]
-    assert values(spark, ["12", None], "string", lambda c: fn.add_prefix(c, "GA_")) == ["GA_12", None]
+    for prefix in ("A_", "GA_", "WY-12_"):
+        ids = [f"{prefix}12_7", prefix, "12", None]
+        assert values(spark, ids, "string", lambda c: fn.strip_prefix(c, prefix)) == ["12_7", "", "12", None]
+        assert values(spark, ["12", None], "string", lambda c: fn.add_prefix(c, prefix)) == [f"{prefix}12", None]
 
 
 def test_ratio_is_null_on_zero(spark):

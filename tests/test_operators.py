@@ -79,6 +79,19 @@ def test_mark_join_never_gives_null(spark):
     assert sets(ops.mark_join(left, right, "id", "known")) == [(1, False), (2, True), (None, False)]
 
 
+@pytest.mark.parametrize("listed", [[], [2], [2, 2, None], [None]])
+def test_three_valued_mark_is_sql_in(spark, listed):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "id int")
+    right = spark.createDataFrame([(v,) for v in listed], "id int")
+    marked = ops.mark_join(left, right, "id", "known", three_valued=True)
+    duckdb = pytest.importorskip("duckdb")
+    rows = ", ".join(f"({'NULL' if v is None else v})" for v in listed)
+    source = f"(SELECT CAST(v AS int) FROM (VALUES {rows}) t(v))" if listed else "(SELECT 1 WHERE false)"
+    expected = duckdb.sql(f"SELECT id, id IN {source} FROM (VALUES (1), (2), (NULL)) l(id)").fetchall()
+    assert sets(marked) == sorted(expected, key=repr)
+    assert "NestedLoop" not in plan_of(marked)
+
+
 def test_household_expansion(spark):
     base = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2), ("d", None), ("e", None)], "sos string, home int")
     seed = spark.createDataFrame([("a",), ("d",), ("zz",), (None,)], "sos string")
@@ -127,7 +140,8 @@ def test_copies_of_one_id_are_spread_over_buckets(spark):
 
 def test_hot_batches_are_numbered_by_bucket(spark, shuffled_joins):
     df = spark.range(1000).select("id", F.when(F.col("id") % 9 > 0, "hot").otherwise("warm").alias("k"))
-    plan = plan_of(ops.collect_batches(df, "k", "id", F.col("id"), "ids", 10))
+    slots = ops.batching._slots(df, "k", "id", 10, repeated=False)
+    plan = plan_of(slots.groupBy("k", *ops.batching.SLOT).agg(F.collect_list("id")))
     windows = plan[: plan.index("Window [row_number")]
     assert "Exchange" not in windows.split("Initial Plan")[-1]
     below = plan[plan.index("Window [row_number") :]
@@ -138,9 +152,17 @@ def test_hot_batches_are_numbered_by_bucket(spark, shuffled_joins):
 @pytest.mark.parametrize("partitions", [1, 5])
 def test_dense_index_is_a_permutation_at_any_partitioning(spark, partitions):
     df = spark.range(500).repartition(partitions)
-    out = {r.id: r.idx for r in ops.dense_index(df, "id", 3, rows_per_bucket=20).collect()}
+    out = {r.id: r.idx for r in ops.dense_index(df, "id", 3, groups=4).collect()}
     assert sorted(out.values()) == list(range(500))
-    assert out == {r.id: r.idx for r in ops.dense_index(spark.range(500), "id", 3, rows_per_bucket=20).collect()}
+    assert out == {r.id: r.idx for r in ops.dense_index(spark.range(500), "id", 3).collect()}
+
+
+def test_one_more_row_moves_indexes_by_one_at_most(spark):
+    before = {r.id: r.idx for r in ops.dense_index(spark.range(500), "id", 3).collect()}
+    after = {r.id: r.idx for r in ops.dense_index(spark.range(501), "id", 3).collect()}
+    assert {after[k] - before[k] for k in before} <= {0, 1}
+    plan = plan_of(ops.dense_index(spark.range(500), "id", 3))
+    assert "SinglePartition" not in plan
 
 
 def test_bootstrap_draws_from_the_distribution(spark):

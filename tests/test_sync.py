@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rapport.plans import sync
 from rapport.sources import files, sinks, tables
 from rapport.streaming.latest import read_latest, stream_latest
-from rapport.streaming.sync import LOG_SCHEMA, stream_delta
+from rapport.streaming.sync import read_log, stream_delta
 
 TAG_IDS = {"T1": "early_voted", "T2": "ballot_mailed"}
 def order():
@@ -67,7 +67,7 @@ def test_closed_loop_ends_with_nothing_to_send(spark, frame, people, tmp_path):
     sinks.append_log(log, log_path)
     sent = []
     for attempt in range(3):
-        log = spark.read.schema(log.schema).parquet(log_path)
+        log = sinks.read_version(spark, log_path, log.schema)
         batches = sync.tag_payloads(delta(people, log), "voting_status", "alloy_sos_id", "State File ID", n=1).collect()
         sent.append(len(batches))
         with_failure = "GA_3" if attempt == 0 else None
@@ -160,10 +160,15 @@ def test_saved_table_is_replaced(spark, tmp_path):
 
 def test_table_is_replaced_by_a_query_that_reads_it(spark, tmp_path):
     root = str(tmp_path / "t")
-    sinks.replace_from_itself(spark, spark.range(3), root, "self_view")
-    for _ in range(2):
-        sinks.replace_from_itself(spark, spark.table("self_view").select((F.col("id") + 1).alias("id")), root, "self_view")
-    assert sets(spark.table("self_view")) == [(2,), (3,), (4,)]
+    schema = spark.range(3).schema
+    sinks.replace_version(spark, spark.range(3), root)
+    for _ in range(3):
+        more = sinks.read_version(spark, root, schema).select((F.col("id") + 1).alias("id"))
+        assert sets(sinks.replace_version(spark, more, root)) == sets(sinks.read_version(spark, root, schema))
+    # another session finds the table; old versions are gone, a write that failed does not count
+    (tmp_path / "t" / "version=9").mkdir()
+    assert sets(sinks.read_version(spark.newSession(), root, schema)) == [(3,), (4,), (5,)]
+    assert sinks.numbered(spark, root, "version") == [2, 3]
 
 
 def test_log_by_day_and_compaction(spark, tmp_path):
@@ -171,10 +176,26 @@ def test_log_by_day_and_compaction(spark, tmp_path):
     rows = spark.createDataFrame([("a", "s", dt.date(2024, 1, 1))], "alloy_sos_id string, voting_status string, day date")
     sinks.append_log(rows, path, "day")
     sinks.append_log(rows.withColumn("day", F.lit(dt.date(2024, 1, 2))), path, "day")
-    log = spark.read.schema(rows.schema).parquet(path)
-    assert log.count() == 2
-    small = sinks.compact_log(spark, log, str(tmp_path / "small"), sync.STATUS_KEYS, "compacted")
-    assert sets(small) == [("a", "s")]
+    assert sinks.read_version(spark, path, rows.schema).count() == 2
+    assert sets(sinks.compact_log(spark, path, rows.schema, sync.STATUS_KEYS)) == [("a", "s")]
+    sinks.append_log(rows.select(F.lit("b").alias("alloy_sos_id"), "voting_status"), path)
+    assert sets(sinks.read_version(spark, path, rows.schema), *sync.STATUS_KEYS) == [("a", "s"), ("b", "s")]
+
+
+def test_report_is_sorted_by_the_sink_and_keeps_null_and_blank_apart(spark, tmp_path):
+    rows = spark.createDataFrame([(2, ""), (1, None), (3, "x")], "id int, t string").repartition(3)
+    path = sinks.write_report(rows, str(tmp_path), "r", "csv", order=[F.col("id").desc()])
+    assert [tuple(r) for r in files.read_csv(spark, path, rows.schema).collect()] == [(3, "x"), (2, ""), (1, None)]
+
+
+@pytest.mark.parametrize("cut", ['{"pod": [{"rmm": "r", "cms": [', "[1"])
+def test_broken_documents_fail_the_read(spark, tmp_path, cut):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.json").write_text('{"p": [{"rmm": "r", "cms": []}]}\n\n' + cut)
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        files.read_org(spark, str(tmp_path / "d")).collect()
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILED_READ"):
+        files.read_results(spark, str(tmp_path / "d")).select("tag", "people").collect()
 
 
 def test_scratch_and_stored_copies_lie_below_the_shared_folder(spark):
@@ -199,10 +220,25 @@ def test_stream_sends_each_status_once(spark, frame, tmp_path):
     def run(*ids):
         frame("tag_log", [dict(alloy_sos_id=i, voting_status="s") for i in ids]).coalesce(1).write.mode("append").parquet(inbox)
         stream_delta(tables.stream(spark, inbox, present.schema), statuses, present, log, check).awaitTermination()
-        return spark.read.schema(LOG_SCHEMA).parquet(log)
+        return sets(read_log(spark, log).drop("run"))
+
+    assert run("GA_1", "GA_1", "GA_9") == [("GA_1", "s", 0)]
+    assert run("GA_1", "GA_2") == [("GA_1", "s", 0), ("GA_2", "s", 1)]
+
+
+def test_a_new_checkpoint_neither_overwrites_the_log_nor_sends_twice(spark, frame, tmp_path):
+    log = str(tmp_path / "log")
+    none = frame("tag_log", [])
+
+    def run(check, *ids):
+        inbox = str(tmp_path / f"in-{check}")
+        frame("tag_log", [dict(alloy_sos_id=i, voting_status="s") for i in ids]).coalesce(1).write.parquet(inbox)
+        stream = tables.stream(spark, inbox, none.schema)
+        stream_delta(stream, statuses, none, log, str(tmp_path / check)).awaitTermination()
+        return sets(read_log(spark, log), "alloy_sos_id")
 
-    assert sets(run("GA_1", "GA_1", "GA_9")) == [("GA_1", "s", 0)]
-    assert sets(run("GA_1", "GA_2")) == [("GA_1", "s", 0), ("GA_2", "s", 1)]
+    assert run("first", "A") == [("A",)]
+    assert run("second", "A", "C", "D") == [("A",), ("C",), ("D",)]
 
 
 def test_replayed_epoch_changes_nothing(spark, frame, tmp_path):
@@ -212,7 +248,7 @@ def test_replayed_epoch_changes_nothing(spark, frame, tmp_path):
 
     def run():
         stream_delta(tables.stream(spark, inbox, none.schema), statuses, none, log, check).awaitTermination()
-        return sets(spark.read.schema(LOG_SCHEMA).parquet(log))
+        return sets(read_log(spark, log).drop("run"))
 
     for day in ("a", "b"):
         frame("tag_log", [dict(alloy_sos_id=day, voting_status="s")]).write.mode("append").parquet(inbox)
@@ -229,8 +265,13 @@ def test_stream_keeps_the_latest_row_and_ignores_late_ones(spark, tmp_path):
     def run(*rows):
         df = spark.createDataFrame(rows, schema)
         df.coalesce(1).write.mode("append").parquet(inbox)
-        stream_latest(tables.stream(spark, inbox, df.schema), ["k"], ["ts", "id"], sink, check).awaitTermination()
+        source = tables.stream(spark, inbox, df.schema)
+        stream_latest(source, ["k"], ["ts", "id"], sink, check, fold_every=2).awaitTermination()
         return sets(read_latest(spark, sink, df.schema, ["k"]))
 
     assert run(("a", 5, 1, "x"), ("a", 5, 2, "y"), ("b", 1, 3, "z")) == [("a", 5, 2, "y"), ("b", 1, 3, "z")]
     assert run(("a", 4, 9, "late"), ("b", 2, 4, "new")) == [("a", 5, 2, "y"), ("b", 2, 4, "new")]
+    # two epochs are folded into one state; a later one adds to it
+    assert sinks.numbered(spark, f"{sink}/state", "epoch") == [1]
+    assert sinks.numbered(spark, f"{sink}/changes", "epoch") == []
+    assert run(("a", 6, 5, "w")) == [("a", 6, 5, "w"), ("b", 2, 4, "new")]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 import rapport.functions as fn
 from rapport import operators as ops
 from rapport.labels import STATUS_STEPS, GrowthQuestions, ScoreRules, SupportCodes
-from rapport.plans import answers, feeds, growth, nested, status, sync, templates, tiers, topline
-from rapport.reports import Params, Reports
+from rapport.plans import answers, feeds, growth, members, nested, status, sync, templates, tiers, topline
+from rapport.reports import Params, Reports, view
 from rapport.schemas import ORG, TABLES
 from rapport.sources import files, sinks, tables
 from rapport.streaming.latest import read_latest, stream_latest
-from rapport.streaming.sync import LOG_SCHEMA, stream_delta
+from rapport.streaming.sync import read_log, stream_delta
 from workloads.roles import AS_OF, BASE, CALENDAR_START, FLAT, HOME_STATE, PREFIX, REPORT_START, VOLUNTEERS, Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,8 @@ PARAMS = Params(
     home_state=HOME_STATE,
     uncontactable_tag="t4",
     note_category="User ID",
+    prefix=PREFIX,
+    tag_names={"t0": "Voted early", "t1": "Ballot is in", "t2": "Ballot is out", "t3": "Asked for a ballot"},
     tag_order=("tag_timestamp", "event_id"),
 )
 # input tables whose role has another name
@@ -77,11 +79,11 @@ class Data(Reports):
             raise AttributeError(name)
         return self.table(name)
 
-    @cached_property
+    @view
     def flat(self) -> DataFrame:
         return self.spark.sql(FLAT, relationships=self.table("relationships"), members=self.members)
 
-    @cached_property
+    @view
     def typed_flat(self) -> DataFrame:
         return self.flat.withColumns(
             {
@@ -90,10 +92,18 @@ class Data(Reports):
             }
         )
 
-    @cached_property
+    @view
     def volunteers(self) -> DataFrame:
         return self.spark.sql(VOLUNTEERS, relationships=self.table("relationships"), users=self.table("users"))
 
+    @view
+    def parsed(self) -> DataFrame:
+        """The flat rows nested, written as JSON lines, read and flattened again."""
+        self.store("flat")
+        path = self.scratch("json")
+        nested.org_lines(nested.nest_networks(self.flat)).write.text(path)
+        return nested.flatten_org(files.read_org(self.spark, path), AS_OF)
+
     def scratch(self, label: str) -> str:
         return sinks.scratch(self.spark, label)
 
@@ -132,10 +142,7 @@ def csv_roundtrip(d: Data) -> DataFrame:
 
 @query
 def json_flatten(d: Data) -> DataFrame:
-    d.store("flat")
-    path = d.scratch("json")
-    nested.org_lines(nested.nest_networks(d.flat)).write.text(path)
-    return nested.flatten_org(files.read_org(d.spark, path), AS_OF)
+    return d.parsed
 
 
 @query
@@ -175,17 +182,47 @@ def report_sink(d: Data) -> DataFrame:
 def self_replace(d: Data) -> DataFrame:
     root = d.scratch("users")
     users = d.users.select("user_id", "state", "date_joined")
-    first = sinks.replace_from_itself(d.spark, users, root, "rapport_users")
-    return sinks.replace_from_itself(d.spark, first.fillna("unknown", ["state"]), root, "rapport_users")
+    sinks.replace_version(d.spark, users, root)
+    again = sinks.read_version(d.spark, root, users.schema).fillna("unknown", ["state"])
+    sinks.replace_version(d.spark, again, root)
+    # another session finds the table by its folder alone
+    return sinks.read_version(d.spark.newSession(), root, users.schema)
+
+
+@query
+def table_as_select(d: Data) -> DataFrame:
+    path = d.scratch("table")
+    name = "saved_" + path.rpartition("-")[2]
+    sinks.save_table(d.users.select("user_id", "state"), name, path)
+    sinks.save_table(d.users.where("state IS NOT NULL").select("user_id", "state"), name, path)
+    return d.spark.table(name)
+
+
+@query
+def sheet_labels(d: Data) -> DataFrame:
+    path = d.scratch("labels")
+    files.write_csv(d.tag_history.select(F.col("state_file_id").alias("id"), F.col("tag_name").alias("label")), path)
+    return files.read_id_labels(d.spark, path).groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def sheet_members(d: Data) -> DataFrame:
+    path = d.scratch("sheet")
+    sheet = d.training.select(*TABLES["training_tracker"].names)
+    files.write_csv(sheet, path)
+    read = files.read_sheet(d.spark, path, "training_sheet", TABLES["training_tracker"])
+    return members.match_members(read, d.leaders, d.users)
 
 
 @query
 def append_log(d: Data) -> DataFrame:
-    path = d.scratch("log")
+    root = d.scratch("log")
     known = F.col("voting_status") == "other"
-    sinks.append_log(d.tag_log.where(~known), path)
-    sinks.append_log(d.tag_log.where(known), path)
-    return d.spark.read.schema(d.tag_log.schema).parquet(path)
+    sinks.append_log(d.tag_log.where(~known), root)
+    sinks.append_log(d.tag_log.where(~known), root)
+    sinks.compact_log(d.spark, root, d.tag_log.schema, sync.STATUS_KEYS)
+    sinks.append_log(d.tag_log.where(known), root)
+    return sinks.read_version(d.spark, root, d.tag_log.schema)
 
 
 @query
@@ -201,6 +238,24 @@ def sync_success(d: Data) -> DataFrame:
     return sync.successes(files.read_results(d.spark, path))
 
 
+@query
+def sync_loop(d: Data) -> DataFrame:
+    """Delta, payloads, responses and log; then what the next run has to send again."""
+    d.store("delta")
+    root, path = d.scratch("log"), d.scratch("responses")
+    sinks.append_log(d.tag_log, root)
+    people = "people array<struct<person_id:string>>"
+    payloads = d.tag_payloads().withColumn("people", F.from_json("payload_json", people)["people"])
+    outcome = lambda p: F.when(p["person_id"].endswith("7"), "error").otherwise("success")
+    answered = F.transform("people", lambda p: F.struct(p["person_id"].alias("person_id"), outcome(p).alias("status")))
+    files.write_json(payloads.select(F.col("voting_status").alias("tag"), answered.alias("people")), path)
+    sinks.append_log(sync.successes(files.read_results(d.spark, path)), root)
+    log = sinks.read_version(d.spark, root, d.tag_log.schema)
+    return sync.status_delta(
+        d.absentee, d.voter_file, d.tag_history, log, PARAMS.tag_ids, d.tag_order(), PREFIX
+    )
+
+
 @query
 def growth_program(d: Data) -> DataFrame:
     return (
@@ -219,17 +274,18 @@ def delta_routed(d: Data) -> DataFrame:
 
 @query
 def batch_payload(d: Data) -> DataFrame:
-    batches = sync.tag_payloads(
-        sync.current_statuses(d.absentee, d.voter_file, PREFIX), "voting_status", "alloy_sos_id", "State File ID"
-    )
+    targets = {status: (tag, PARAMS.tag_names[tag]) for tag, status in PARAMS.tag_ids.items()}
+    current = sinks.stored(sync.current_statuses(d.absentee, d.voter_file, PREFIX), "statuses")
+    batches = sync.tag_payloads(current, "voting_status", "alloy_sos_id", "State File ID", targets=targets)
     doc = "name string, locked boolean, people array<struct<person_id:string,person_id_type:string,action:string>>"
-    return batches.select("batch_size", F.from_json("payload_json", doc).alias("p")).select(
-        "p.name", F.explode("p.people").alias("person"), (F.col("batch_size") <= 1000).alias("fits")
-    ).select("name", "person.person_id", "person.person_id_type", "person.action", "fits")
+    return batches.select("tag_id", "batch_size", F.from_json("payload_json", doc).alias("p")).select(
+        "tag_id", "p.name", F.explode("p.people").alias("person"), (F.col("batch_size") <= 1000).alias("fits")
+    ).select("tag_id", "name", "person.person_id", "person.person_id_type", "person.action", "fits")
 
 
 @query
 def group_payload(d: Data) -> DataFrame:
+    d.store("segments")
     users = F.from_json("payload_json", "users array<struct<user_id:bigint>>")["users"]
     return (
         sync.group_payloads(d.segments)
@@ -253,6 +309,7 @@ def people_union(d: Data) -> DataFrame:
 
 @query
 def activity_feed(d: Data) -> DataFrame:
+    d.prepare("activity_feed")
     return d.activity_feed().select(
         "user_id",
         "user_name",
@@ -315,7 +372,7 @@ def first_answer(d: Data) -> DataFrame:
 @query
 def array_index(d: Data) -> DataFrame:
     picked = fn.choices(F.col("response_value"))
-    return d.responses.where("question_name IN ('purchase', 'signup')").select(
+    return d.responses.select(
         "user_id", "reach_id", "response_id", F.size(picked).alias("n_choices"), F.get(picked, 0).alias("first_choice")
     ).where("n_choices IS NOT NULL")
 
@@ -395,6 +452,7 @@ def growth_dense(d: Data) -> DataFrame:
 
 @query
 def growth_sparse(d: Data) -> DataFrame:
+    d.prepare("growth_cm")
     return rounded(d.growth(ops.LEVELS[0]))
 
 
@@ -422,7 +480,7 @@ def nonvoting_rates(d: Data) -> DataFrame:
 
 @query
 def topline_levels(d: Data) -> DataFrame:
-    d.store("members", "touched", "days", "profile")
+    d.prepare(*[f"topline_{level.name}" for level in ops.LEVELS[1:]])
     tops = ops.per_level(d.topline, ops.LEVELS[1:])
     keyed = [
         df.select(
@@ -437,6 +495,7 @@ def topline_levels(d: Data) -> DataFrame:
 
 @query
 def member_enriched(d: Data) -> DataFrame:
+    d.prepare("topline_cm")
     return rounded(d.member_topline())
 
 
@@ -454,7 +513,7 @@ def rollup_levels(d: Data) -> DataFrame:
 @query
 def topline_summary(d: Data) -> DataFrame:
     levels = (ops.Level("cm", ("user_id", "rmm", "pod")), *ops.LEVELS[1:])
-    counts = topline.summary_counts(growth.with_program(d.typed_flat), ["rmm", "pod", "program"])
+    counts = topline.summary_counts(growth.with_program(d.parsed), ["rmm", "pod", "program"])
     counts = sinks.stored(counts, "summary-counts")
     tops = [
         topline.summarise(counts, list(level.keys)).select(
@@ -517,6 +576,7 @@ def latest_tag(d: Data) -> DataFrame:
 
 @query
 def work_queue(d: Data) -> DataFrame:
+    d.prepare("work_queue")
     return d.work_queue()
 
 
@@ -540,6 +600,20 @@ def not_enrolled(d: Data) -> DataFrame:
     return d.not_enrolled()
 
 
+@query
+def not_in_list(d: Data) -> DataFrame:
+    """NOT IN against a list without nulls, one with nulls and an empty one, null keys included."""
+    users = d.users.select("user_id", "added_by_user_id")
+    found = d.notes.select(F.col("note_text").alias("added_by_user_id"))
+    lists_ = {"no_null": found.dropna(), "nulls": found, "empty": found.where("false")}
+    return union(
+        [
+            ops.anti(users, listed, "added_by_user_id", null_aware=True).withColumn("list", F.lit(name))
+            for name, listed in lists_.items()
+        ]
+    )
+
+
 @query
 def user_segments(d: Data) -> DataFrame:
     return d.segments
@@ -562,7 +636,7 @@ def email_users(d: Data) -> DataFrame:
 
 @query
 def household_expand(d: Data) -> DataFrame:
-    return feeds.expanded_network(d.relationships, d.voter_file)
+    return feeds.expanded_network(d.relationships, d.voter_file, PREFIX)
 
 
 @query
@@ -570,7 +644,7 @@ def mark_flag(d: Data) -> DataFrame:
     past = d.election.where("election_id = 'purchase'").select(
         F.col("registration_id").alias("master_registration_id")
     )
-    marked = ops.mark_join(d.voter_file, past, "master_registration_id", "voted_general")
+    marked = ops.mark_join(d.voter_file, past, "master_registration_id", "voted_general", three_valued=True)
     return marked.select("sos_id", "voted_general")
 
 
@@ -590,8 +664,9 @@ def delta_sync(d: Data) -> DataFrame:
 @query
 def volunteer_summary(d: Data) -> DataFrame:
     d.store("volunteers")
-    docs = nested.nest_volunteers(d.volunteers)
-    return nested.volunteer_summary(nested.flatten_volunteers(docs))
+    path = d.scratch("volunteers-json")
+    nested.org_lines(nested.nest_volunteers(d.volunteers)).write.text(path)
+    return nested.volunteer_summary(nested.flatten_volunteers(files.read_volunteers(d.spark, path)))
 
 
 @query
@@ -621,18 +696,40 @@ def template_fit(d: Data) -> DataFrame:
     return rounded(order_template(d))
 
 
-@query
-def template_scale(d: Data) -> DataFrame:
-    totals = d.relationships.groupBy("relationship_type", "relationship_status").agg(
-        F.countDistinct("user_id").alias("users"),
+def relationship_totals(d: Data, keys: list[str]) -> DataFrame:
+    """Totals per group; users and people are counted from their distinct pairs with the group."""
+    rows = d.relationships.withColumn("program", F.lit("CM"))
+    sums = rows.groupBy(*keys).agg(
         F.count_if(F.col("auto_applied_tag") == "Voter").alias("matched_voters"),
         F.count_if(F.col("auto_applied_tag") == "Reach Add").alias("reach_adds"),
-        F.countDistinct("reach_id").alias("votes"),
         F.lit(7.0).alias("voters_per_cm_week"),
     )
-    return rounded(
-        templates.scale_template(totals, order_template(d), ["relationship_type", "relationship_status"], seed=7)
-    )
+    users = ops.distinct_counts(rows, keys, "user_id", {"users": None})
+    people = ops.distinct_counts(rows, keys, "reach_id", {"votes": None})
+    return sums.join(users, keys).join(people, keys)
+
+
+@query
+def template_scale(d: Data) -> DataFrame:
+    keys = ["relationship_type", "relationship_status"]
+    return rounded(templates.scale_template(relationship_totals(d, keys), order_template(d), keys, seed=7))
+
+
+@query
+def template_levels(d: Data) -> DataFrame:
+    """Growth from templates at three levels of grouping."""
+    template = sinks.stored(order_template(d), "template")
+    levels = {
+        "leader": ["relationship_type", "relationship_status"],
+        "pod": ["relationship_type"],
+        "program": ["program"],
+    }
+    scaled = []
+    for level, keys in levels.items():
+        rows = templates.scale_template(relationship_totals(d, keys), template, keys, seed=7)
+        key = F.concat_ws("|", *keys).alias("group_key")
+        scaled.append(rows.select(F.lit(level).alias("level"), key, *[c for c in rows.columns if c not in keys]))
+    return rounded(union(scaled))
 
 
 @query
@@ -661,10 +758,17 @@ def weighted_assign(d: Data) -> DataFrame:
 # --- streaming --------------------------------------------------------------------------------------
 
 
+def in_files(d: Data, name: str, n: int = 4) -> str:
+    """A given table in several files, so that a stream over it takes several epochs."""
+    path = d.scratch(name)
+    getattr(d.roles, name).repartition(n).write.parquet(path)
+    return path
+
+
 @query
 def stream_delta_sync(d: Data) -> DataFrame:
     log_path, checkpoint = d.scratch("stream-log"), d.scratch("stream-checkpoint")
-    source = tables.stream(d.spark, f"{d.root}/part.parquet", BASE["part"])
+    source = tables.stream(d.spark, in_files(d, "part"), BASE["part"], files_per_epoch=1)
 
     def statuses(batch: DataFrame) -> DataFrame:
         # the status role of the parts in this micro-batch
@@ -683,7 +787,7 @@ def stream_delta_sync(d: Data) -> DataFrame:
 
     present = sync.present_statuses(d.tag_history, d.tag_log, PARAMS.tag_ids, d.tag_order())
     stream_delta(source, statuses, present, log_path, checkpoint).awaitTermination()
-    return d.spark.read.schema(LOG_SCHEMA).parquet(log_path).drop("epoch")
+    return read_log(d.spark, log_path).select(*sync.STATUS_KEYS)
 
 
 QUERIES["stream_delta"] = QUERIES.pop("stream_delta_sync")
@@ -692,10 +796,10 @@ QUERIES["stream_delta"] = QUERIES.pop("stream_delta_sync")
 @query
 def stream_latest_event(d: Data) -> DataFrame:
     sink, checkpoint = d.scratch("latest"), d.scratch("latest-checkpoint")
-    source = tables.stream(d.spark, f"{d.root}/events.parquet", BASE["events"])
+    source = tables.stream(d.spark, in_files(d, "events"), BASE["events"], files_per_epoch=1)
     keys, order = ["user_id", "event_type"], ["ts", "event_id"]
     rows = source.select(*keys, *order, "value")
-    stream_latest(rows, keys, order, sink, checkpoint).awaitTermination()
+    stream_latest(rows, keys, order, sink, checkpoint, fold_every=3).awaitTermination()
     return read_latest(d.spark, sink, rows.schema, keys).select(*keys, "event_id", "value")
 
 

@@ -111,7 +111,7 @@ ROLES = {
           'Sam' AS person_first_name, event_type AS person_last_name,
           CASE WHEN event_id % 3 <> 0 THEN concat('GA_', cast(user_id * 13 + event_id % 17 AS varchar(20))) END
             AS state_file_id
-        FROM {events} WHERE event_type IN ('view', 'click')""",
+        FROM {events}""",
     "r_tag_history": """
         SELECT user_id, user_id * 13 + event_id % 17 AS reach_id, event_id,
           CASE WHEN event_id % 13 <> 0 THEN concat('GA_', cast(user_id * 13 + event_id % 17 AS varchar(20))) END
@@ -121,10 +121,10 @@ ROLES = {
             WHEN 3 THEN 'request_received' ELSE 'other' END AS tag_name,
           CASE WHEN user_id % 3 = 0 THEN 'Removed' ELSE 'Added' END AS tag_action,
           cast(ts AS date) AS tag_date, cast(cast(ts AS date) AS timestamp) AS tag_timestamp
-        FROM {events} WHERE event_type IN ('error', 'signup')""",
+        FROM {events}""",
     "r_voter_file": """
         SELECT cast(p_partkey AS varchar(20)) AS sos_id, p_partkey + 1000000 AS person_id,
-          p_partkey + 2000000 AS myv_van_id, p_partkey AS master_registration_id,
+          p_partkey + 2000000 AS myv_van_id, CASE WHEN p_partkey % 11 <> 0 THEN p_partkey END AS master_registration_id,
           split_part(p_name, ' ', 1) AS first_name, p_type AS middle_name,
           concat(lower(p_brand), '-', split_part(p_name, ' ', 2)) AS last_name,
           cast(18 + p_size AS varchar(20)) AS age_combined, CASE WHEN p_size < 25 THEN 'F' ELSE 'M' END AS gender_combined,
