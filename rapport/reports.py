@@ -95,15 +95,17 @@ class Reports:
     def prepare(self, *names: str) -> None:
         """Store the views that building these reports reads more than once.
 
-        The reports are planned on the side to count the reads. A view is stored after
-        those it reads itself, which then come from their copies.
+        The reports are planned on the side to count the reads; the plans of ``REREAD``
+        views' readers read them several times themselves. A view is stored after those it
+        reads itself, which then come from their copies.
         """
         trial = copy(self)
         trial.built, trial.reads = dict(self.built), Counter()
         builders = trial.by_name()
         for name in names:
             builders[name]()
-        self.store(*[name for name in SHARED if trial.reads[name] > 1 and name not in self.built])
+        wanted = [name for name in SHARED if trial.reads[name] > (name not in REREAD)]
+        self.store(*[name for name in wanted if name not in self.built])
 
     def clear(self) -> None:
         """Delete the stored copies; what was built on them cannot be read any more."""
@@ -331,6 +333,9 @@ SHARED = (
     "delta",
 )
 
+# Views that growth and toplines go through once per measure.
+REREAD = ("members", "touched", "days", "profile")
+
 # How reports are sorted when they are written.
 ORDER = {
     "activity_feed": lambda p: [F.col("action_timestamp").desc(), "user_id", "voter"],

@@ -697,16 +697,20 @@ def template_fit(d: Data) -> DataFrame:
 
 
 def relationship_totals(d: Data, keys: list[str]) -> DataFrame:
-    """Totals per group; users and people are counted from their distinct pairs with the group."""
+    """Totals per group; users and people are counted from their distinct pairs with the group.
+
+    The parts are put side by side by grouping, not by joins: a group may be all there is.
+    """
     rows = d.relationships.withColumn("program", F.lit("CM"))
     sums = rows.groupBy(*keys).agg(
         F.count_if(F.col("auto_applied_tag") == "Voter").alias("matched_voters"),
         F.count_if(F.col("auto_applied_tag") == "Reach Add").alias("reach_adds"),
-        F.lit(7.0).alias("voters_per_cm_week"),
     )
     users = ops.distinct_counts(rows, keys, "user_id", {"users": None})
     people = ops.distinct_counts(rows, keys, "reach_id", {"votes": None})
-    return sums.join(users, keys).join(people, keys)
+    parts = sums.unionByName(users, allowMissingColumns=True).unionByName(people, allowMissingColumns=True)
+    counts = [F.max(c).alias(c) for c in ("users", "matched_voters", "reach_adds", "votes")]
+    return parts.groupBy(*keys).agg(*counts, F.lit(7.0).alias("voters_per_cm_week"))
 
 
 @query
