@@ -17,7 +17,20 @@ from rapport.sources.sinks import stored
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Bytes of text handled at a time inside a task, whatever the size of an Arrow batch.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+# Bytes of rows that go to a Python worker at once; a longer text goes alone.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker gets at once by bytes, as texts may be long.
+
+    Sets the session's limit on Arrow batches, unless it is lower already.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(key).rstrip("b"))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +81,7 @@ def keep_rows(docs: DataFrame, read: Column, decide: Callable[[list[bytes | None
 
     Columns go by place, so any names do, also equal ones and such with dots.
     """
+    small_batches(docs.sparkSession)
     names = docs.columns
     plain = [f"c{k}" for k in range(len(names))]
     schema = T.StructType([T.StructField(p, f.dataType) for p, f in zip(plain, docs.schema)])

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rapport.llm.common import MULTIPLIER, chunks, keep_rows, mix, text_bytes, word_hashes, words_of
+from rapport.llm.common import MULTIPLIER, chunks, keep_rows, mix, small_batches, text_bytes, word_hashes, words_of
 
 # Benchmark text searched in one pass over the documents; more text takes more passes.
 BLOCK_BYTES = 8 << 20
@@ -172,6 +172,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, wid
     Repeated items count once. The benchmark goes to all tasks in blocks of bounded size, one
     pass over the documents for each, so documents are never shuffled.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         _lowered().alias("text"),

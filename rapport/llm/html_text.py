@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rapport.llm.common import small_batches
+
 # Element names of HTML by what they mean for the main text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template iframe textarea title xmp noembed noframes svg math".split())
@@ -265,5 +267,6 @@ def main_text(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"],
             )
 
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

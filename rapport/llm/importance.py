@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rapport.llm.common import MULTIPLIER, chunks, mix, text_bytes, word_hashes, words_of
+from rapport.llm.common import MULTIPLIER, chunks, mix, small_batches, text_bytes, word_hashes, words_of
 from rapport.sources.sinks import stored
 
 BUCKETS = 1 << 14
@@ -29,6 +29,7 @@ def buckets(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _read(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").cast("binary").alias("text"))
 
 

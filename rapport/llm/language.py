@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rapport.llm.common import keep_rows, mix, text_bytes
+from rapport.llm.common import keep_rows, mix, small_batches, text_bytes
 
 UNKNOWN = "und"
 N = 3
@@ -127,6 +127,7 @@ def prototypes(docs: DataFrame, dimensions: int = 512, seed: int = 7, max_langs:
                 ["lang", "vector"],
             )
 
+    small_batches(docs.sparkSession)
     rows = docs.where("lang is not null and text is not null").select("text", "lang")
     parts = rows.mapInArrow(run, "lang string, vector array<double>")
     summed = parts.select("lang", F.posexplode("vector").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x"))
@@ -199,6 +200,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 ["doc_id", "held_out", "lang_pred", "score"],
             )
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rapport.llm.common import components, text_bytes
+from rapport.llm.common import components, small_batches, text_bytes
 from rapport.operators.joins import split_join
 from rapport.sources.sinks import stored
 
@@ -49,6 +49,7 @@ def fingerprints(docs: DataFrame, shingle: int, id: str = "doc_id", text: str =
             column = np.array(fps, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(column, pa.int64())], ["id", "fp"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, "id long, fp long")
 
