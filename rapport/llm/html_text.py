@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from math import e, log
 
@@ -49,7 +50,7 @@ NOISE = set(
 ARTICLE = {"article", "main"}
 
 TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S
+    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S
 )
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NOTABLE = re.compile(r"class|id|role|hidden|style", re.I)
@@ -82,62 +83,70 @@ def is_noise(name: str, attributes: str) -> bool:
 
 
 def parse(html: str) -> Node:
-    """Tree of a page, unclosed and misnested elements included; dropped parts have no text."""
+    """Tree of a page, unclosed and misnested elements included; dropped parts have no text.
+
+    How many elements of a name are open is counted, so that an end tag without a start, or a
+    deeply nested page, costs no search.
+    """
     root = Node("html", None)
-    node, at, low = root, 0, None
+    stack, is_open = [root], Counter()
+    at, low = 0, None
+
+    def close(keep: int) -> None:
+        """Leave the first ``keep`` open elements open."""
+        while len(stack) > keep:
+            is_open[stack.pop().name] -= 1
+
     for m in TOKEN.finditer(html):
         if m.start() < at:
             continue
-        if m.start() > at and not node.drop:
-            node.items.append(html[at : m.start()])
+        if m.start() > at and not stack[-1].drop:
+            stack[-1].items.append(html[at : m.start()])
         at = m.end()
         if not m[2]:
             continue
         name = m[2].lower()
         if m[1]:
-            up = node
-            while up.parent and up.name != name:
+            if is_open[name]:
+                up = len(stack) - 1
                 # A block's end closes what is open in it; an inline end does not leave its block.
-                if name not in BLOCKS and up.name in BLOCKS:
-                    up = root
-                    break
-                up = up.parent
-            if up.parent:
-                node = up.parent
+                while stack[up].name != name and (name in BLOCKS or stack[up].name not in BLOCKS):
+                    up -= 1
+                if stack[up].name == name:
+                    close(up)
             continue
-        if name in ("html", "body") and node is root:
+        if name in ("html", "body") and len(stack) == 1:
             continue
-        if name in ENDS_P:
-            up = node
-            while up.parent and up.name != "p" and up.name not in BLOCKS:
-                up = up.parent
-            if up.name == "p":
-                node = up.parent
+        if name in ENDS_P and is_open["p"]:
+            up = len(stack) - 1
+            while up and stack[up].name != "p" and stack[up].name not in BLOCKS:
+                up -= 1
+            if stack[up].name == "p":
+                close(up)
         if name in SIBLINGS:
             closed, stops = SIBLINGS[name]
-            up = top = node
-            while up.parent and up.name not in stops:
-                if up.name in closed:
-                    top = up.parent
-                up = up.parent
-            node = top
+            if any(is_open[c] for c in closed):
+                up, keep = len(stack) - 1, len(stack)
+                while up and stack[up].name not in stops:
+                    if stack[up].name in closed:
+                        keep = up
+                    up -= 1
+                close(keep)
+        node = stack[-1]
         drop = node.drop or name in DROPPED or is_noise(name, m[3])
-        if name == "header" and not drop:
-            up = node
-            while up and up.name not in ARTICLE:
-                up = up.parent
-            drop = up is None
+        drop = drop or name == "header" and not any(is_open[x] for x in ARTICLE)
         child = Node(name, node, drop)
         node.items.append(child)
         if name in RAW:
             low = low if low is not None else html.lower()
             end = low.find("</" + name, at)
-            close = html.find(">", end) + 1 if end >= 0 else 0
-            at = close or len(html)
+            close_at = html.find(">", end) + 1 if end >= 0 else 0
+            at = close_at or len(html)
         elif name not in VOID and not m[3].endswith("/") or name in BLOCKS - VOID:
-            node = child
-    if at < len(html) and not node.drop:
-        node.items.append(html[at:])
+            stack.append(child)
+            is_open[name] += 1
+    if at < len(html) and not stack[-1].drop:
+        stack[-1].items.append(html[at:])
     return root
 
 
@@ -204,12 +213,12 @@ def content(nodes: list[Node]) -> list[Node]:
         inner = [top[x] for x in node.items if isinstance(x, Node) and not x.drop]
         top[node] = max([node, *inner], key=lambda n: (n.sum, n.chars))
     marked = {top[n] for n in nodes if n.chars and n.density >= least}
-    chosen = []
+    chosen, inside = [], set()
     for node in nodes:
-        up = node.parent
-        while up and up not in marked:
-            up = up.parent
-        if node in marked and up is None:
+        if node.parent in inside:
+            inside.add(node)
+        elif node in marked:
+            inside.add(node)
             chosen.append(node)
     return chosen
 
