@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def split_join(df: DataFrame, other: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+def split_join(
+    df: DataFrame, other: DataFrame, on: str | list[str], how: str = "inner", hot: bool = True
+) -> DataFrame:
     """Equi-join whose hot keys AQE can split; ``how`` is inner, left, left_semi or left_anti.
 
     AQE splits a skewed partition only if both inputs come straight from a shuffle
@@ -16,8 +18,11 @@ def split_join(df: DataFrame, other: DataFrame, on: str | list[str], how: str =
     was aggregated by the same key skips the shuffle, and a later aggregate over
     more columns reuses it. Comparing null-safe makes Spark shuffle by derived
     columns, which rules out both. Null keys are taken from ``other`` first, so
-    they still match nothing.
+    they still match nothing. ``hot=False`` states that no key is hot: a plain join then
+    uses the bucketing or partitioning that the inputs have.
     """
+    if not hot:
+        return df.join(other, on, how)
     keys = [on] if isinstance(on, str) else list(on)
     names = {k: f"_other_{k}" for k in keys}
     right = other.dropna("any", subset=keys).withColumnsRenamed(names)

@@ -34,17 +34,17 @@ def with_program(members: DataFrame, program: str = "CM") -> DataFrame:
 def touches(edges: DataFrame) -> DataFrame:
     """Active relationships reduced to one row per (user_id, reach_id).
 
-    A day never decreases as its timestamp grows, so the earliest day belongs to
-    the earliest timestamp. The per-tag minima tell which tags occur there.
+    The first day is that of the earliest timestamp, the earliest of several. The
+    per-tag minima tell which tags occur there.
     """
     ts = F.col("relationship_created_timestamp")
     tag = F.col("auto_applied_tag")
-    day = F.when(ts.isNotNull(), F.col("relationship_created_date"))
+    first = F.min(F.when(ts.isNotNull(), F.struct(ts, F.col("relationship_created_date"))))
     return (
         edges.where("relationship_status = 'Active'")
         .groupBy("user_id", "reach_id")
         .agg(
-            F.min(day).alias("first_day"),
+            first.getField("relationship_created_date").alias("first_day"),
             F.min(ts).alias("first_ts"),
             F.min(F.when(tag == MATCHED_TAG, ts)).alias("matched_ts"),
             F.min(F.when(tag == ADDED_TAG, ts)).alias("added_ts"),
@@ -54,11 +54,14 @@ def touches(edges: DataFrame) -> DataFrame:
 
 def group_touches(members: DataFrame, touched: DataFrame, level: Level) -> DataFrame:
     """One row per (keys, person): the first day inside the group, and its tags."""
-    columns = ("first_day", "first_ts", "matched_ts", "added_ts")
+    columns = ("first_ts", "matched_ts", "added_ts")
+    first = F.min(F.when(F.col("first_ts").isNotNull(), F.struct("first_ts", "first_day")))
     keyed = members.select("user_id", *[k for k in level.keys if k != "user_id"]).distinct()
     rows = split_join(touched, keyed, "user_id")
     if "user_id" not in level.keys:  # else there is one row per (keys, person) already
-        rows = rows.groupBy(*level.keys, "reach_id").agg(*[F.min(c).alias(c) for c in columns])
+        rows = rows.groupBy(*level.keys, "reach_id").agg(
+            first.getField("first_day").alias("first_day"), *[F.min(c).alias(c) for c in columns]
+        )
     return rows.select(
         *level.keys,
         "reach_id",
@@ -90,9 +93,9 @@ def person_days(responses: DataFrame, votes: DataFrame, questions: GrowthQuestio
     def first_day(question: str) -> Column:
         asked = F.col("question_name") == question
         first, first_complete = F.min(F.when(asked, ts)), F.min(F.when(asked & complete, ts))
-        day = F.min(F.when(asked & complete & ts.isNotNull(), F.col("canvass_date")))
+        day = F.min(F.when(asked & complete & ts.isNotNull(), F.struct(ts, F.col("canvass_date"))))
         # an incomplete first row hides the person's later answers
-        return F.when(first == first_complete, day)
+        return F.when(first == first_complete, day.getField("canvass_date"))
 
     answered = (
         responses.where(F.col("question_name").isin(questions.support, questions.plan))

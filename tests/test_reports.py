@@ -527,3 +527,16 @@ def test_profile_full_join_keeps_people_known_to_one_source(spark, cross, file,
     assert found["only-answers"].nonvoting is None and found["r6"].nonvoting and not found["r2"].nonvoting
     assert (found["r1"].tier1, found["r1"].records) == (1, 1)
     assert out.groupBy("reach_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").count() == 0
+
+
+def test_days_follow_the_earliest_timestamp(spark, frame):
+    """The day is that of the earliest row, also where a later row names an earlier day."""
+    edge = dict(user_id="u", reach_id="r", relationship_status="Active")
+    edges = frame(
+        "relationships",
+        [
+            dict(edge, relationship_created_timestamp=dt.datetime(2024, 1, 2, 9), relationship_created_date=D(2024, 1, 2)),
+            dict(edge, relationship_created_timestamp=dt.datetime(2024, 1, 3, 9), relationship_created_date=D(2024, 1, 1)),
+        ],
+    )
+    assert [r.first_day for r in growth.touches(edges).collect()] == [D(2024, 1, 2)]

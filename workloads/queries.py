@@ -104,6 +104,14 @@ class Data(Reports):
         nested.org_lines(nested.nest_networks(self.flat)).write.text(path)
         return nested.flatten_org(files.read_org(self.spark, path), AS_OF)
 
+    @view
+    def parsed_volunteers(self) -> DataFrame:
+        """The volunteers' rows nested, written as JSON lines, read and flattened again."""
+        self.store("volunteers")
+        path = self.scratch("volunteers-json")
+        nested.org_lines(nested.nest_volunteers(self.volunteers)).write.text(path)
+        return nested.flatten_volunteers(files.read_volunteers(self.spark, path))
+
     def scratch(self, label: str) -> str:
         return sinks.scratch(self.spark, label)
 
@@ -151,10 +159,9 @@ def json_nest(d: Data) -> DataFrame:
     docs = nested.org_lines(nested.nest_networks(d.flat)).select(F.from_json("value", ORG).alias("doc"))
     cms = docs.select(F.explode("doc").alias("pod", "leaders")).select("pod", F.explode("leaders").alias("leader"))
     networks_of = cms.select("pod", "leader.rmm", F.explode("leader.cms").alias("cm"))
-    return networks_of.groupBy("pod", "rmm", F.col("cm.user_id").alias("user_id")).agg(
-        F.sum(F.size("cm.network")).alias("n_people"),
-        (F.max(F.size("cm.network")) <= 1000).alias("fits"),
-    )
+    fits = (F.size("cm.network") <= 1000).alias("fits")
+    people = networks_of.select("pod", "rmm", "cm.user_id", fits, F.explode("cm.network").alias("person"))
+    return people.select("pod", "rmm", "user_id", "fits", "person.voter", "person.sos_id", "person.tier")
 
 
 @query
@@ -663,15 +670,12 @@ def delta_sync(d: Data) -> DataFrame:
 
 @query
 def volunteer_summary(d: Data) -> DataFrame:
-    d.store("volunteers")
-    path = d.scratch("volunteers-json")
-    nested.org_lines(nested.nest_volunteers(d.volunteers)).write.text(path)
-    return nested.volunteer_summary(nested.flatten_volunteers(files.read_volunteers(d.spark, path)))
+    return nested.volunteer_summary(d.parsed_volunteers)
 
 
 @query
 def volunteer_list(d: Data) -> DataFrame:
-    return nested.volunteer_list(d.volunteers)
+    return nested.volunteer_list(d.parsed_volunteers)
 
 
 def order_series(d: Data) -> DataFrame:
