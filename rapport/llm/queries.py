@@ -5,13 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rapport.llm import decontaminate, embeddings, html_text, importance, language, licenses, mixing, secrets, sharding, simhash
 from rapport.llm.common import table
+from rapport.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.licenses(table(spark, sf_dir, "documents"))
+    found = licenses.licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.array_join("licenses", ", ").alias("licenses"),
+        F.array_join("sentence_ids", ", ").alias("sentence_ids"),
+        "n_sentences",
+        F.array_join("sentences", "\n").alias("sentences"),
+    )
 
 
 def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +76,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash,
     )
 }
-ORACLES: dict[str, str] = {}

@@ -812,6 +812,41 @@ def test_pipeline_on_odd_and_empty_documents(spark, tmp_path):
         assert (at.count() > 0) == (df is odd)
 
 
+@pytest.mark.parametrize("name", entry.EXTRA_ORACLES)
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, name, sf):
+    duckdb = pytest.importorskip("duckdb")
+    con, root = duckdb.connect(), f"/root/testdata/{sf}"
+    for t in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{root}/{t}.parquet'")
+    df, want = entry.queries()[name](spark, root), con.sql(entry.oracle_sql()[name])
+    assert df.columns == want.columns and rows_of(df) == sorted(want.fetchall(), key=repr)
+
+
+def test_sql_of_embeddings_on_linked_vectors(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(6, 8))
+    rows = [(i, (base[i % 6] + rng.normal(size=8) * 0.07).astype(np.float32).astype(float).tolist(), i % 2) for i in range(60)]
+    rows += [(60, None, 1), (61, [0.0] * 8, 1), (62, [float("nan")] * 8, 1), (63, rows[0][1], None), (64, rows[0][1], 0)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = sorted(con.sql(entry.oracle_sql()["op9_embeddings"]).fetchall(), key=repr)
+    assert rows_of(entry.queries()["op9_embeddings"](spark, str(tmp_path))) == want and sum(r[1] for r in want) > 60
+
+
+def test_sql_of_licenses_on_odd_rows(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    texts = [None, "", "A. B", MIT, "MIT License.\n\n" + MIT + "\n\nLicensed under CC BY 4.0; GPL v3. MIT licence?!x", "Apache License 2.0..."]
+    rows = [(i % 4, t, None, None, None) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(con.sql(entry.oracle_sql()["op1_licenses"]).fetchall(), key=repr)
+    assert rows_of(entry.queries()["op1_licenses"](spark, str(tmp_path))) == want
+
+
 def test_registered_queries():
     names = {f"op{n}" for n in range(1, 11)}
     assert {q.split("_")[0] for q in entry.queries() if q.startswith("op") and q[2].isdigit()} == names
