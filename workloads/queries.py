@@ -309,6 +309,11 @@ def last_activity(d: Data) -> DataFrame:
     return d.activity
 
 
+@query
+def joined_before_today(d: Data) -> DataFrame:
+    return d.users.select("user_id", (F.col("date_joined") < fn.today_in("America/New_York")).alias("is_past"))
+
+
 @query
 def people_union(d: Data) -> DataFrame:
     return d.people
