@@ -14,7 +14,7 @@ from rapport.sources.sinks import stored
 
 # Centroids are fitted to this many vectors at most, drawn by hash; all vectors are compared.
 SAMPLE = 20_000
-MAX_CELLS = 1024
+MAX_CELLS = 4096
 ROUNDS = 8
 # A vector also visits the cells whose border it is this near to, as a cosine difference over
 # the distance of the two centroids.
