@@ -172,10 +172,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, id: str = "do
     All columns stay as they are. Rows that repeat the kept id are one document and come
     out once; rows without an id cannot be told apart and all stay.
     """
-    groups = near_duplicates(docs, shingle, distance, id, text)
+    groups = stored(near_duplicates(docs, shingle, distance, id, text), "near-duplicates")
     gone = groups.where(F.col("component_id") != F.col(id)).select(id).distinct()
     kept = docs.join(gone, id, "left_anti")
     repeated = groups.where(F.col(id).isNotNull()).groupBy(id).count().where("count > 1").select(id)
     repeated = stored(repeated, "repeated")
+    if repeated.isEmpty():
+        return kept
     once = kept.join(repeated, id, "left_semi").dropDuplicates([id])
     return kept.join(repeated, id, "left_anti").unionByName(once)
