@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +17,11 @@ MAX_CELLS = 4096
 ROUNDS = 8
 # A vector also visits the cells whose border it is this near to, as a cosine difference over
 # the distance of the two centroids.
-MARGIN = 0.12
+MARGIN = 0.08
 # Rows of a cell compared at a time.
 BLOCK = 1024
+# Cells of more than one block that are broadcast at most.
+MAX_SENT_CELLS = 50_000
 
 
 def fit(vectors: np.ndarray, cells: int, seed: int = 9) -> np.ndarray:
@@ -60,7 +61,7 @@ def compare(left: pd.DataFrame, right: pd.DataFrame, same: bool, least: float):
     """
 
     def parts(block):
-        return np.stack(block.unit.to_numpy()), *(block[c].to_numpy() for c in ("home", "cls", "rep", "n"))
+        return units(block.embedding.to_list()), *(block[c].to_numpy() for c in ("home", "cls", "rep", "n"))
 
     (a, home_a, cls_a, rep_a, n_a), (b, home_b, cls_b, rep_b, n_b) = parts(left), parts(right)
     cell = int(left.cell.iloc[0])
@@ -98,58 +99,51 @@ def compare(left: pd.DataFrame, right: pd.DataFrame, same: bool, least: float):
     return tuple(map(np.concatenate, ((cls_a, cls_b), (rep_a, rep_b), (links_a, links_b), (low_a, low_b))))
 
 
-def unit_vectors(vectors: DataFrame) -> DataFrame:
-    """Classes of equal vectors that can link: (cls, rep, n, label, embedding, unit).
+def units(vectors: list[np.ndarray]) -> np.ndarray:
+    """Vectors in double precision, divided by their length."""
+    out = np.stack(vectors).astype(np.float64)
+    out /= np.abs(out).max(axis=1, keepdims=True)
+    return out / np.linalg.norm(out, axis=1, keepdims=True)
+
+
+def classes_of(vectors: DataFrame) -> DataFrame:
+    """Classes of equal vectors that can link: (cls, rep, n, label, embedding).
 
     ``rep`` is the smallest id, ``cls`` tells classes of the same ``rep`` apart, ``n`` is the
-    number of rows, ``unit`` the vector in double precision divided by its length. Left out are null ids and labels, and vectors that are
-    null, empty or zero or hold a null, infinite or undefined component.
+    number of rows. Left out are null ids and labels, and vectors that are null, empty or
+    zero or hold a null, infinite or undefined component.
     """
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"), "label", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
-    )
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & fine & some)
     classes = rows.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-
-    def run(batches):
-        for batch in batches:
-            units = []
-            for v in batch.column(batch.num_columns - 1).to_pylist():
-                v = np.array(v)
-                v = v / np.abs(v).max()
-                units.append((v / np.linalg.norm(v)).tolist())
-            yield batch.append_column("unit", pa.array(units, pa.list_(pa.float64())))
-
-    classes = classes.select(F.xxhash64("label", "embedding").alias("cls"), "rep", "n", "label", "embedding")
-    kind = dict(classes.dtypes)["label"]
-    return classes.mapInArrow(run, f"cls long, rep long, n long, label {kind}, embedding array<double>, unit array<double>")
+    return classes.select(F.xxhash64("label", "embedding").alias("cls"), "rep", "n", "label", "embedding")
 
 
 def cell_links(classes: DataFrame, least: float, margin: float, cells: int | None) -> DataFrame:
     """Rows (cls, rep, links, low) from every pair of blocks; a class has a row for each it links in.
 
-    ``classes`` has cls, rep, n, label and unit; it is read several times.
+``classes`` is that of ``classes_of``; it is read several times.
     """
     spark = classes.sparkSession
-    width = F.size("unit")
+    width = F.size("embedding")
     total = classes.count()
     cells = cells or int(min(MAX_CELLS, max(1, total**0.5 / 2)))
-    drawn = classes.orderBy("cls", "rep").limit(SAMPLE).select("unit").collect()
+    drawn = classes.orderBy("cls", "rep").limit(SAMPLE).select("embedding").collect()
     by_width: dict[int, list] = {}
     for row in drawn:
-        by_width.setdefault(len(row.unit), []).append(row.unit)
-    centroids = {w: fit(np.array(v), cells) for w, v in by_width.items()}
+        by_width.setdefault(len(row.embedding), []).append(row.embedding)
+    centroids = {w: fit(units(v), cells) for w, v in by_width.items()}
     sent = spark.sparkContext.broadcast(centroids)
-    kind = dict(classes.dtypes)["label"]
-    rows = classes.select("cls", "rep", "n", "label", "unit", width.cast("int").alias("width"))
+    kinds = dict(classes.dtypes)
+    rows = classes.select("cls", "rep", "n", "label", "embedding", width.cast("int").alias("width"))
 
     def assign(batches):
         for pdf in batches:
             for w, part in pdf.groupby("width"):
                 # A width outside the sample is one cell.
-                unit = np.stack(part.unit.to_numpy())
+                unit = units(part.embedding.to_list())
                 places = sent.value.get(w, np.eye(1, w))
                 for at in range(0, len(part), 4096):
                     home, near = visits(unit[at : at + 4096], places, margin)
@@ -157,13 +151,20 @@ def cell_links(classes: DataFrame, least: float, margin: float, cells: int | Non
                     out = part.iloc[at + row].copy()
                     lists = [np.flatnonzero(x).tolist() for x in near]
                     out["home"], out["cell"], out["visit"] = home[row], cell, [lists[k] for k in row]
-                    yield out[["cls", "rep", "n", "label", "width", "unit", "home", "cell", "visit"]]
+                    yield out[["cls", "rep", "n", "label", "width", "embedding", "home", "cell", "visit"]]
 
-    schema = f"cls long, rep long, n long, label {kind}, width int, unit array<double>, home int, cell int, visit array<int>"
+    schema = (
+        f"cls long, rep long, n long, label {kinds['label']}, width int, embedding {kinds['embedding']}, "
+        "home int, cell int, visit array<int>"
+    )
     placed = stored(rows.mapInPandas(assign, schema), "cells")
     at = ["label", "width", "cell"]
+    # Cells of several blocks are few, and so sent to all tasks if they are; else joined by shuffle.
     full = placed.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = split_join(placed, full, at)
+    full = stored(full.where("blocks > 1"), "large-cells")
+    few = full.count() <= MAX_SENT_CELLS
+    placed = placed.join(F.broadcast(full), at, "left") if few else split_join(placed, full, at, "left")
+    placed = placed.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     # Each block meets each of its cell, itself included, once: as (lower, higher).
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -194,13 +195,11 @@ def near_duplicates(
 
     ``n_links`` counts the other vectors, equal ones included, ``component_id`` is the
     smallest id reachable, ``kept`` marks it. Vectors of different length, and those
-    ``unit_vectors`` leaves out, link with nothing: 0, their own id, kept. A null id has
+    ``classes_of`` leaves out, link with nothing: 0, their own id, kept. A null id has
     a null component and is not kept. Rows that repeat an id are vectors of their own.
     """
-    found = vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"), "label", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
-    )
-    classes = stored(unit_vectors(vectors), "vectors")
+    found = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
+    classes = stored(classes_of(vectors), "vectors")
     links = stored(cell_links(classes, least, margin, cells), "cell-links")
     groups = components(links.select(F.col("rep").alias("a"), F.col("low").alias("b")), "vector-links")
     counts = links.groupBy("rep", "cls").agg(F.sum("links").alias("links"))
