@@ -15,9 +15,8 @@ from rapport.sources.sinks import stored
 SAMPLE = 20_000
 MAX_CELLS = 4096
 ROUNDS = 8
-# A vector also visits the cells whose border it is this near to, as a cosine difference over
-# the distance of the two centroids.
-MARGIN = 0.08
+# Allowance for rounding where a vector is tested for being near a border.
+ROUNDING = 1e-7
 # Rows of a cell compared at a time.
 BLOCK = 1024
 # Cells of more than one block that are broadcast at most.
@@ -38,17 +37,28 @@ def fit(vectors: np.ndarray, cells: int, seed: int = 9) -> np.ndarray:
     return centroids
 
 
+def exact_margin(least: float) -> float:
+    """Distance from a border within which one of any two linked vectors lies.
+
+    Unit vectors x and y at a cosine of ``least`` or more are at most sqrt(2 - 2 least) apart.
+    With c and d the centroids of their homes, gap x + gap y = (c - d)(x - y) is at most that
+    times the distance of c and d, so one of the two gaps is at most half of it: that vector
+    visits the other's home.
+    """
+    return max((1 - least) / 2, 0.0) ** 0.5
+
+
 def visits(unit: np.ndarray, centroids: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
     """Home cell of every vector, and a table of the cells it visits, home included.
 
     A vector visits cell c if it lies within ``margin`` of the plane midway between c's
-    centroid and that of its home.
+    centroid and that of its home, a cosine difference over the distance of the centroids.
     """
     cosines = unit @ centroids.T
     home = np.argmax(cosines, axis=1)
     gap = cosines[np.arange(len(unit)), home][:, None] - cosines
     apart = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 0))[home]
-    near = gap <= margin * apart
+    near = gap <= margin * apart + ROUNDING
     near[np.arange(len(unit)), home] = True
     return home, near
 
@@ -182,7 +192,7 @@ def cell_links(classes: DataFrame, least: float, margin: float, cells: int | Non
 
 
 def near_duplicates(
-    vectors: DataFrame, least: float = 0.98, margin: float = MARGIN, cells: int | None = None
+    vectors: DataFrame, least: float = 0.98, margin: float | None = None, cells: int | None = None
 ) -> DataFrame:
     """Links and group of every vector: (vec_id, n_links, component_id, kept).
 
@@ -190,8 +200,8 @@ def near_duplicates(
     precision. Equal vectors are folded first. Centroids are fitted to a bounded sample;
     every vector is assigned to its nearest one and visits the cells whose border is near,
     and in each cell blocks of vectors are multiplied, so no pairs are sent and a cell of any
-    size is cut into bounded tasks. All links found are exact; links between vectors farther
-    from a border than ``margin`` can be missed (recall is measured in tests).
+    size is cut into bounded tasks. ``margin`` follows from ``least`` (``exact_margin``), so
+    no link is missed; a smaller one given here can miss links across borders.
 
     ``n_links`` counts the other vectors, equal ones included, ``component_id`` is the
     smallest id reachable, ``kept`` marks it. Vectors of different length, and those
@@ -199,6 +209,7 @@ def near_duplicates(
     a null component and is not kept. Rows that repeat an id are vectors of their own.
     """
     found = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
+    margin = exact_margin(least) if margin is None else margin
     classes = stored(classes_of(vectors), "vectors")
     links = stored(cell_links(classes, least, margin, cells), "cell-links")
     groups = components(links.select(F.col("rep").alias("a"), F.col("low").alias("b")), "vector-links")

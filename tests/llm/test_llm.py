@@ -566,6 +566,24 @@ def test_embedding_recall_with_the_query_parameters(spark):
     assert want > 1000 and 0.99 * want <= out.n_links.sum() <= want
 
 
+@pytest.mark.parametrize("least", [0.9, 0.98])
+def test_default_margin_misses_no_link_across_borders(spark, least):
+    # Few dimensions put many linked pairs on both sides of a border, far from it.
+    x = np.random.default_rng(8).normal(size=(3000, 3))
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    out = embeddings.near_duplicates(df, least).toPandas().set_index("vec_id").n_links.sort_index()
+    unit = embeddings.units(list(x))
+    assert (out.to_numpy() == (unit @ unit.T >= least).sum(axis=1) - 1).all()
+
+
+def test_a_pair_across_a_border_meets_in_a_home():
+    # Cosine 0.981, symmetric about the plane between the homes: both 0.0975 from it.
+    half = math.acos(0.981) / 2
+    pair = np.array([[math.cos(half), math.sin(half)], [math.cos(half), -math.sin(half)]])
+    home, near = embeddings.visits(pair, np.array([[0.6, 0.8], [0.6, -0.8]]), embeddings.exact_margin(0.98))
+    assert home.tolist() == [0, 1] and near.all()
+
+
 def test_embeddings_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
