@@ -17,6 +17,9 @@ CANDIDATE = rf"(?<![{ALPHABET}])[{ALPHABET}]{{16,}}+"
 # The forest is trained on this many labelled findings at most, drawn by hash.
 MAX_LABELLED = 20_000
 NEIGHBOURS = 60
+# What stands between a name and the value it is set to.
+QUOTE = "[\"'`]"
+SET = "(?:={1,3}>?|:=?)"
 SEED = 17
 
 # Words that make a string readable, and words that stand next to secrets.
@@ -45,9 +48,11 @@ def findings(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str
     """Candidates of every document: (id, path, line, nth, token, before, after).
 
     ``token`` is a run of the candidate alphabet, the ``nth`` of a line. ``before`` and
-    ``after`` are the neighbouring words: what stands between it and the line's next
-    candidate or end on either side, up to ``NEIGHBOURS`` characters. Texts and lines without
-    a candidate are not cut.
+    ``after`` are the neighbouring words: the line's text on either side, up to ``NEIGHBOURS``
+    characters. Other candidates stand in it if they read as words or names (no digits, or a
+    separator behind them), so the name that a value is set to is there at any length; other
+    strings of letters and digits are left out of it, as they are no words. Texts and lines
+    without a candidate are not cut.
     """
     rows = docs.select(F.col(id).alias(id), F.col(path).cast("string").alias("path"), F.col(text).alias("text"))
     rows = rows.where(F.col("text").rlike(CANDIDATE))
@@ -58,17 +63,28 @@ def findings(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str
         "path",
         "line",
         F.split("text", CANDIDATE).alias("between"),
-        F.posexplode(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).alias("nth", "token"),
+        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("tokens"),
     )
-    return rows.select(
-        id,
-        "path",
-        "line",
-        "nth",
-        "token",
-        F.right(F.get("between", F.col("nth")), F.lit(NEIGHBOURS)).alias("before"),
-        F.left(F.get("between", F.col("nth") + 1), F.lit(NEIGHBOURS)).alias("after"),
+    named = F.transform(
+        "tokens",
+        lambda t, k: F.when(~t.rlike("[0-9]") | F.get("between", k + 1).rlike(rf"^{QUOTE}?\s*{SET}"), t).otherwise(""),
     )
+    rows = rows.withColumn("named", named)
+    # Candidates are apart by one character at least, so no more of them can be in reach.
+    reach = F.lit(NEIGHBOURS)
+
+    def found(token: Column, nth: Column) -> Column:
+        first = F.greatest(nth - reach, F.lit(0))
+        left = F.zip_with(F.slice("between", first + 1, nth - first), F.slice("named", first + 1, nth - first), lambda b, n: F.concat(b, n))
+        right = F.zip_with(F.slice("named", nth + 2, reach), F.slice("between", nth + 3, reach), lambda n, b: F.concat(n, F.coalesce(b, F.lit(""))))
+        return F.struct(
+            nth.alias("nth"),
+            token.alias("token"),
+            F.right(F.concat(F.array_join(left, ""), F.get("between", nth)), reach).alias("before"),
+            F.left(F.concat(F.get("between", nth + 1), F.array_join(right, "")), reach).alias("after"),
+        )
+
+    return rows.select(id, "path", "line", F.inline(F.transform("tokens", found)))
 
 
 def features(found: DataFrame) -> DataFrame:
@@ -96,7 +112,7 @@ def features(found: DataFrame) -> DataFrame:
         "known": 1 - F.length(F.regexp_replace(lowered, words, "")) / length,
         "place": F.coalesce(F.lower("path").rlike(rf"(?<![a-z])(?:{'|'.join(PLACES)})(?![a-z])"), F.lit(False)).cast("double"),
         "near": near.rlike(rf"(?<![a-z])(?:{'|'.join(NEAR)})(?![a-z])").cast("double"),
-        "given": F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double"),
+        "given": F.col("before").rlike(rf"[=:]\s*{QUOTE}?$").cast("double"),
         "quoted": (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"),
     }
     return found.withColumns({k: v.cast("double") for k, v in columns.items()})
@@ -115,12 +131,14 @@ def weak_label() -> Column:
     """Label of a finding where nobody has labelled it.
 
     A secret is a string of mixed letters and digits (a hexadecimal or mixed-case key) that a
-    credential's name is set to. A string of letters or of digits only is none. Others stay null.
+    credential's name, bare or quoted, is set to, or that follows the word "bearer". A string
+    of letters or of digits only is none, nor is one without both that no such name stands
+    before. Others stay null: a mixed string without a name may be either.
     """
-    named = F.lower("before").rlike(rf"(?:{'|'.join(NEAR)})\s*[=:]\s*[\"']?$")
+    named = F.lower("before").rlike(rf"(?:{'|'.join(NEAR)}){QUOTE}?\s*{SET}\s*{QUOTE}?$|(?<![a-z])bearer\s+{QUOTE}?$")
     both = F.col("token").rlike("[A-Za-z]") & F.col("token").rlike("[0-9]")
     plain = F.col("token").rlike("^[A-Za-z]+$|^[0-9]+$")
-    return F.when(named & both, 1).when(plain | ~named, 0)
+    return F.when(named & both, 1).when(plain | (~named & ~both), 0)
 
 
 def judged(found: DataFrame, model: PipelineModel, least: float = 0.5) -> DataFrame:

@@ -684,6 +684,39 @@ def test_findings_and_their_neighbours(spark):
     assert (inputs[2, 0].place, inputs[2, 0].near) == (1, 0)
 
 
+@pytest.mark.parametrize(
+    "line, label",
+    [
+        ("AWS_SECRET_ACCESS_KEY={}", 1),
+        ("export STRIPE_SECRET_KEY='{}'", 1),
+        ("GITHUB_ACCESS_TOKEN: {}", 1),
+        ("DATABASE_PASSWORD2_TOKEN = {}", 1),
+        ('{{"user": "x", "password": "{}"}}', 1),
+        ("Authorization: Bearer {}", 1),
+        ("commit {} of today", None),
+    ],
+)
+def test_names_of_any_length_and_form_are_neighbours(spark, line, label):
+    value = "aB3dE5fG7hJ9kL1mN3pQ"
+    df = spark.createDataFrame([(1, line.format(value), "s")], "doc_id long, text string, source string")
+    found = secrets.features(secrets.findings(df).where(F.col("token") == value).withColumn("label", secrets.weak_label()))
+    row = found.first()
+    assert (row.label, row.near) == (label, label or 0)
+
+
+def test_neighbours_reach_over_candidates(spark):
+    key = "a1" * 10
+    line = f"my_secret_names_are = {key}, {key} internationalization {key}"
+    df = spark.createDataFrame([(1, line, "s")], "doc_id long, text string, source string")
+    rows = sorted((r.nth, r.before, r.after) for r in secrets.findings(df).where(F.col("token") == key).collect())
+    head = "my_secret_names_are = "
+    assert rows == [
+        (1, head, ",  internationalization "),
+        (2, head + ", ", " internationalization "),
+        (4, head + ",  internationalization ", ""),
+    ]
+
+
 def test_forest_separates_held_out_findings(spark):
     rng = random.Random(1)
     rows = []
