@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -11,15 +13,12 @@ from pyspark.sql import functions as F
 
 from rapport.sources.sinks import stored
 
-# A candidate: sixteen or more characters of the usual secret alphabets in one run.
+# A candidate of its own: sixteen or more characters of the usual secret alphabets in one run.
 ALPHABET = r"A-Za-z0-9+/_\-"
-CANDIDATE = rf"(?<![{ALPHABET}])[{ALPHABET}]{{16,}}+"
+RUN = rf"(?<![{ALPHABET}])[{ALPHABET}]{{16,}}+"
 # The forest is trained on this many labelled findings at most, drawn by hash.
 MAX_LABELLED = 20_000
 NEIGHBOURS = 60
-# What stands between a name and the value it is set to.
-QUOTE = "[\"'`]"
-SET = "(?:={1,3}>?|:=?)"
 SEED = 17
 
 # Words that make a string readable, and words that stand next to secrets.
@@ -39,6 +38,37 @@ DICTIONARY = (
     "work world write www your zone"
 ).split()
 NEAR = "api apikey auth authorization bearer credential credentials key passwd password private pwd secret token".split()
+# What stands between a name and the value it is set to.
+QUOTE = "[\"'`]"
+SET = "(?:={1,3}>?|:=?)"
+MARKS = r"[,;&)}\]\"'`]"
+SCHEME = "(?i:basic|bearer|digest|token)"
+# An unquoted value: all up to a blank, without closing marks, or up to a mark and the next name.
+OPEN = rf"(?![=:>\"'`])(?!{SCHEME}\s+\S)(?:[^\s,;&)}}\]\"'`]|{MARKS}++(?=\S)(?![A-Za-z_][\w.\-]*=))++"
+
+
+def _candidate(blanks: int) -> str:
+    """Pattern of candidates, with up to ``blanks`` blanks on a side of what sets a value.
+
+    Besides runs it finds values set to a credential's name, of any length and alphabet,
+    quoted or not, and the password of "//user:password@host". Each lookbehind is tried for
+    every length it may have, so short ones go first.
+    """
+    gap = rf"\s{{0,{blanks}}}"
+    given = rf"{QUOTE}?{gap}{SET}{gap}"
+    named = rf"(?i:{'|'.join(NEAR)}){given}"
+    login = rf"(?i:authorization){given}{QUOTE}?{SCHEME}\s{gap}"
+    quoted = [rf"(?<={q})(?<=[=:>]{gap}{q})(?<={named}{q})(?:[^{q}\\]|\\.)++(?={q})" for q in "\"'`"]
+    bare = rf"(?<=[=:>\s\"'`])(?<=[=:>]{gap}{QUOTE}?)(?<={named}{QUOTE}?){OPEN}"
+    url = r"(?<=:)(?<=//[^\s/:@\"']{0,200}:)[^\s/\"']+(?=@)"
+    return "|".join([*quoted, bare, rf"(?<=\s)(?<={login}){OPEN}", url, RUN])
+
+
+CANDIDATE = _candidate(8)
+# For lines with more blanks in a row than that, as in aligned columns.
+WIDE, CANDIDATE_WIDE = r"\S\s{9}", _candidate(400)
+# Cheaper: every text or line with a candidate has one of these.
+HINT = rf"{RUN}|(?i:{'|'.join(NEAR)}){QUOTE}?\s*[=:]|//[^\s/:@]*:[^\s/]+@"
 PLACES = "demo doc docs example examples fixture fixtures mock sample samples spec test tests".split()
 
 FEATURES = ["length", "digits", "uppers", "lowers", "signs", "hex", "turns", "repeats", "vowels", "known", "place", "near", "given", "quoted"]
@@ -47,23 +77,28 @@ FEATURES = ["length", "digits", "uppers", "lowers", "signs", "hex", "turns", "re
 def findings(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """Candidates of every document: (id, path, line, nth, token, before, after).
 
-    ``token`` is a run of the candidate alphabet, the ``nth`` of a line. ``before`` and
+    ``token`` is the ``nth`` of a line: a run of sixteen or more characters of the candidate
+    alphabet, or any value set to a credential's name (``NEAR``) or standing as the password
+    of a connection string, whatever its length and alphabet. ``before`` and
     ``after`` are the neighbouring words: the line's text on either side, up to ``NEIGHBOURS``
     characters. Other candidates stand in it if they read as words or names (no digits, or a
     separator behind them), so the name that a value is set to is there at any length; other
     strings of letters and digits are left out of it, as they are no words. Texts and lines
     without a candidate are not cut.
     """
+    def wide_or(cut: Callable[[str], Column]) -> Column:
+        return F.when(F.col("text").rlike(WIDE), cut(CANDIDATE_WIDE)).otherwise(cut(CANDIDATE))
+
     rows = docs.select(F.col(id).alias(id), F.col(path).cast("string").alias("path"), F.col(text).alias("text"))
-    rows = rows.where(F.col("text").rlike(CANDIDATE))
+    rows = rows.where(F.col("text").rlike(HINT))
     rows = rows.select(id, "path", F.posexplode(F.split("text", r"\n")).alias("line", "text"))
-    rows = rows.where(F.col("text").rlike(CANDIDATE))
+    rows = rows.where(F.col("text").rlike(HINT))
     rows = rows.select(
         id,
         "path",
         "line",
-        F.split("text", CANDIDATE).alias("between"),
-        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("tokens"),
+        wide_or(lambda pattern: F.split("text", pattern)).alias("between"),
+        wide_or(lambda pattern: F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("tokens"),
     )
     named = F.transform(
         "tokens",
@@ -103,7 +138,7 @@ def features(found: DataFrame) -> DataFrame:
         "digits": share("[0-9]"),
         "uppers": share("[A-Z]"),
         "lowers": share("[a-z]"),
-        "signs": share(r"[+/_\-]"),
+        "signs": share("[^A-Za-z0-9]"),
         "hex": (token.rlike("^[0-9a-f]+$") | token.rlike("^[0-9A-F]+$")).cast("double"),
         # Places where the kind of character changes, and where a character repeats.
         "turns": F.regexp_count("token", F.lit("[a-z](?=[^a-z])|[A-Z](?=[^A-Z])|[0-9](?=[^0-9])")) / length,
@@ -130,15 +165,14 @@ def train(labelled: DataFrame, trees: int = 20, depth: int = 6) -> PipelineModel
 def weak_label() -> Column:
     """Label of a finding where nobody has labelled it.
 
-    A secret is a string of mixed letters and digits (a hexadecimal or mixed-case key) that a
-    credential's name, bare or quoted, is set to, or that follows the word "bearer". A string
+    A secret is a string of mixed letters and digits, eight at least, that a credential's name, bare or quoted, is set to, or that follows the word "bearer". A string
     of letters or of digits only is none, nor is one without both that no such name stands
     before. Others stay null: a mixed string without a name may be either.
     """
     named = F.lower("before").rlike(rf"(?:{'|'.join(NEAR)}){QUOTE}?\s*{SET}\s*{QUOTE}?$|(?<![a-z])bearer\s+{QUOTE}?$")
     both = F.col("token").rlike("[A-Za-z]") & F.col("token").rlike("[0-9]")
     plain = F.col("token").rlike("^[A-Za-z]+$|^[0-9]+$")
-    return F.when(named & both, 1).when(plain | (~named & ~both), 0)
+    return F.when(named & both & (F.length("token") >= 8), 1).when(plain | (~named & ~both), 0)
 
 
 def judged(found: DataFrame, model: PipelineModel, least: float = 0.5) -> DataFrame:

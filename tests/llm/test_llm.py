@@ -704,6 +704,28 @@ def test_names_of_any_length_and_form_are_neighbours(spark, line, label):
     assert (row.label, row.near) == (label, label or 0)
 
 
+@pytest.mark.parametrize(
+    "line, tokens",
+    [
+        ('password = "S3cr3t!pw"', ["S3cr3t!pw"]),
+        ("export DB_PASSWORD=a.b#1 # local", ["a.b#1"]),
+        ("passwd: 'two words \\' 1', x", ["two words \\' 1"]),
+        ("password" + " " * 30 + "=" + " " * 30 + "'a!1'", ["a!1"]),
+        ('{"token": "x:y.z", "n": 1, "secret": 1234}', ["x:y.z", "1234"]),
+        ("Server=h;Password=ab!c;Database=y", ["ab!c"]),
+        ("postgres://user:pa$$w0rd@host/db", ["pa$$w0rd"]),
+        ("Authorization: Basic dXNlcjpw", ["dXNlcjpw"]),
+        ('password = ""', []),
+        ("a password is needed: no short run", []),
+        ("pwd := " + "abcdefghijklmnop!q", ["abcdefghijklmnop!q"]),
+        ('secret = "abc', ["abc"]),
+    ],
+)
+def test_values_of_credential_names_are_candidates(spark, line, tokens):
+    df = spark.createDataFrame([(1, "first\n" + line, "s")], "doc_id long, text string, source string")
+    assert [r.token for r in sorted(secrets.findings(df).collect(), key=lambda r: r.nth)] == tokens
+
+
 def test_neighbours_reach_over_candidates(spark):
     key = "a1" * 10
     line = f"my_secret_names_are = {key}, {key} internationalization {key}"
