@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Licence sentences as they read after ``normalised`` (lower case, one blank
-# between words, no punctuation, "licence" spelt "license"). An identifier is given to a
-# sentence that the pattern is found in; the first in this order counts.
+# between words, no punctuation, "licence" spelt "license"). A sentence gets the identifiers
+# of all patterns found in it; of those that overlap the first in this order counts.
 SENTENCES: list[tuple[str, str]] = [
     ("spdx", r"\bspdx license identifier [a-z0-9]"),
     ("mit_grant", r"\bpermission is hereby granted free of charge to any person obtaining a copy\b"),
-    ("mit_condition", r"\bthe above copyright notice and this permission notice shall be included in all\b"),
+    ("mit_condition", r"\bthe above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all\b"),
     ("mit_disclaimer", r"\bthe software is provided as is without warranty of any kind\b"),
     ("mit_liability", r"\bin no event shall the authors or copyright holders be liable for any claim\b"),
     ("bsd_grant", r"\bredistribution and use in source and binary forms with or without modification are permitted\b"),
@@ -22,7 +22,8 @@ SENTENCES: list[tuple[str, str]] = [
     ("bsd_endorse", r"\bmay be used to endorse or promote products derived from this software without\b"),
     ("bsd_advertise", r"\ball advertising materials mentioning features or use of this software must display\b"),
     ("bsd_disclaimer", r"\bthis software is provided by .{1,80} as is and any express or implied warranties\b"),
-    ("isc_grant", r"\bpermission to use copy modify and or distribute this software for any purpose with or without fee\b"),
+    ("isc_grant", r"\bpermission to use copy modify and (?:or )?distribute this software for any purpose with or without fee\b"),
+    ("isc_disclaimer", r"\bthe software is provided as is and .{1,80} disclaims? all warranties\b"),
     ("apache_terms", r"\byou may not use this file except in compliance with the license\b"),
     ("apache_copy", r"\byou may obtain a copy of the license at\b"),
     ("gpl_or_later", r"\bgnu general public license .{0,80}\bor at your option any later version\b"),
@@ -68,10 +69,16 @@ RULES: list[tuple[str, list[str]]] = [
     ("BSD-2-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_disclaimer"]),
     ("MIT", ["mit_grant", "mit_condition", "mit_disclaimer", "mit_liability"]),
     ("MIT", ["mit_grant", "mit_condition", "mit_disclaimer"]),
+    ("ISC", ["isc_grant", "isc_disclaimer"]),
     ("ISC", ["isc_grant", "mit_disclaimer"]),
     ("Apache-2.0", ["apache_2", "apache_terms", "apache_copy"]),
     ("Apache-2.0", ["apache_2", "apache_terms"]),
+    # The standard notice names the license again where it disclaims and says where to find it.
+    ("GPL-or-later", ["gpl_or_later", "gpl", "gpl"]),
+    ("GPL-or-later", ["gpl_or_later", "gpl"]),
     ("GPL-or-later", ["gpl_or_later"]),
+    ("LGPL-or-later", ["lgpl_or_later", "lgpl", "lgpl"]),
+    ("LGPL-or-later", ["lgpl_or_later", "lgpl"]),
     ("LGPL-or-later", ["lgpl_or_later"]),
     ("AGPL", ["agpl"]),
     ("LGPL", ["lgpl"]),
@@ -100,19 +107,30 @@ RULES: list[tuple[str, list[str]]] = [
     ("SPDX-tagged", ["spdx"]),
 ]
 
-# A sentence ends at a stop that no letter or digit follows, at a blank line, or at a semicolon.
-SENTENCE_END = r"[.!?]+(?![A-Za-z0-9])|;|\n[ \t]*\n"
+# A sentence ends at a stop that no letter or digit follows, or at a blank line; a semicolon
+# parts it further where no identifier spans it.
+SENTENCE_END = r"[.!?]+(?![A-Za-z0-9])|\n[ \t]*\n"
+# Words that mark comments at the start of a line; other marks are punctuation.
+COMMENT = r"(?im)^[ \t]*(?:rem|dnl|c)(?=[ \t]|$)"
 
 
 def normalised(sentence: Column) -> Column:
-    """Lower case, words apart by one blank, no punctuation, one spelling of "license"."""
-    plain = F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " ")
+    """Lower case, words apart by one blank, no punctuation or comment marks, one spelling of "license"."""
+    plain = F.regexp_replace(F.lower(F.regexp_replace(sentence, COMMENT, " ")), r"[^\p{L}\p{N}]+", " ")
     return F.trim(F.regexp_replace(plain, r"\blicence", "license"))
 
 
-def identifier(sentence: Column) -> Column:
-    """First matching identifier of a normalised sentence, null if it is none of these."""
-    return F.coalesce(*[F.when(sentence.rlike(pattern), F.lit(name)) for name, pattern in SENTENCES])
+def identifiers(sentence: Column) -> Column:
+    """Distinct identifiers of a normalised sentence in order of place, an empty list if none.
+
+    Each pattern's matches give way to its number between line feeds, which no pattern spans.
+    """
+    held = sentence
+    for k, (_, pattern) in enumerate(SENTENCES):
+        held = F.regexp_replace(held, pattern, f"\n#{k}\n")
+    numbers = F.regexp_extract_all(held, F.lit(r"\n#(\d+)\n"), F.lit(1))
+    names = F.array(*[F.lit(name) for name, _ in SENTENCES])
+    return F.transform(F.array_distinct(numbers), lambda k: F.get(names, k.cast("int")))
 
 
 def _match(ids: Column) -> Column:
@@ -135,11 +153,12 @@ def _match(ids: Column) -> Column:
 def licenses(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Licences of every document: (id, licenses, sentence_ids, n_sentences, sentences).
 
-    The text is cut into sentences and each normalised one mapped to the identifier of a
-    known licence sentence; other sentences are passed over. The identifiers in text order
+    The text is cut into sentences and each normalised one mapped to the identifiers of the
+    known licence sentences in it; other sentences are passed over. A sentence is cut at its
+    semicolons if its parts have the same identifiers. The identifiers in text order
     are matched against ordered rules, longest first, and a matched run is used up, so a full
     MIT text is not also a mention of MIT. ``licenses`` holds the names found (an empty list if none),
-    ``sentence_ids`` the identifiers in text order, ``sentences`` the sentences themselves.
+    ``sentence_ids`` the identifiers in text order, ``sentences`` the sentence of each.
 
     Every row gives one row: a null or empty text has empty lists and a null id stays
     null. All work is per row, without a shuffle; texts with no marker word, of which every
@@ -149,10 +168,24 @@ def licenses(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
         lowered = F.lower(part)
         return reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(m)) for m in MARKERS])
 
+    def known(parts: Column) -> Column:
+        held = F.transform(parts, lambda s: F.struct(s.alias("sentence"), identifiers(normalised(s)).alias("ids")))
+        return F.filter(held, lambda s: F.size(s["ids"]) > 0)
+
+    def parted(held: Column) -> Column:
+        parts = known(F.split(held["sentence"], ";"))
+        whole = F.array(held)
+        # An array of one, so that the parts are looked for once.
+        chosen = F.transform(
+            F.array(parts), lambda p: F.when(F.array_distinct(F.flatten(p["ids"])) == held["ids"], p).otherwise(whole)
+        )
+        return F.when(F.contains(held["sentence"], F.lit(";")), F.element_at(chosen, 1)).otherwise(whole)
+
     # A line break alone ends no sentence, as licence texts are wrapped.
-    cut = F.filter(F.split(F.col(text), SENTENCE_END), marked)
-    found = F.transform(cut, lambda s: F.struct(F.trim(s).alias("sentence"), identifier(normalised(s)).alias("id")))
-    found = F.filter(found, lambda s: s["id"].isNotNull())
+    cut = known(F.filter(F.split(F.col(text), SENTENCE_END), marked))
+    found = F.flatten(F.transform(cut, parted))
+    found = F.transform(found, lambda s: F.transform(s["ids"], lambda i: F.struct(F.trim(s["sentence"]).alias("sentence"), i.alias("id"))))
+    found = F.flatten(found)
     none = F.array().cast("array<struct<sentence:string,id:string>>")
     rows = docs.select(F.col(id).alias(id), F.when(marked(F.col(text)), found).otherwise(none).alias("found"))
     rows = rows.select(id, F.coalesce("found", none).alias("found"))
