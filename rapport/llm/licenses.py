@@ -56,9 +56,10 @@ SENTENCES: list[tuple[str, str]] = [
     ("see_license", r"\bsee (?:the )?license (?:file )?for\b"),
 ]
 
-# Every pattern needs one of these in the lower-cased text.
-MARKERS = ["licen", "permission", "warrant", "redistribution", "redistribute", "liable", "endorse", "advertising material",
-           "public domain", "unencumbered", "rights reserved", "spdx", "gpl", "cc", "creative", "attribution",
+# Every pattern needs one of these in the lower-cased text. Single words, as a line break or
+# any marks may stand between two.
+MARKERS = ["licen", "permission", "warrant", "redistribution", "redistribute", "liable", "endorse", "advertising",
+           "domain", "unencumbered", "reserved", "spdx", "gpl", "cc", "creative", "attribution",
            "bsd", "gnu"]
 
 # Licences as sequences of identifiers, the longer before the shorter. A rule

@@ -703,6 +703,18 @@ def test_licenses_of_standard_texts_in_comments(spark, mark):
     assert all(r.n_sentences == len(r.sentence_ids) == len(r.sentences) for r in found)
 
 
+def test_licences_wrapped_inside_a_marker(spark):
+    advert = "* All advertising\n  materials mentioning features or use of this software must display the\n  following acknowledgement.\n\n"
+    texts = [
+        ("This text is released into the public\ndomain by its author.", ["Public-domain"]),
+        ("It is in the public  domain.", ["Public-domain"]),
+        ("Put into the public-domain.", ["Public-domain"]),
+        (BSD_TEXT.replace("* Neither", advert + "* Neither"), ["BSD-4-Clause"]),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    assert [r.licenses for r in licenses.licenses(df).orderBy("doc_id").collect()] == [names for _, names in texts]
+
+
 def test_every_pattern_needs_a_marker_and_every_rule_known_sentences():
     import re
 
