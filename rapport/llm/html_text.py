@@ -21,10 +21,11 @@ BLOCKS = set(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option optgroup p pre search section summary "
     "table tbody td tfoot th thead tr ul".split()
 )
-DROPPED = set(
-    "head nav footer aside form button select input menu dialog object embed applet canvas audio video map "
-    "fieldset label datalist".split()
-) | RAW
+DROPPED = set("head button select input object embed applet canvas audio video map datalist".split()) | RAW
+# Dropped unless they turn out to be a wrapper of the article.
+DOUBTED = set("nav footer aside form menu dialog fieldset label".split())
+# These two run to the end of the page if they are never closed, as in browsers.
+ENDLESS = {"script", "style"}
 # A start tag in this list ends an open paragraph.
 ENDS_P = BLOCKS - set("body html option optgroup".split())
 # A start tag ends an open element of these names, up to the nearest of the stops.
@@ -61,36 +62,78 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Node:
     """An element with its text and children in page order, and its counts."""
 
-    __slots__ = ("name", "parent", "items", "drop", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "items", "drop", "chars", "tags", "link_chars", "link_tags", "density", "sum", "doubt", "text")
 
-    def __init__(self, name: str, parent: Node | None, drop: bool = False):
-        self.name, self.parent, self.items, self.drop = name, parent, [], drop
+    def __init__(self, name: str, parent: Node | None, drop: bool = False, doubt: bool = False):
+        self.name, self.parent, self.items, self.drop, self.doubt = name, parent, [], drop, doubt
 
 
-def is_noise(name: str, attributes: str) -> bool:
-    """Is the element no part of an article by its attributes."""
+def is_noise(name: str, attributes: str) -> tuple[bool, bool]:
+    """Is the element no part of an article by its class, id or role, and is it hidden."""
+    noise = False
     if not attributes or name in ("html", "body", "article", "main") or not NOTABLE.search(attributes):
-        return False
+        return False, False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role") and NOISE & set(WORDS.findall(CAMEL.sub(" ", value).lower())):
-            return True
+            noise = True
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return noise, True
         if key == "style" and "display:none" in value.lower().replace(" ", ""):
-            return True
-    return False
+            return noise, True
+    return noise, False
+
+
+def letters(text: str) -> int:
+    return len("".join(text.split()))
+
+
+def decide(nodes: list[Node]) -> None:
+    """Drop the doubted elements of a page, all its elements given in page order, but not wrappers.
+
+    A wrapper holds the article or main element with most text outside links, or more than
+    half of such text of the page where no article outside doubted elements holds any. The
+    density decides inside wrappers.
+    """
+    if not any(n.doubt for n in nodes):
+        return
+    # Of the whole subtree, and what is left of it in articles if all doubted elements go.
+    for node in reversed(nodes):
+        inner = [x for x in node.items if isinstance(x, Node)]
+        node.text = 0
+        if not node.drop and node.name != "a":
+            node.text = sum(letters(x) for x in node.items if isinstance(x, str)) + sum(x.text for x in inner)
+    total = nodes[0].text
+    inside, kept = {nodes[0]: (False, False)}, 0
+    for node in nodes:
+        article, doubted = inside[node]
+        article, doubted = article or node.name in ARTICLE, doubted or node.doubt
+        for x in node.items:
+            if isinstance(x, Node):
+                inside[x] = article, doubted
+            elif article and not doubted and not node.drop and node.name != "a":
+                kept += letters(x)
+    largest = max((n for n in nodes if n.name in ARTICLE), key=lambda n: n.text, default=None)
+    wrappers = set()
+    if largest and largest.text:
+        up = largest
+        while up:
+            wrappers.add(up)
+            up = up.parent
+    for node in nodes:
+        if node.doubt and node not in wrappers and not (2 * node.text > total and not kept):
+            node.drop = True
 
 
 def parse(html: str) -> Node:
-    """Tree of a page, unclosed and misnested elements included; dropped parts have no text.
+    """Tree of a page, unclosed and misnested elements included; dropped parts are marked.
 
     How many elements of a name are open is counted, so that an end tag without a start, or a
     deeply nested page, costs no search.
     """
     root = Node("html", None)
-    stack, is_open = [root], Counter()
-    at, low = 0, None
+    stack, is_open, nodes = [root], Counter(), [root]
+    at, low, endless = 0, None, set()
 
     def close(keep: int) -> None:
         """Leave the first ``keep`` open elements open."""
@@ -133,20 +176,29 @@ def parse(html: str) -> Node:
                     up -= 1
                 close(keep)
         node = stack[-1]
-        drop = node.drop or name in DROPPED or is_noise(name, m[3])
-        drop = drop or name == "header" and not any(is_open[x] for x in ARTICLE)
-        child = Node(name, node, drop)
+        noise, unseen = is_noise(name, m[3])
+        noise = noise or name in DOUBTED or name == "header" and not any(is_open[x] for x in ARTICLE)
+        child = Node(name, node, node.drop or unseen or name in DROPPED, noise)
         node.items.append(child)
+        nodes.append(child)
         if name in RAW:
+            if name in ("svg", "math") and m[3].endswith("/"):
+                continue
             low = low if low is not None else html.lower()
-            end = low.find("</" + name, at)
-            close_at = html.find(">", end) + 1 if end >= 0 else 0
-            at = close_at or len(html)
+            end = -1 if name in endless else low.find("</" + name, at)
+            if end >= 0:
+                at = html.find(">", end) + 1 or len(html)
+            elif name in ENDLESS:
+                at = len(html)
+            else:
+                # Never closed: the start tag alone goes.
+                endless.add(name)
         elif name not in VOID and not m[3].endswith("/") or name in BLOCKS - VOID:
             stack.append(child)
             is_open[name] += 1
     if at < len(html) and not stack[-1].drop:
         stack[-1].items.append(html[at:])
+    decide(nodes)
     return root
 
 
@@ -261,8 +313,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     """Main text of every page: (page_id, url, text, n_chars).
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden parts
-    and comments go by element name or by words in class, id and role; composite text density
-    then picks the article from the rest of the tree. A null or empty page, or one without
+    and comments go by element name or by words in class, id and role, unless they wrap the
+    article or most of the text (``decide``); composite text density then picks the article
+    from the rest of the tree. A script or style that is never closed takes the rest of the page. A null or empty page, or one without
     text outside those parts, gives an empty text and 0. Text without any markup is one
     block. Cut-off tags, references and elements are taken as far as they go. Every row
     gives one row; null ids and urls stay null. Other columns are not read.

@@ -491,6 +491,31 @@ def test_extract(html, text):
     assert html_text.extract(html) == text
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div class='content has-sidebar'><article><p>{}</p></article><div class=sidebar>s</div></div>",
+        "<div class='no-sidebar'><div><p>{}</p></div></div><div>side</div>",
+        "<body><form id=aspnetForm><div class='share-enabled'><main>{}</main></div><input></form><footer>f</footer>",
+        "<form><div><p>{}</p></div></form>",
+        "<article><svg viewBox='0 0 1 1'/>{}</article>",
+        "<article><math/>{}</article><svg></svg>",
+        "<article><iframe src=x>{}</article>",
+        "<main><article>{}</article><div id=comments><article>" + "c " * 90 + "</article></div></main>",
+        "<article>{}</article><div class=comments><p>" + "d " * 200 + "</p></div>",
+        "<article>{}</article><form><select>" + "<option>Country</option>" * 90 + "</select></form>",
+        "<article>{}</article><div hidden><main>" + "e " * 90 + "</main></div>",
+    ],
+)
+def test_wrappers_of_the_article_are_not_dropped(html):
+    story = "This is a sentence of the story, " * 5 + "its end."
+    assert html_text.extract(html.format(story)) == story
+
+
+def test_many_unclosed_elements_cost_no_search():
+    assert html_text.extract("<article>" + "<svg><iframe>" * 30_000 + "text") == "text"
+
+
 def test_extract_keeps_the_dense_part_without_semantic_elements():
     long = "This is a sentence of the story that goes on for quite a while. " * 6
     menu = "".join(f"<li><a href='/{i}'>Link number {i}</a></li>" for i in range(30))
