@@ -7,7 +7,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rapport.llm.common import components, small_batches, text_bytes
@@ -41,17 +41,21 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (id, fp) with the fingerprint of each whole text as a signed 64-bit number."""
+    """Rows (id, fp, row): the fingerprint of each whole text as a signed 64-bit number, a hash of id and text."""
 
     def run(batches):
         for batch in batches:
             fps = [fingerprint(t, shingle) for t in text_bytes(batch.column(1))]
             column = np.array(fps, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(column, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(column, pa.int64()), batch.column(2)], ["id", "fp", "row"])
 
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"), row_hash(id, text).alias("row"))
+    return rows.mapInArrow(run, "id long, fp long, row long")
+
+
+def row_hash(id: str, text: str) -> Column:
+    return F.xxhash64(F.col(id).cast("long"), F.col(text).cast("binary"))
 
 
 def bucket_links(values: np.ndarray, distance: int, shared: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,7 +159,7 @@ def near_duplicates(
     ids only has a null ``component_id``. No rows give no rows. Only ``id`` and ``text``
     are read of the columns.
     """
-    fps = stored(fingerprints(docs, shingle, id, text), "fingerprints")
+    fps = stored(fingerprints(docs, shingle, id, text).select("id", "fp"), "fingerprints")
     classes = stored(fps.dropna(subset=["id"]).groupBy("fp").agg(F.min("id").alias("rep")), "classes")
     groups = components(fingerprint_links(classes, distance), "fingerprint-links")
     named = classes.join(groups, classes.rep == groups.node, "left")
@@ -169,15 +173,26 @@ def near_duplicates(
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the one with the smallest id.
 
-    All columns stay as they are. Rows that repeat the kept id are one document and come
-    out once; rows without an id cannot be told apart and all stay.
+    All columns stay as they are. Groups are those of fingerprints, so rows without an id are
+    copies like any other and stay only where their group has no id (one of them, by the
+    text's hash), and rows that share an id but not their text are documents of their own.
+    Rows that repeat the kept id and text come out once. Rows with neither an id nor a text
+    cannot be told apart and all stay.
     """
-    groups = stored(near_duplicates(docs, shingle, distance, id, text), "near-duplicates")
-    gone = groups.where(F.col("component_id") != F.col(id)).select(id).distinct()
-    kept = docs.join(gone, id, "left_anti")
-    repeated = groups.where(F.col(id).isNotNull()).groupBy(id).count().where("count > 1").select(id)
-    repeated = stored(repeated, "repeated")
+    known = docs.where(F.col(id).isNotNull() | F.col(text).isNotNull())
+    fps = stored(fingerprints(known, shingle, id, text), "fingerprints")
+    # The best row of each fingerprint: smallest id, null ids last, then the smallest hash.
+    best = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("best")
+    classes = stored(fps.groupBy("fp").agg(best), "classes")
+    groups = components(fingerprint_links(classes.select("fp", F.col("fp").alias("rep")), distance), "fingerprint-links")
+    named = classes.join(groups, classes.fp == groups.node, "left")
+    named = named.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("best").alias("best"))
+    rows = fps.groupBy("row").count()
+    rows = stored(rows.join(named.select("best.row", F.lit(True).alias("stays")), "row", "left"), "near-duplicates")
+    hashed = docs.withColumn("_row_hash", row_hash(id, text))
+    kept = hashed.join(rows.where("stays is null").select(F.col("row").alias("_row_hash")), "_row_hash", "left_anti")
+    repeated = stored(rows.where("stays and count > 1").select(F.col("row").alias("_row_hash")), "repeated")
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, id, "left_semi").dropDuplicates([id])
-    return kept.join(repeated, id, "left_anti").unionByName(once)
+        return kept.drop("_row_hash")
+    once = kept.join(repeated, "_row_hash", "left_semi").dropDuplicates(["_row_hash"])
+    return kept.join(repeated, "_row_hash", "left_anti").unionByName(once).drop("_row_hash")

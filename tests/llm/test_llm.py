@@ -166,6 +166,17 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0 and simhash.keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_by_id_and_text(spark):
+    rng = random.Random(3)
+    a, b, c = (" ".join(rng.choice("abcdefghijkl") * 3 for _ in range(60)) for _ in range(3))
+    rows = [(5, a), (None, a), (None, a), (7, a), (7, b), (7, b), (None, c), (None, c), (7, b + " "), (9, None), (None, None)]
+    df = spark.createDataFrame([(i, t, f"s{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string")
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    found = sorted(((r.doc_id, (r.text or "").strip()) for r in kept.collect()), key=repr)
+    assert found == sorted([(5, a), (7, b), (None, c), (9, ""), (None, "")], key=repr)
+
+
 # --- op3 ---------------------------------------------------------------------------------------
 
 
