@@ -95,16 +95,47 @@ def keep_rows(docs: DataFrame, read: Column, decide: Callable[[list[bytes | None
     return rows.mapInArrow(run, schema).toDF(*names)
 
 
-def words_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+# Letters of scripts without blanks between words, as code points: South-East Asian, Tibetan,
+# kana, Han; and their punctuation.
+SINGLE = [(0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x19E0), (0x1A20, 0x1AB0), (0x3005, 0x3008),
+          (0x3040, 0x3130), (0x3190, 0x31C0), (0x31F0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xA9E0, 0xAA80),
+          (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1B000, 0x1B170), (0x20000, 0x40000)]
+MARKS = [(0x0E4F, 0x0E50), (0x0E5A, 0x0E5C), (0x0F08, 0x0F15), (0x104A, 0x1050), (0x17D4, 0x17DB), (0x3000, 0x3005),
+         (0x3008, 0x3020), (0x3030, 0x3031), (0x30FB, 0x30FC), (0xFF01, 0xFF10), (0xFF1A, 0xFF21), (0xFF3B, 0xFF41), (0xFF5B, 0xFF66)]
+
+
+def single_letters(joined: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Flag per byte: does a new word start here as a letter of ``SINGLE`` starts or ends; ``MARKS`` become gaps."""
+    cut = np.zeros(len(joined), bool)
+    for low, high, n in ((0xE0, 0xF0, 3), (0xF0, 0xF8, 4)):
+        at = np.flatnonzero((joined >= low) & (joined < high))
+        at = at[at + n < len(joined)]
+        point = joined[at].astype(np.int64) & (0xFF >> (n + 1))
+        for k in range(1, n):
+            point = point << 6 | (joined[at + k] & 0x3F)
+        one = np.zeros(len(at), bool)
+        for a, b in SINGLE:
+            one |= (point >= a) & (point < b)
+        cut[at[one]] = cut[at[one] + n] = True
+        for a, b in MARKS:
+            mark = at[(point >= a) & (point < b)]
+            for k in range(n):
+                gap[mark + k] = True
+    return cut
+
+
+def words_of(texts: list[bytes | None], single: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of several texts at once: bytes, word starts, word ends, text of each word.
 
-    Texts are joined by a line feed, so no word spans two of them.
+    Texts are joined by a line feed, so no word spans two of them. With ``single`` a letter of
+    a script without blanks between words is a word.
     """
     joined = np.frombuffer(b"\n".join([t or b"" for t in texts]) + b"\n", np.uint8)
     gap = not_word(joined)
+    cut = single_letters(joined, gap) if single and (joined >= 0xE0).any() else np.zeros(len(joined), bool)
     gap_before = np.concatenate(([True], gap[:-1]))
-    starts = np.flatnonzero(~gap & gap_before)
-    ends = np.flatnonzero(gap & ~gap_before)
+    starts = np.flatnonzero(~gap & (gap_before | cut))
+    ends = np.flatnonzero((gap | cut) & ~gap_before)
     lengths = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
     owner = np.searchsorted(np.cumsum(lengths), starts, side="right")
     return joined, starts, ends, owner

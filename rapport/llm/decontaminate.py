@@ -42,7 +42,7 @@ class Index:
     def of(cls, items: list[tuple], width: int) -> Index:
         words = []
         for _, text in items:
-            joined, starts, ends, _ = words_of([text])
+            joined, starts, ends, _ = words_of([text], single=True)
             words.append(word_hashes(joined, starts, ends))
         runs = [rolling(w, width) for w in words]
         seeds = np.concatenate([*runs, np.empty(0, np.uint64)])
@@ -113,45 +113,60 @@ def tile(text: np.ndarray, item: np.ndarray, i: np.ndarray, j: np.ndarray, width
     return tiles
 
 
-def covered(index: Index, texts: list[bytes | None], least: float) -> list[list[tuple]]:
+def covered(indexes: list[Index], texts: list[bytes | None], least: float) -> list[list[tuple]]:
     """Per text the items whose words are tiled to a share of ``least`` or more: (id, share)."""
     out: list[list[tuple]] = [[] for _ in texts]
     for begin, end in chunks(texts):
-        joined, starts, ends, owner = words_of(texts[begin:end])
+        joined, starts, ends, owner = words_of(texts[begin:end], single=True)
         words = word_hashes(joined, starts, ends)
-        at, item, place = index.hits(words, owner)
-        if not len(at):
+        for index in indexes:
+            for k, id, share in _found(index, words, owner, least):
+                out[begin + k].append((id, share))
+    return out
+
+
+def _found(index: Index, words: np.ndarray, owner: np.ndarray, least: float) -> list[tuple]:
+    """Items of one index in joined texts: (text, id, share)."""
+    out = []
+    at, item, place = index.hits(words, owner)
+    if not len(at):
+        return out
+    order = np.lexsort((item, owner[at]))
+    at, item, place = at[order], item[order], place[order]
+    pair = np.flatnonzero(np.diff(owner[at]) | np.diff(item)) + 1
+    for s, e in zip([0, *pair.tolist()], [*pair.tolist(), len(at)]):
+        wanted = index.words[item[s]]
+        # Words that any shared run reaches: tiles cannot cover more.
+        reach = np.zeros(len(wanted) + 1, np.int64)
+        runs = np.unique(place[s:e])
+        np.add.at(reach, runs, 1)
+        np.add.at(reach, runs + index.width, -1)
+        if (np.cumsum(reach)[:-1] > 0).sum() < least * len(wanted):
             continue
-        order = np.lexsort((item, owner[at]))
-        at, item, place = at[order], item[order], place[order]
-        pair = np.flatnonzero(np.diff(owner[at]) | np.diff(item)) + 1
-        for s, e in zip([0, *pair.tolist()], [*pair.tolist(), len(at)]):
-            wanted = index.words[item[s]]
-            # Words that any shared run reaches: tiles cannot cover more.
-            reach = np.zeros(len(wanted) + 1, np.int64)
-            runs = np.unique(place[s:e])
-            np.add.at(reach, runs, 1)
-            np.add.at(reach, runs + index.width, -1)
-            if (np.cumsum(reach)[:-1] > 0).sum() < least * len(wanted):
-                continue
-            tiles = tile(words, wanted, at[s:e], place[s:e], index.width)
-            share = sum(t[2] for t in tiles) / len(wanted)
-            if share >= least:
-                out[begin + int(owner[at[s]])].append((index.ids[item[s]], share))
+        tiles = tile(words, wanted, at[s:e], place[s:e], index.width)
+        share = sum(t[2] for t in tiles) / len(wanted)
+        if share >= least:
+            out.append((int(owner[at[s]]), index.ids[item[s]], share))
     return out
 
 
 def _blocks(benchmark: DataFrame, width: int):
-    """Indexes of the benchmark, each of about ``BLOCK_BYTES`` of text, as broadcast values."""
+    """Lists of indexes of the benchmark, each of about ``BLOCK_BYTES`` of text, as broadcast values.
+
+    Items of fewer words than ``width`` have an index by their number of words.
+    """
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.lower("text").cast("binary").alias("text"))
-    items = items.dropna()
+    items = items.where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // BLOCK_BYTES)
     for block in range(n):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == block).distinct().collect()
-        part = sorted((r.id, bytes(r.text)) for r in part)
-        yield spark.sparkContext.broadcast(Index.of(part, width))
+        part = sorted(((r.id, bytes(r.text)) for r in part), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        seeds: dict[int, list] = {}
+        for id, text in part:
+            seeds.setdefault(min(width, len(words_of([text], single=True)[1])), []).append((id, text))
+        yield spark.sparkContext.broadcast([Index.of(items, n) for n, items in sorted(seeds.items()) if n])
 
 
 def _lowered(text: str = "text") -> Column:
@@ -161,15 +176,17 @@ def _lowered(text: str = "text") -> Column:
 def contamination(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, width: int = 5) -> DataFrame:
     """Benchmark items found in every document: (doc_id, contaminated, item_ids, coverage).
 
-    Words are runs of letters and digits in lower case. Documents and items that share a run
+    Words are runs of letters and digits in lower case; in scripts without blanks between
+    words each letter is one. Documents and items that share a run
     of ``width`` words (found by rolling hashes) are tiled greedily: longest common run
     first, none overlapping, none shorter than ``width``. An item is in a document if tiles
     cover ``least`` of the item's words, in whatever order they stand there. ``item_ids``
     are the found items in rising order, ``coverage`` the largest share (0 if none).
 
     Every row of ``docs`` gives one row; a null or empty text is not contaminated, a null id
-    stays null. Items that are null, or of fewer words than ``width``, are not searched.
-    Repeated items count once. The benchmark goes to all tasks in blocks of bounded size, one
+    stays null. An item of fewer words than ``width`` is found where all of them stand in a
+    row. Items with a null text or without words are not searched; one with a null id is, and
+    gives a null in ``item_ids``. Repeated items count once. The benchmark goes to all tasks in blocks of bounded size, one
     pass over the documents for each, so documents are never shuffled.
     """
     small_batches(docs.sparkSession)

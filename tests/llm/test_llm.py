@@ -353,6 +353,26 @@ def test_contamination_finds_reordered_passages_and_leaves_the_rest(spark):
     assert sorted(r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()) == [3, 4, 6]
 
 
+def test_contamination_by_short_items_other_scripts_and_null_ids(spark):
+    items = [(1, "Who won?"), (2, "东京是日本的首都吗"), (3, "กรุงเทพเป็นเมืองหลวง"), (None, "a b c d e f"), (5, "?!"), (6, None), (7, "日本"), (8, "ok")]
+    texts = {
+        1: ("so who WON, then", [1]),
+        2: ("won by who", []),
+        3: ("我问：东京是，日本的首都吗。好", [2, 7]),
+        4: ("ถาม กรุงเทพเป็นเมืองหลวง ไหม", [3]),
+        5: ("x a b c d e f g", [None]),
+        6: ("东京的日子", []),
+        7: ("日 本 okay", [7]),
+        8: ("A1日本ok", [7, 8]),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert {i: r.item_ids for i, r in out.items()} == {i: found for i, (_, found) in texts.items()}
+    assert all(r.contaminated == bool(r.item_ids) for r in out.values())
+    assert sorted(r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()) == [2, 6]
+
+
 def test_benchmark_in_several_blocks_gives_the_same(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     one = rows_of(decontaminate.contamination(docs, bench))
