@@ -612,14 +612,16 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
 
 
 def test_embedding_recall_with_the_query_parameters(spark):
-    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
-    out = embeddings.near_duplicates(df).toPandas()
-    data, want = df.toPandas(), 0
-    for _, part in data.groupby("label"):
-        x = np.stack(part.embedding.to_numpy()).astype(float)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        want += int((x @ x.T >= 0.98).sum()) - len(x)
-    assert want > 1000 and 0.99 * want <= out.n_links.sum() <= want
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(500, 64))
+    x = base[rng.integers(0, 500, 4000)] + rng.normal(size=(4000, 64)) * rng.choice([0.02, 0.1, 0.15], (4000, 1))
+    data = [(i, v, i % 3) for i, v in enumerate(x.astype(np.float32).astype(float).tolist())]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int")
+    found = embeddings.near_duplicates(df).toPandas().set_index("vec_id").n_links
+    for label in range(3):
+        unit = embeddings.units([v for _, v, k in data if k == label])
+        want = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+        assert want.sum() > 1000 and found[[i for i, _, k in data if k == label]].tolist() == want.tolist()
 
 
 @pytest.mark.parametrize("least", [0.9, 0.98])
