@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from rapport.schemas import TABLES, struct  # noqa: E402
 from rapport.session import local_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -42,13 +40,3 @@ def frame(spark):
         return spark.createDataFrame([tuple(row.get(c) for c in schema.names) for row in rows], schema)
 
     return build
-
-
-def sets(df, *columns):
-    """Rows as a sorted list of tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(row) for row in picked.collect()), key=repr)
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

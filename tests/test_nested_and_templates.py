@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import sets
+from frames import sets
 from pyspark.sql import functions as F
 
 from rapport.plans import nested, templates, topline

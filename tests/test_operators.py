@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import plan_of, sets
+from frames import plan_of, sets
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

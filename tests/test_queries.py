@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from conftest import SF, plan_of
+from frames import SF, plan_of
 
 import __spark_entry__ as entry
 

@@ -3,7 +3,7 @@ import itertools
 import random
 
 import pytest
-from conftest import sets
+from frames import sets
 from pyspark.sql import functions as F
 
 from rapport import operators as ops

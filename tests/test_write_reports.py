@@ -1,6 +1,6 @@
 """The whole set of reports written out, from declared tables and from the given ones."""
 
-from conftest import SF, sets
+from frames import SF, sets
 
 from rapport.reports import Reports, write_reports
 from rapport.schemas import TABLES
