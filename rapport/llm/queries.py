@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rapport.llm import decontaminate, embeddings, html_text, importance, language, licenses, mixing, secrets, sharding, simhash
+from rapport.llm import decontaminate, embeddings, html_text, importance, language, licenses, mixing, pieces, secrets, sharding, simhash
 from rapport.llm.common import table
 from rapport.llm.oracles import ORACLES  # noqa: F401
 
@@ -61,6 +62,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def read_bytes(path: str) -> bytes:
+    with open(path, "rb") as file:
+        return file.read()
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
+    found = pieces.encode(table(spark, sf_dir, "documents"), pieces.read_model(read_bytes(model)))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,5 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_embeddings,
         op10_simhash,
+        op12_sentencepiece,
     )
 }
