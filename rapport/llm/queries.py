@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rapport.llm import decontaminate, embeddings, html_text, importance, language, licenses, mixing, pieces, secrets, sharding, simhash
+from rapport.llm import alignment, decontaminate, embeddings, html_text, importance, language, licenses, mixing, pieces, secrets, sharding, simhash, whitening
 from rapport.llm.common import table
 from rapport.llm.oracles import ORACLES  # noqa: F401
 
@@ -62,6 +62,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -70,6 +71,11 @@ def read_bytes(path: str) -> bytes:
         return file.read()
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str, byte_model: str = BYTE_MODEL, model: str = PIECE_MODEL) -> DataFrame:
+    text = alignment.byte_model_text(read_bytes(byte_model))
+    return alignment.best_links(table(spark, sf_dir, "documents"), text, pieces.read_model(read_bytes(model)))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
     found = pieces.encode(table(spark, sf_dir, "documents"), pieces.read_model(read_bytes(model)))
     return found.select(
@@ -80,6 +86,10 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODE
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), wanted=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_embeddings,
         op10_simhash,
+        op11_alignment,
         op12_sentencepiece,
+        op13_whitening,
     )
 }

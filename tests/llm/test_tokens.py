@@ -1,14 +1,18 @@
 """Encoding, decoding and aligning tokens, against the tokenizers' own libraries."""
 
 import hashlib
+import itertools
 import random
+from collections import Counter
 
-import pytest
+import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from rapport.llm import pieces, queries
+from rapport.llm import alignment, pieces, queries
 
 SF = "/root/testdata/sf0.001"
 MODEL = queries.read_bytes(queries.PIECE_MODEL)
@@ -108,3 +112,127 @@ def test_op12_query(spark, library):
         ids = library.encode(text)
         assert found[i] == (len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids)))
     assert public_tokenizers.path("piece_bpe_32k.model") == queries.PIECE_MODEL
+
+
+# --- op11 --------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def byte_model():
+    return alignment.byte_model_text(queries.read_bytes(queries.BYTE_MODEL))
+
+
+@pytest.fixture(scope="module")
+def both(byte_model, library):
+    """Tokens of a text by both libraries, as (ids, bytes) a side; no tokens if the bytes differ."""
+    tokenizer = Tokenizer.from_str(byte_model)
+    tokenizer.encode_special_tokens = True
+    letters = alignment.byte_letters()
+
+    def tokens(text):
+        a = tokenizer.encode(" " + text, add_special_tokens=False)
+        raw_a = [bytes(letters[c] for c in t) for t in a.tokens]
+        b = library.encode(text)
+        names = [library.id_to_piece(i) for i in b]
+        raw_b = [bytes([int(n[3:5], 16)]) if library.is_byte(i) else n.replace("▁", " ").encode() for i, n in zip(b, names)]
+        want = (" " + text).encode()
+        if not text or b"".join(raw_a) != want or b"".join(raw_b) != want:
+            return ([], []), ([], [])
+        return (a.ids, raw_a), (b, raw_b)
+
+    return tokens
+
+
+def plain_groups(a, b):
+    """Groups as pairs of lists of ids, from the common ends."""
+    places, out = [], []
+    for ids, raw in (a, b):
+        places.append(list(itertools.accumulate(map(len, raw))))
+    for end in sorted(set(places[0]) & set(places[1])):
+        start = out[-1][0] if out else 0
+        out.append((end, [[i for i, e in zip(ids, ends) if start < e <= end] for (ids, _), ends in zip((a, b), places)]))
+    return [g for _, g in out]
+
+
+def plain_rows(texts, both):
+    """The result of ``best_links`` by its definition."""
+    found = [plain_groups(*both(t or "")) for t in texts]
+    links = [[(i, j) for a, b in groups for i in a for j in b] for groups in found]
+    count = Counter(pair for every in links for pair in set(every))
+    top = {}
+    for (i, _), n in count.items():
+        top[i] = max(n, top.get(i, 0))
+    rows = []
+    for groups, every in zip(found, links):
+        written = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        rows.append((sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), len(every),
+                     sum(count[p] == top[p[0]] for p in every), sum(count[p] for p in every), digest(written) if written else ""))
+    return rows
+
+
+def test_units_equal_the_libraries(byte_model, vocabulary, both):
+    units = alignment.Units(byte_model, vocabulary)
+    for text in odd_texts():
+        a, b = (np.frombuffer(x, np.int32).tolist() for x in units.of(text))
+        assert [a, b] == [ids for ids, _ in both(text)], text[:80]
+
+
+def test_groups_end_at_all_common_ends():
+    rng = np.random.default_rng(6)
+    for _ in range(400):
+        ends, spans, total = ([], []), [], 0
+        for _ in range(rng.integers(0, 5)):
+            size = int(rng.integers(1, 60))
+            for side in ends:
+                inner = rng.choice(np.arange(1, size), rng.integers(0, size), replace=False) if size > 1 else []
+                side.append(total + np.sort([*inner, size]))
+            total += size
+        of = [np.cumsum([0, *map(len, side)]) for side in ends]
+        spans = np.stack((of[0][:-1], of[0][1:], of[1][:-1], of[1][1:]), axis=1).astype(np.int64)
+        a, b = (np.concatenate(side).astype(np.int64) if side else np.empty(0, np.int64) for side in ends)
+        to_a, to_b = alignment.groups(a, b, spans)
+        common = np.intersect1d(a, b)
+        assert a[to_a - 1].tolist() == common.tolist() == b[to_b - 1].tolist()
+
+
+def test_long_groups_without_a_common_end():
+    a = np.arange(2, 200_001, 2)
+    b = np.append(np.arange(1, 200_000, 2), 200_000)
+    to_a, to_b = alignment.groups(a, b, np.array([[0, len(a), 0, len(b)]]))
+    assert to_a.tolist() == [len(a)] and to_b.tolist() == [len(b)]
+
+
+@pytest.mark.parametrize("wide", [4096, 3])
+def test_best_links_equal_brute_force(spark, byte_model, vocabulary, both, monkeypatch, wide):
+    monkeypatch.setattr(alignment, "WIDE", wide)
+    monkeypatch.setattr(alignment, "BLOCK_PAIRS", 300)
+    monkeypatch.setattr(alignment, "ROW_PAIRS", 50)
+    monkeypatch.setattr(alignment, "SIDE_BY_SIDE", 2000)
+    texts = odd_texts()[:600] + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(60).collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = sorted(tuple(r) for r in alignment.best_links(df, byte_model, vocabulary).collect())
+    assert found == [(i, *row) for i, row in enumerate(plain_rows(texts, both))]
+
+
+def test_aligned_groups_are_spans_of_equal_bytes(spark, byte_model, vocabulary, both):
+    texts = odd_texts()[:200] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in alignment.align(df, byte_model, vocabulary).collect():
+        groups = plain_groups(*both(texts[r.doc_id] or ""))
+        ends = zip([0, *r.a_ends], r.a_ends, [0, *r.b_ends], r.b_ends)
+        assert [[r.a_ids[i:j], r.b_ids[k:n]] for i, j, k, n in ends] == groups
+
+
+def test_aligning_odd_rows(spark, byte_model, vocabulary, both):
+    rows = odd_rows(spark)
+    texts = [(r.doc_id, bytes(r.raw or b"").decode("utf-8", "replace")) for r in rows.select("doc_id", F.col("text").cast("binary").alias("raw")).collect()]
+    want = [(i, *row) for (i, _), row in zip(texts, plain_rows([t for _, t in texts], both))]
+    found = [tuple(r) for r in alignment.best_links(rows, byte_model, vocabulary).collect()]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    assert alignment.best_links(rows.limit(0), byte_model, vocabulary).collect() == []
+
+
+def test_op11_query(spark, both):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    found = sorted(tuple(r) for r in queries.op11_alignment(spark, SF).collect())
+    assert found == [(r.doc_id, *row) for r, row in zip(docs, plain_rows([r.text for r in docs], both))]
