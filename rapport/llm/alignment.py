@@ -385,7 +385,8 @@ def best_links(docs: DataFrame, byte_model: str, vocabulary: Vocabulary) -> Data
     counts = counts.withColumn("a", F.shiftright("pair", 20))
     top = counts.groupBy("a").agg(F.max("n").alias("top"))
     ranked = counts.join(top, "a").select("pair", "n", (F.col("n") == F.col("top")).alias("best"))
-    asked = split_join(listed.select("block", "at", "pair"), ranked, "pair").select("block", "at", "n", "best")
+    asked = split_join(listed.select("block", "at", "pair"), ranked, "pair")
+    asked = asked.select(F.col("block").alias("asker"), "at", "n", "best")
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -407,7 +408,7 @@ def best_links(docs: DataFrame, byte_model: str, vocabulary: Vocabulary) -> Data
 
     own = rows.where("pairs IS NULL").select("block", *names, "groups_sha256", "at", "times")
     schema = ", ".join(f"{c} long" for c in [*names, "n_best", "count_sum"]) + ", groups_sha256 string"
-    return own.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(finish, schema)
+    return own.groupBy("block").cogroup(asked.groupBy("asker")).applyInArrow(finish, schema)
 
 
 def byte_model_text(raw: bytes) -> str:

@@ -144,14 +144,15 @@ def both(byte_model, library):
 
 
 def plain_groups(a, b):
-    """Groups as pairs of lists of ids, from the common ends."""
-    places, out = [], []
-    for ids, raw in (a, b):
-        places.append(list(itertools.accumulate(map(len, raw))))
-    for end in sorted(set(places[0]) & set(places[1])):
-        start = out[-1][0] if out else 0
-        out.append((end, [[i for i, e in zip(ids, ends) if start < e <= end] for (ids, _), ends in zip((a, b), places)]))
-    return [g for _, g in out]
+    """Groups as pairs of lists of ids: tokens are taken from both sides until both end at one place."""
+    (ids_a, raw_a), (ids_b, raw_b) = a, b
+    ends_a, ends_b = (list(itertools.accumulate(map(len, raw))) for raw in (raw_a, raw_b))
+    common, out, i, j = set(ends_a) & set(ends_b), [], 0, 0
+    for end in sorted(common):
+        k, n = ends_a.index(end, i) + 1, ends_b.index(end, j) + 1
+        out.append([ids_a[i:k], ids_b[j:n]])
+        i, j = k, n
+    return out
 
 
 def plain_rows(texts, both):
