@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,10 @@ ROW_PAIRS = 8192
 WIDE = 4096
 # Ids of either tokenizer lie below this.
 IDS = 1 << 20
-# A blank cannot start a new word after these for all that know a wide sense of white space.
-OPEN = re.compile(r"[\s\x1c-\x1f᠎​﻿▁]\Z")
+# Signs that are neither letters nor digits nor white space, and the last of the Latin letters.
+SIGNS, LATIN = ",.;:!?", "\u024f"
+# White space in any sense, and the blank of pieces: behind one of these a blank may go on with what stands before.
+OPEN = frozenset([c for c in map(chr, range(0x3001)) if c.isspace()] + ["\u180e", "\u200b", "\ufeff", SPACE])
 
 
 def byte_letters() -> dict[str, int]:
@@ -65,25 +68,38 @@ class Units:
 
         self.tokenizer = Tokenizer.from_str(byte_model)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         letters = byte_letters()
+        self.letter_of = {byte: letter for letter, byte in letters.items()}
         ids = self.tokenizer.get_vocab()
-        self.raw_a = [b""] * (max(ids.values()) + 1)
+        self.size_a = np.zeros(max(ids.values()) + 1, np.int64)
         for piece, i in ids.items():
-            self.raw_a[i] = bytes(letters[c] for c in piece)
+            self.size_a[i] = len(bytes(letters[c] for c in piece))
         self.pieces = Encoder(vocabulary)
-        self.raw_b = self.pieces.raw
-        self.size_a = np.array([len(r) for r in self.raw_a], np.int64)
-        self.size_b = np.array([len(r) for r in self.raw_b], np.int64)
+        self.size_b = np.array([len(r) for r in self.pieces.raw], np.int64)
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
 
     def unit(self, text: str) -> tuple[bytes, bytes] | None:
-        """Ids of a blank and a text; nothing if the bytes of either side differ from it."""
-        a = self.tokenizer.encode(" " + text, add_special_tokens=False).ids
-        b = self.pieces.unit(SPACE + text.replace(" ", SPACE))
-        want = b" " + text.encode()
-        if b"".join(map(self.raw_a.__getitem__, a)) != want or b"".join(map(self.raw_b.__getitem__, b)) != want:
+        """Ids of a blank and a text; nothing if the bytes of either side differ from it.
+
+        Bytes of the byte-level side are always the text's. Pieces give back all but their own
+        sign for a blank, which they give back as a blank.
+        """
+        if SPACE in text:
             return None
-        return np.array(a, np.int32).tobytes(), b.tobytes()
+        return array("i", self.byte_ids(text)).tobytes(), self.pieces.unit(SPACE + text.replace(" ", SPACE)).tobytes()
+
+    def byte_ids(self, text: str) -> list[int]:
+        """Ids of a blank and a text by the byte-level tokenizer.
+
+        Its pattern keeps a blank and plain letters together, and the signs behind them: such
+        words go to its model as these two parts.
+        """
+        core = text.rstrip(SIGNS)
+        if not core.isalpha() or not core.isascii() and max(core) > LATIN:
+            return self.tokenizer.encode(" " + text, add_special_tokens=False).ids
+        parts = [" " + core, text[len(core) :]] if len(core) < len(text) else [" " + core]
+        return [t.id for p in parts for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letter_of))]
 
     def of(self, text: str) -> tuple[bytes, bytes]:
         """Ids of both tokenizers, as 32-bit numbers; none if the bytes of a side differ from the text's."""
@@ -92,7 +108,7 @@ class Units:
             return none
         a, b, front, known = [], [], [], self.known
         for word in words(text):
-            if not word or OPEN.search(word):
+            if not word or word[-1] in OPEN:
                 front.append(word)
                 continue
             if front:
@@ -189,6 +205,17 @@ def digits(many: int) -> tuple[np.ndarray, np.ndarray]:
     return text, used
 
 
+class Models:
+    """Both models as they go to the tasks; a worker builds its units once and keeps them for later tasks."""
+
+    def __init__(self, byte_model: str, vocabulary: Vocabulary):
+        self.parts = byte_model, vocabulary
+
+    @cached_property
+    def units(self) -> Units:
+        return Units(*self.parts)
+
+
 class Chunk:
     """Some texts aligned side by side. Token places count over all of them."""
 
@@ -267,10 +294,10 @@ def align(docs: DataFrame, byte_model: str, vocabulary: Vocabulary) -> DataFrame
     """
     spark = docs.sparkSession
     small_batches(spark)
-    sent = spark.sparkContext.broadcast((byte_model, vocabulary))
+    sent = spark.sparkContext.broadcast(Models(byte_model, vocabulary))
 
     def run(batches):
-        units = Units(*sent.value)
+        units = sent.value.units
         for batch in batches:
             ids, raw = batch.column(0), text_bytes(batch.column(1))
             for start, end in chunks(raw, SIDE_BY_SIDE):
@@ -301,7 +328,7 @@ def blocks(docs: DataFrame, byte_model: str, vocabulary: Vocabulary) -> DataFram
     """
     spark = docs.sparkSession
     small_batches(spark)
-    sent = spark.sparkContext.broadcast((byte_model, vocabulary))
+    sent = spark.sparkContext.broadcast(Models(byte_model, vocabulary))
     names = [part.split()[0] for part in ROW.split(", ")]
 
     def lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -313,7 +340,7 @@ def blocks(docs: DataFrame, byte_model: str, vocabulary: Vocabulary) -> DataFram
         return pa.RecordBatch.from_arrays([columns.get(n, pa.nulls(size, kinds.get(n, pa.int64()))) for n in names], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(*sent.value)
+        units = sent.value.units
         text, used = digits(max(len(units.size_a), len(units.size_b)))
         block = TaskContext.get().partitionId() << 32
         place_of: dict[int, int] = {}

@@ -14,6 +14,7 @@ import codecs
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import groupby
 
 import ahocorasick
@@ -81,6 +82,18 @@ def read_model(model: bytes) -> Vocabulary:
     return found
 
 
+class Model:
+    """A vocabulary as it goes to the tasks; a worker builds its encoder once and keeps it for later tasks."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        codecs.register_error("byte_by_byte", _byte_by_byte)
+        return Encoder(self.vocabulary)
+
+
 def _byte_by_byte(error: UnicodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
@@ -135,7 +148,10 @@ class Encoder:
     # --- encoding
 
     def holds(self, last: int, piece: int) -> bool:
-        """May ``piece`` follow ``last``: do their letters merge to these two."""
+        """May ``piece`` follow ``last``: do their letters merge to these two. Any may be the first, after -1."""
+        if last < 0:
+            self.follow[last][piece] = True
+            return True
         a, b = self.vocabulary.pieces[last], self.vocabulary.pieces[piece]
         self.asked += 1
         if self.asked > KEPT_PAIRS:
@@ -156,14 +172,14 @@ class Encoder:
         taken: list[int] = []
         at, piece, last = 0, longest[0], -1
         while True:
-            known = follow[last]
+            answer = follow[last].get
             while piece >= 0:
-                end = at + size[piece]
-                if not (marked and failed[end >> 3] >> (end & 7) & 1):
-                    fits = known.get(piece)
-                    if fits is None:
-                        fits = last < 0 or self.holds(last, piece)
-                    if fits:
+                fits = answer(piece)
+                if fits is None:
+                    fits = self.holds(last, piece)
+                if fits:
+                    end = at + size[piece]
+                    if not marked or not failed[end >> 3] >> (end & 7) & 1:
                         break
                 piece = shorter[piece]
             if piece >= 0:
@@ -262,16 +278,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     empty text. Bytes that are no UTF-8 are read as U+FFFD. Texts of any length are encoded as a
     whole; rows that repeat are encoded again; a null id stays null; other columns are not read.
     Each row is encoded by itself, nothing is shuffled. A worker keeps ``KEPT_WORDS`` words and
-    ``KEPT_PAIRS`` pairs of pieces at most with their results.
+    ``KEPT_PAIRS`` pairs of pieces at most with their results, also for its next tasks.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    sent = spark.sparkContext.broadcast(vocabulary)
+    sent = spark.sparkContext.broadcast(Model(vocabulary))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
     def run(batches):
-        codecs.register_error("byte_by_byte", _byte_by_byte)
-        encoder = Encoder(sent.value)
+        encoder = sent.value.encoder
         for batch in batches:
             ids, ends, decoded = [], array("i", [0]), []
             for raw in text_bytes(batch.column(1)):
