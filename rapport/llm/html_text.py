@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rapport.llm.common import small_batches
+from rapport.llm.common import small_batches, text_bytes
 
 # Element names of HTML by what they mean for the main text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -323,12 +323,12 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [extract(html) for html in batch.column(2).to_pylist()]
+            texts = [extract((html or b"").decode("utf-8", "replace")) for html in text_bytes(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
     small_batches(pages.sparkSession)
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html").cast("binary"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

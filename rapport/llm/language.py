@@ -117,7 +117,7 @@ def prototypes(docs: DataFrame, dimensions: int = 512, seed: int = 7, max_langs:
         for batch in batches:
             langs = batch.column(1).to_pylist()
             for text, lang in zip(text_bytes(batch.column(0)), langs):
-                codes, counts = grams((text or b"").decode())
+                codes, counts = grams((text or b"").decode("utf-8", "replace"))
                 if len(codes):
                     vector = space.bundle(codes, counts)
                     sums[lang] = sums[lang] + vector if lang in sums else vector
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = [model.predict(t if t is None else t.decode()) for t in text_bytes(batch.column(2))]
+            found = [model.predict(t if t is None else t.decode("utf-8", "replace")) for t in text_bytes(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -201,7 +201,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), "text")
+    rows = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), F.col("text").cast("binary"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
@@ -212,7 +212,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.0) -> DataFr
     is ``least`` or lower.
     """
     def decide(texts):
-        found = [model.predict(t if t is None else t.decode()) for t in texts]
+        found = [model.predict(t if t is None else t.decode("utf-8", "replace")) for t in texts]
         return [lang != UNKNOWN and score > least for lang, score in found]
 
     return keep_rows(docs, F.col("text"), decide)
