@@ -42,14 +42,25 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
-def numbered(spark: SparkSession, root: str, key: str) -> list[int]:
-    """Numbers n of the folders ``root/key=n`` that were written to the end, rising."""
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder unless it is there."""
+    files, folder = _folder(spark, path)
+    files.mkdirs(folder)
+
+
+def folders(spark: SparkSession, root: str, finished: bool = False) -> list[str]:
+    """Names of the folders below ``root``; only of those written to their end if ``finished``."""
     files, folder = _folder(spark, root)
     if not files.exists(folder):
         return []
     found = [entry.getPath() for entry in files.listStatus(folder) if entry.isDirectory()]
     done = spark._jvm.org.apache.hadoop.fs.Path
-    names = [p.getName() for p in found if files.exists(done(p, "_SUCCESS"))]
+    return [p.getName() for p in found if not finished or files.exists(done(p, "_SUCCESS"))]
+
+
+def numbered(spark: SparkSession, root: str, key: str, finished: bool = True) -> list[int]:
+    """Numbers n of the folders ``root/key=n`` that were written to the end, rising; of all if not ``finished``."""
+    names = folders(spark, root, finished)
     return sorted(int(name.removeprefix(f"{key}=")) for name in names if name.startswith(f"{key}="))
 
 
@@ -109,14 +120,23 @@ def replace_version(spark: SparkSession, df: DataFrame, root: str, keep: int = 2
     """Replace a table by a query, which may read it, and return the new version.
 
     Spark refuses to overwrite what it is reading, so the result goes to a new folder. The
-    last ``keep`` versions stay, for readers that began before; older ones are removed. Of
-    two writers at once the second fails, as its folder exists.
+    last ``keep`` versions stay, for readers that began before; older ones are removed. A
+    folder that a killed writer left unfinished is passed over, and removed with the versions
+    older than it. Of two writers at once the one that ends last fails and leaves nothing, as
+    it may have read what the other replaced.
     """
-    before = numbered(spark, root, "version")
-    path = f"{root}/version={max(before, default=-1) + 1}"
+    every = numbered(spark, root, "version", finished=False)
+    done = numbered(spark, root, "version")
+    path = f"{root}/version={max(every, default=-1) + 1}"
     df.write.parquet(path)
-    for old in before[: max(len(before) + 1 - keep, 0)]:
-        delete(spark, f"{root}/version={old}")
+    others = [n for n in numbered(spark, root, "version") if n not in done and f"{root}/version={n}" != path]
+    if others:
+        delete(spark, path)
+        raise RuntimeError(f"version {others[-1]} of {root} was written meanwhile")
+    kept = done[len(done) + 1 - keep :] if keep > 1 else []
+    for old in every:
+        if old not in kept and (old in done or old < min(kept, default=max(every) + 1)):
+            delete(spark, f"{root}/version={old}")
     return spark.read.schema(df.schema).parquet(path)
 
 

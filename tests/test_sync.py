@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from frames import sets
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 
 from rapport.plans import sync
 from rapport.sources import files, sinks, tables
+from rapport.streaming import sync as streaming_sync
 from rapport.streaming.latest import read_latest, stream_latest
-from rapport.streaming.sync import read_log, stream_delta
+from rapport.streaming.sync import log_folder, read_log, stream_delta
 
 TAG_IDS = {"T1": "early_voted", "T2": "ballot_mailed"}
 def order():
@@ -169,6 +171,28 @@ def test_table_is_replaced_by_a_query_that_reads_it(spark, tmp_path):
     (tmp_path / "t" / "version=9").mkdir()
     assert sets(sinks.read_version(spark.newSession(), root, schema)) == [(3,), (4,), (5,)]
     assert sinks.numbered(spark, root, "version") == [2, 3]
+    # the next versions pass that folder over, and it goes with what is older than they are
+    for n in (10, 11):
+        sinks.replace_version(spark, spark.range(n), root)
+        assert sinks.read_version(spark, root, schema).count() == n
+    assert sinks.folders(spark, root) == sinks.folders(spark, root, finished=True) and sinks.numbered(spark, root, "version") == [10, 11]
+
+
+def test_the_last_of_two_writers_fails_and_leaves_nothing(spark, tmp_path):
+    root = str(tmp_path / "t")
+    sinks.replace_version(spark, spark.range(3), root)
+
+    def meanwhile(batches):
+        for batch in batches:
+            folder = tmp_path / "t" / "version=5"
+            folder.mkdir(exist_ok=True)
+            (folder / "_SUCCESS").touch()
+            yield batch
+
+    slow = spark.range(4).mapInPandas(meanwhile, "id long")
+    with pytest.raises(RuntimeError, match="version 5"):
+        sinks.replace_version(spark, slow, root)
+    assert sinks.numbered(spark, root, "version", finished=False) == [0, 5]
 
 
 def test_log_by_day_and_compaction(spark, tmp_path):
@@ -258,6 +282,34 @@ def test_replayed_epoch_changes_nothing(spark, frame, tmp_path):
     assert run() == before == [("a", "s", 0), ("b", "s", 1)]
 
 
+def test_an_epoch_reads_only_the_buckets_of_its_keys(spark, frame, tmp_path, monkeypatch):
+    log, present = str(tmp_path / "log"), str(tmp_path / "present")
+    rows = lambda ids: frame("tag_log", [dict(alloy_sos_id=i, voting_status="s") for i in ids])
+    inbox, read = str(tmp_path / "in"), []
+    plain = streaming_sync.read_log
+
+    def watched(spark, log_path, only=None):
+        found = plain(spark, log_path, only)
+        read.append((len(only), sum(os.path.getsize(f.removeprefix("file://")) for f in found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(streaming_sync, "read_log", watched)
+    spark.range(60_000).selectExpr("concat('P', id) AS alloy_sos_id", "'s' AS voting_status").coalesce(1).write.parquet(f"{inbox}/0")
+    for n in range(1, 50):
+        rows(["P0", "P1", f"Q{n}"]).coalesce(1).write.parquet(f"{inbox}/{n}")
+        for file in (tmp_path / "in" / str(n)).glob("*.parquet"):
+            os.utime(file, (2_000_000_000 + n, 2_000_000_000 + n))
+    source = spark.readStream.schema(rows([]).schema).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/*")
+    stream_delta(source, statuses, rows([]), log, str(tmp_path / "check"), buckets=64).awaitTermination()
+    assert len(read) == 50 and plain(spark, log).count() == plain(spark, log).select("alloy_sos_id").distinct().count() == 60_049
+    whole = sum(os.path.getsize(f.removeprefix("file://")) for f in plain(spark, log).inputFiles())
+    later = [size for _, size in read[1:]]
+    # A bucket has at most a few rows more than at first, so later epochs read what early ones do.
+    assert max(n for n, _ in read[1:]) == 3 and max(later) < whole / 8
+    assert sum(later[-10:]) < 1.3 * sum(later[:10])
+    assert sinks.folders(spark, log) == ["buckets=64"] and log_folder(spark, log, 7)[1] == 64
+
+
 def test_stream_keeps_the_latest_row_and_ignores_late_ones(spark, tmp_path):
     inbox, sink, check = (str(tmp_path / n) for n in ("in", "sink", "check"))
     schema = "k string, ts int, id int, v string"
@@ -273,5 +325,39 @@ def test_stream_keeps_the_latest_row_and_ignores_late_ones(spark, tmp_path):
     assert run(("a", 4, 9, "late"), ("b", 2, 4, "new")) == [("a", 5, 2, "y"), ("b", 2, 4, "new")]
     # two epochs are folded into one state; a later one adds to it
     assert sinks.numbered(spark, f"{sink}/state", "epoch") == [1]
-    assert sinks.numbered(spark, f"{sink}/changes", "epoch") == []
     assert run(("a", 6, 5, "w")) == [("a", 6, 5, "w"), ("b", 2, 4, "new")]
+    # what a state replaced goes with the next one
+    assert sinks.numbered(spark, f"{sink}/changes", "epoch") == [0, 1, 2]
+    assert run(("c", 6, 5, "w")) == [("a", 6, 5, "w"), ("b", 2, 4, "new"), ("c", 6, 5, "w")]
+    assert sinks.numbered(spark, f"{sink}/changes", "epoch") == [2, 3]
+    assert sinks.numbered(spark, f"{sink}/state", "epoch") == [1, 3]
+
+
+def test_a_reader_may_span_a_fold(spark, tmp_path):
+    inbox, sink, check = (str(tmp_path / n) for n in ("in", "sink", "check"))
+
+    def run(n):
+        df = spark.createDataFrame([(f"k{n % 3}", n, n)], "k string, ts int, id int")
+        df.coalesce(1).write.mode("append").parquet(inbox)
+        stream_latest(tables.stream(spark, inbox, df.schema), ["k"], ["ts", "id"], sink, check, fold_every=3).awaitTermination()
+        return read_latest(spark, sink, df.schema, ["k"])
+
+    readers = [(n, run(n)) for n in range(8)]
+    # Looked up at once, read only now: at most one fold later all is still there.
+    for n, reader in readers[3:]:
+        assert sets(reader, "ts") == [(t,) for t in range(max(0, n - 2), n + 1)]
+
+
+def test_latest_rows_survive_a_restart_from_their_store(spark, tmp_path):
+    inbox, sink, check = (str(tmp_path / n) for n in ("in", "sink", "check"))
+    schema = "k string, ts int, id int"
+    for rows in ([("a", 9, 1), ("b", 1, 2)], [("a", 3, 3)]):
+        df = spark.createDataFrame(rows, schema)
+        df.coalesce(1).write.mode("append").parquet(inbox)
+        query = stream_latest(tables.stream(spark, inbox, df.schema), ["k"], ["ts", "id"], sink, check)
+        query.awaitTermination()
+        metrics = query.lastProgress.stateOperators[0]["customMetrics"]
+        assert any(name.startswith("rocksdb") for name in metrics)
+    assert sets(read_latest(spark, sink, df.schema, ["k"])) == [("a", 9, 1), ("b", 1, 2)]
+    assert list(tmp_path.glob("check/state/0/*/*.changelog"))
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass") or "")
