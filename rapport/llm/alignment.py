@@ -106,16 +106,16 @@ class Units:
         none = (b"", b"")
         if not text:
             return none
-        a, b, front, known = [], [], [], self.known
+        found, front, known = [], [], self.known
         for word in words(text):
-            if not word or word[-1] in OPEN:
-                front.append(word)
-                continue
-            if front:
-                front.append(word)
-                word, front = " ".join(front), []
             ids = known.get(word)
-            if ids is None:
+            if ids is None or front:
+                if not word or word[-1] in OPEN:
+                    front.append(word)
+                    continue
+                if front:
+                    front.append(word)
+                    word, front = " ".join(front), []
                 ids = self.unit(word)
                 if ids is None:
                     return none
@@ -123,15 +123,13 @@ class Units:
                     if len(known) >= KEPT_WORDS:
                         known.clear()
                     known[word] = ids
-            a.append(ids[0])
-            b.append(ids[1])
+            found.append(ids)
         if front:
             ids = self.unit(" ".join(front))
             if ids is None:
                 return none
-            a.append(ids[0])
-            b.append(ids[1])
-        return b"".join(a), b"".join(b)
+            found.append(ids)
+        return b"".join([a for a, _ in found]), b"".join([b for _, b in found])
 
 
 def groups(ends_a: np.ndarray, ends_b: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

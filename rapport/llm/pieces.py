@@ -141,24 +141,28 @@ class Encoder:
         self.raw[vocabulary.unknown] = UNKNOWN.encode()
         self.silent = set(vocabulary.silent)
         self.words: dict[str, bytes] = {}
-        # Of each piece the answers for those that may follow it; nothing is asked of the first one.
-        self.follow: list[dict[int, bool]] = [{} for _ in range(len(pieces) + 1)]
+        # Of each piece, and of none, what fits behind it of those asked for.
+        self.follow: list[dict[int, int]] = [{} for _ in range(len(pieces) + 1)]
         self.asked = 0
 
     # --- encoding
 
     def holds(self, last: int, piece: int) -> bool:
-        """May ``piece`` follow ``last``: do their letters merge to these two. Any may be the first, after -1."""
-        if last < 0:
-            self.follow[last][piece] = True
-            return True
+        """May ``piece`` follow ``last``: do their letters merge to these two."""
         a, b = self.vocabulary.pieces[last], self.vocabulary.pieces[piece]
+        return merged(a + b, self.score) == [a, b]
+
+    def fitting(self, last: int, piece: int) -> int:
+        """The longest of ``piece`` and the pieces it starts with that may follow ``last``, or -1. Any may be the first."""
         self.asked += 1
         if self.asked > KEPT_PAIRS:
             self.asked = 1
             for known in self.follow:
                 known.clear()
-        found = self.follow[last][piece] = merged(a + b, self.score) == [a, b]
+        found, known = piece, self.follow[last]
+        while last >= 0 and found >= 0 and not self.holds(last, found):
+            found = known.get(self.shorter[found], self.shorter[found])
+        known[piece] = found
         return found
 
     def cut(self, text: str) -> list[int]:
@@ -172,21 +176,24 @@ class Encoder:
         taken: list[int] = []
         at, piece, last = 0, longest[0], -1
         while True:
-            answer = follow[last].get
-            while piece >= 0:
-                fits = answer(piece)
-                if fits is None:
-                    fits = self.holds(last, piece)
-                if fits:
-                    end = at + size[piece]
-                    if not marked or not failed[end >> 3] >> (end & 7) & 1:
-                        break
-                piece = shorter[piece]
+            if piece >= 0:
+                known = follow[last]
+                fit = known.get(piece)
+                if fit is None:
+                    fit = self.fitting(last, piece)
+                # A shorter one, if nothing may stand behind this one.
+                while marked and fit >= 0 and failed[(at + size[fit]) >> 3] >> (at + size[fit] & 7) & 1:
+                    piece = shorter[fit]
+                    fit = known.get(piece, -2) if piece >= 0 else -1
+                    if fit == -2:
+                        fit = self.fitting(last, piece)
+                piece = fit
             if piece >= 0:
                 taken.append(piece)
-                if end == stop:
+                at += size[piece]
+                if at == stop:
                     return taken
-                at, last, piece = end, piece, longest[end]
+                last, piece = piece, longest[at]
             else:
                 # No piece may stand here: the one before was too long.
                 failed[at >> 3] |= 1 << (at & 7)
