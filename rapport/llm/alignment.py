@@ -22,13 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rapport.llm.common import chunks, small_batches, text_bytes
-from rapport.llm.pieces import SPACE, Encoder, Vocabulary, words
+from rapport.llm.pieces import KEPT_LETTERS, SPACE, Encoder, Kept, Vocabulary, words
 from rapport.operators.joins import split_join
 from rapport.sources.sinks import stored
 
-# Words kept with their ids in a worker, at most, and the longest of them.
-KEPT_WORDS = 200_000
-KEPT_LETTERS = 64
 # Bytes of text aligned side by side.
 SIDE_BY_SIDE = 1 << 19
 # A block of documents ends at so many bytes of text or distinct linked pairs.
@@ -77,7 +74,7 @@ class Units:
             self.size_a[i] = len(bytes(letters[c] for c in piece))
         self.pieces = Encoder(vocabulary)
         self.size_b = np.array([len(r) for r in self.pieces.raw], np.int64)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.known = Kept()
 
     def unit(self, text: str) -> tuple[bytes, bytes] | None:
         """Ids of a blank and a text; nothing if the bytes of either side differ from it.
@@ -108,7 +105,7 @@ class Units:
             return none
         found, front, known = [], [], self.known
         for word in words(text):
-            ids = known.get(word)
+            ids = known.get(word) or known.find(word)
             if ids is None or front:
                 if not word or word[-1] in OPEN:
                     front.append(word)
@@ -120,9 +117,7 @@ class Units:
                 if ids is None:
                     return none
                 if len(word) <= KEPT_LETTERS:
-                    if len(known) >= KEPT_WORDS:
-                        known.clear()
-                    known[word] = ids
+                    known.keep(word, ids)
             found.append(ids)
         if front:
             ids = self.unit(" ".join(front))

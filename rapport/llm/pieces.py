@@ -28,8 +28,9 @@ from rapport.llm.common import small_batches, text_bytes
 SPACE = "▁"
 # What an unknown id decodes to.
 UNKNOWN = " ⁇ "
-# Words kept with their ids, and pairs of pieces kept with the answer, at most; then both start anew.
-KEPT_WORDS = 200_000
+# Words kept with their ids at most: half of them since the last change, half from before it, of
+# which those used go on. Pairs of pieces kept with the answer, at most; then these start anew.
+KEPT_WORDS = 400_000
 KEPT_PAIRS = 1_000_000
 KEPT_LETTERS = 64
 # Below any score: these do not merge.
@@ -140,7 +141,7 @@ class Encoder:
             self.raw[i] = bytes([byte])
         self.raw[vocabulary.unknown] = UNKNOWN.encode()
         self.silent = set(vocabulary.silent)
-        self.words: dict[str, bytes] = {}
+        self.words = Kept()
         # Of each piece, and of none, what fits behind it of those asked for.
         self.follow: list[dict[int, int]] = [{} for _ in range(len(pieces) + 1)]
         self.asked = 0
@@ -236,13 +237,11 @@ class Encoder:
             if front:
                 front.append(word)
                 word, front = SPACE.join(front), []
-            ids = known.get(word)
+            ids = known.get(word) or known.find(word)
             if ids is None:
                 ids = self.unit(SPACE + word).tobytes()
                 if len(word) <= KEPT_LETTERS:
-                    if len(known) >= KEPT_WORDS:
-                        known.clear()
-                    known[word] = ids
+                    known.keep(word, ids)
             yield ids
         if front:
             yield self.unit(SPACE + SPACE.join(front)).tobytes()
@@ -268,6 +267,25 @@ class Encoder:
         return text[1:] if self.vocabulary.normal[first] and text[:1] == " " else text
 
 
+class Kept(dict):
+    """Words with their ids; those not used for long are forgotten."""
+
+    older: dict = {}
+
+    def find(self, word: str):
+        """Ids of a word that is not among the newer ones; it becomes one of them."""
+        found = self.older.get(word)
+        if found is not None:
+            self.keep(word, found)
+        return found
+
+    def keep(self, word: str, ids) -> None:
+        if len(self) >= KEPT_WORDS // 2:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+
+
 def words(text: str) -> Iterator[str]:
     """What stands between the blanks of a text, some thousand words at a time."""
     start = 0
