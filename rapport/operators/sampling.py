@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rapport.functions import stable_hash, unit_hash
+from rapport.operators.joins import split_join
 
 # Rows are numbered in GROUPS * GROUPS ranges of their hash, whatever their number.
 GROUPS = 256
@@ -52,7 +53,8 @@ def bootstrap_assign(df: DataFrame, id: str, dist: DataFrame, order: str, seed:
     """Give each row of ``df`` one row of ``dist``, drawn with replacement."""
     size = dist.agg(F.count(F.lit(1))).scalar()
     draws = df.withColumn("idx", F.try_mod(stable_hash(F.col(id), seed), size))
-    return draws.join(dense_index(dist, order, seed), "idx").drop("idx")
+    # A small ``dist`` makes few and so hot numbers.
+    return split_join(draws, dense_index(dist, order, seed), "idx").drop("idx")
 
 
 def weighted_assign(df: DataFrame, id: str, weights: dict[str, float], name: str, seed: int = 0) -> DataFrame:

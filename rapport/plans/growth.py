@@ -52,23 +52,41 @@ def touches(edges: DataFrame) -> DataFrame:
     )
 
 
-def group_touches(members: DataFrame, touched: DataFrame, level: Level) -> DataFrame:
-    """One row per (keys, person): the first day inside the group, and its tags."""
-    columns = ("first_ts", "matched_ts", "added_ts")
-    first = F.min(F.when(F.col("first_ts").isNotNull(), F.struct("first_ts", "first_day")))
+TIMES = ("first_ts", "matched_ts", "added_ts")
+
+
+def member_minima(members: DataFrame, touched: DataFrame, level: Level) -> DataFrame:
+    """One row per (keys, person): first day, first timestamp and that of each tag, from ``touches``."""
     keyed = members.select("user_id", *[k for k in level.keys if k != "user_id"]).distinct()
     rows = split_join(touched, keyed, "user_id")
-    if "user_id" not in level.keys:  # else there is one row per (keys, person) already
-        rows = rows.groupBy(*level.keys, "reach_id").agg(
-            first.getField("first_day").alias("first_day"), *[F.min(c).alias(c) for c in columns]
-        )
-    return rows.select(
-        *level.keys,
-        "reach_id",
-        "first_day",
-        F.coalesce(F.col("matched_ts") == F.col("first_ts"), F.lit(False)).alias("is_matched"),
-        F.coalesce(F.col("added_ts") == F.col("first_ts"), F.lit(False)).alias("is_added"),
-    )
+    # At user level there is one row per (keys, person) already.
+    return rows if "user_id" in level.keys else roll_up(rows, level)
+
+
+def roll_up(finer: DataFrame, level: Level) -> DataFrame:
+    """``member_minima`` of a level from those of one whose groups lie inside its own.
+
+    A least timestamp is the least of the groups inside, so a coarser level never goes back to
+    the relationships: each starts from as many rows as the level below has people.
+    """
+    first = F.min(F.when(F.col("first_ts").isNotNull(), F.struct("first_ts", "first_day")))
+    return finer.groupBy(*level.keys, "reach_id").agg(first.getField("first_day").alias("first_day"), *[F.min(c).alias(c) for c in TIMES])
+
+
+def with_tags(minima: DataFrame) -> DataFrame:
+    """Whether a person's first touch in the group carries each tag, in place of the timestamps."""
+    return minima.withColumns(
+        {
+            "is_matched": F.coalesce(F.col("matched_ts") == F.col("first_ts"), F.lit(False)),
+            "is_added": F.coalesce(F.col("added_ts") == F.col("first_ts"), F.lit(False)),
+        }
+    ).drop(*TIMES)
+
+
+def group_touches(members: DataFrame, touched: DataFrame, level: Level) -> DataFrame:
+    """One row per (keys, person): the first day inside the group, and its tags."""
+    rows = with_tags(member_minima(members, touched, level))
+    return rows.select(*level.keys, "reach_id", "first_day", "is_matched", "is_added")
 
 
 # kinds of marks a person leaves on the calendar of a group
@@ -121,7 +139,11 @@ MARKS = "array<struct<day:date,next_day:date,kind:int>>"
 
 def daily_counts(members: DataFrame, touched: DataFrame, days: DataFrame, level: Level) -> DataFrame:
     """New counts per (keys, day); null where a measure has nothing that day."""
-    people = split_join(group_touches(members, touched, level), days, "reach_id", "left")
+    return marked_counts(members, split_join(group_touches(members, touched, level), days, "reach_id", "left"), level)
+
+
+def marked_counts(members: DataFrame, people: DataFrame, level: Level) -> DataFrame:
+    """``daily_counts`` from a group's people with their first day, tags and marks."""
     first = F.col("first_day")
     marks = F.concat(F.array(_mark(first, TOUCHED)), F.coalesce("marks", F.array().cast(MARKS)))
     marked = people.select(*level.keys, "first_day", "is_matched", "is_added", F.explode(marks).alias("m"))
@@ -243,9 +265,17 @@ def series(
 ) -> DataFrame:
     """The growth series from ``touches`` and ``person_days``, which all levels share:
     store them once when building several levels."""
+    inner = level.narrow
+    daily = daily_counts(with_program(members), touched, days, inner)
+    return series_of(members, daily, level, start, report_start, as_of, form)
+
+
+def series_of(
+    members: DataFrame, daily: DataFrame, level: Level, start: dt.date, report_start: dt.date, as_of: dt.date, form: str = "sparse"
+) -> DataFrame:
+    """The growth series from its daily counts by the level's narrow keys."""
     members = with_program(members)
     inner = level.narrow
-    daily = daily_counts(members, touched, days, inner)
     totals = {"sparse": sparse_totals, "dense": dense_totals}[form]
     out = with_today(growth_rates(totals(members, daily, inner, start, report_start, as_of)), inner, as_of)
     return out if inner == level else _with_user_columns(out, members, level)

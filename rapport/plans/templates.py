@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rapport.functions import ratio, round_half_even
-from rapport.operators import bootstrap_assign, share_of_max
+from rapport.operators import bootstrap_assign, share_of_max, split_join
 
 TEMPLATE_MEASURES = ("users", "matched_voters", "reach_adds", "voters_per_cm_week", "votes")
 
@@ -31,20 +31,19 @@ def scale_template(totals: DataFrame, template: DataFrame, keys: list[str], seed
     named = totals.withColumn(id, F.concat_ws("|", *keys))
     groups = template.select("group").distinct()
     drawn = bootstrap_assign(named, id, groups, "group", seed).drop(id)
-    days = template.withColumnRenamed("group", "_group")
-    scaled = {
-        m: round_half_even(F.col(f"{m}_ptg") * F.col(m)) for m in ("users", "matched_voters", "reach_adds", "votes")
-    }
-    return (
-        drawn.join(days, F.col("group") == F.col("_group"))
-        .select(
-            *keys,
-            "day",
-            *[value.alias(m) for m, value in scaled.items()],
-            (F.col("voters_per_cm_week_ptg") * F.col("voters_per_cm_week")).alias("voters_per_cm_week"),
-        )
-        .withColumn("pct_votes", ratio(F.col("votes"), F.col("matched_voters")))
-    )
+    # A template's days travel as one row, so a join row is a group and not a group's day; few
+    # templates are few join keys, each of which may be hot.
+    measures = ("users", "matched_voters", "reach_adds", "votes")
+    columns = ("day", *[f"{m}_ptg" for m in (*measures, "voters_per_cm_week")])
+    packed = template.groupBy("group").agg(F.collect_list(F.struct(*columns)).alias("_days"))
+    spread = split_join(drawn, packed, "group").withColumn("_day", F.explode("_days"))
+    scaled = {m: round_half_even(F.col(f"_day.{m}_ptg") * F.col(m)) for m in measures}
+    return spread.select(
+        *keys,
+        "_day.day",
+        *[value.alias(m) for m, value in scaled.items()],
+        (F.col("_day.voters_per_cm_week_ptg") * F.col("voters_per_cm_week")).alias("voters_per_cm_week"),
+    ).withColumn("pct_votes", ratio(F.col("votes"), F.col("matched_voters")))
 
 
 def topline_template(topline: DataFrame, users: DataFrame) -> DataFrame:

@@ -93,8 +93,12 @@ def group_figures(people: DataFrame, keys: list[str]) -> DataFrame:
 
 def topline(growth: DataFrame, edges: DataFrame, members: DataFrame, profile: DataFrame, level: Level) -> DataFrame:
     """Last growth day of each group with its support, open-vote and tier figures."""
+    return topline_of(growth, split_join(group_people(edges, members, level.narrow), profile, "reach_id", "left"), level)
+
+
+def topline_of(growth: DataFrame, people: DataFrame, level: Level) -> DataFrame:
+    """``topline`` from a group's people with their profile, by the level's narrow keys."""
     keys = list(level.narrow.keys)
-    people = split_join(group_people(edges, members, level.narrow), profile, "reach_id", "left")
     figures = group_figures(people, keys)
     last = latest_one(growth, list(level.keys), [F.col("day").desc()])
     known, new = level.all_known(), [c for c in figures.columns if c not in keys]

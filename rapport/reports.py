@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rapport import operators as ops
 from rapport.labels import GrowthQuestions, ScoreRules, SupportCodes, TierRules
+from rapport.operators import split_join
 from rapport.plans import activity, answers, feeds, growth, lists, members, networks, queues, status, sync, tiers, topline
 from rapport.sources import sinks, tables
 
@@ -60,7 +61,7 @@ class view:
             return self
         reports.reads[self.name] += 1
         if self.name not in reports.built:
-            reports.built[self.name] = self.build(reports)
+            reports.built[self.name] = reports.planned(self.build(reports))
         return reports.built[self.name]
 
 
@@ -73,6 +74,12 @@ class Reports:
         self.built: dict[str, DataFrame] = {}
         self.reads: Counter[str] = Counter()
         self.copies: list[tuple[SparkSession, str]] = []
+        # Whether people carry their profiles: worth it where toplines read them.
+        self.profiles = False
+        # On the side only: views are planned to count who reads them, one at a time.
+        self.counting = False
+        # Names of the views that are stored.
+        self.kept: set[str] = set()
 
     @classmethod
     def over(cls, spark: SparkSession, root: str, params: Params) -> Reports:
@@ -84,13 +91,24 @@ class Reports:
             self._tables[name] = self._table(name)
         return self._tables[name]
 
+    def planned(self, df: DataFrame) -> DataFrame:
+        """A view as its readers see it: while reads are counted only its columns, so that plans stay short."""
+        return df.sparkSession.createDataFrame([], df.schema) if self.counting else df
+
     def store(self, *names: str) -> None:
         """Replace shared views by stored copies, for when several reports read them."""
         for name in names:
-            df = getattr(self, name)
+            df = self.shared(name)
             path = sinks.scratch(df.sparkSession, name)
             self.built[name] = sinks.stored_at(df, path)
             self.copies.append((df.sparkSession, path))
+            self.kept.add(name)
+
+    def shared(self, name: str) -> DataFrame:
+        """A shared view by name, also those of a level."""
+        if not name.startswith(PEOPLE):
+            return getattr(self, name)
+        return self.people_at(next(level for level in self.params.levels if PEOPLE + level.name == name))
 
     def prepare(self, *names: str) -> None:
         """Store the views that building these reports reads more than once.
@@ -99,12 +117,16 @@ class Reports:
         views' readers read them several times themselves. A view is stored after those it
         reads itself, which then come from their copies.
         """
+        self.profiles = any(name.startswith("topline_") for name in names)
         trial = copy(self)
         trial.built, trial.reads = dict(self.built), Counter()
+        trial.counting = True
+        trial.kept = {PEOPLE + level.name for level in self.params.levels}
         builders = trial.by_name()
         for name in names:
             builders[name]()
-        wanted = [name for name in SHARED if trial.reads[name] > (name not in REREAD)]
+        shared = (*SHARED, *[PEOPLE + level.name for level in self.params.levels])
+        wanted = [name for name in shared if trial.reads[name] > (name not in REREAD)]
         self.store(*[name for name in wanted if name not in self.built])
 
     def clear(self) -> None:
@@ -113,6 +135,7 @@ class Reports:
             sinks.delete(spark, path)
         self.copies.clear()
         self.built.clear()
+        self.kept.clear()
 
     # --- shared views ----------------------------------------------------------------
 
@@ -180,6 +203,44 @@ class Reports:
     def days(self) -> DataFrame:
         return growth.person_days(self.table("responses"), self.votes, self.params.questions)
 
+    @view
+    def facts(self) -> DataFrame:
+        """One row per person with all that the wanted reports count; profiles only if a topline is wanted."""
+        if not self.profiles:
+            return self.days
+        return self.days.join(self.profile, "reach_id", "full")
+
+    def people_at(self, level: ops.Level) -> DataFrame:
+        """A level's people: one row per (narrow keys, person) with the first touch and its tags, and ``facts``.
+
+        Levels form a cascade: where a finer level's people are stored and its groups lie inside
+        this one's, they are the start; else the relationships are.
+        """
+        name = PEOPLE + level.name
+        self.reads[name] += 1
+        if name not in self.built:
+            keys = self.grouped(level.narrow)
+            finer = self.finer(level)
+            if finer:
+                minima = growth.roll_up(self.people_at(finer), keys)
+            else:
+                minima = growth.member_minima(growth.with_program(self.members), self.touched, keys)
+            self.built[name] = self.planned(split_join(minima, self.facts, "reach_id", "left"))
+        return self.built[name]
+
+    def finer(self, level: ops.Level) -> ops.Level | None:
+        """The nearest level before this one whose groups lie inside this one's and whose people are stored."""
+        levels = list(self.params.levels)
+        for before in reversed(levels[: levels.index(level)] if level in levels else []):
+            if PEOPLE + before.name in self.kept and "user_id" not in before.keys and set(level.keys) <= set(self.grouped(before).keys):
+                return before
+        return None
+
+    def grouped(self, level: ops.Level) -> ops.Level:
+        """A level with the constant keys of coarser ones: they part no group, and the cascade needs them."""
+        constant = [] if "user_id" in level.keys else [k for k in CONSTANT if any(k in other.keys for other in self.params.levels)]
+        return ops.Level(level.name, tuple(dict.fromkeys((*level.keys, *constant))))
+
     @view
     def segments(self) -> DataFrame:
         return lists.user_segments(self.table("users"), self.members, self.params.home_state, self.params.groups)
@@ -209,12 +270,15 @@ class Reports:
         p = self.params
         if form == "sparse" and f"growth_{level.name}" in self.built:
             return self.built[f"growth_{level.name}"]
-        return growth.series(
-            self.members, self.touched, self.days, level, p.calendar_start, p.report_start, p.as_of, form
-        )
+        people = growth.with_tags(self.people_at(level))
+        daily = growth.marked_counts(growth.with_program(self.members), people, level.narrow)
+        return growth.series_of(self.members, daily, level, p.calendar_start, p.report_start, p.as_of, form)
 
     def topline(self, level: ops.Level) -> DataFrame:
-        return topline.topline(self.growth(level), self.table("relationships"), self.members, self.profile, level)
+        people = self.people_at(level)
+        if "nonvoting" not in people.columns:
+            people = split_join(people, self.profile, "reach_id", "left")
+        return topline.topline_of(self.growth(level), people, level)
 
     def member_topline(self) -> DataFrame:
         return topline.member_topline(
@@ -326,6 +390,7 @@ SHARED = (
     "profile",
     "touched",
     "days",
+    "facts",
     "id_crosswalk",
     "activity",
     "people",
@@ -333,8 +398,10 @@ SHARED = (
     "delta",
 )
 
-# Views that growth and toplines go through once per measure.
-REREAD = ("members", "touched", "days", "profile")
+# Views that growth goes through once per measure.
+REREAD = ("members",)
+# What the names of the levels' people begin with, and keys that are the same for everyone.
+PEOPLE, CONSTANT = "people_", ("program",)
 
 # How reports are sorted when they are written.
 ORDER = {

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from frames import sets
+from frames import plan_of, sets
 from pyspark.sql import functions as F
 
 from rapport.plans import nested, templates, topline
@@ -126,3 +126,27 @@ def test_topline_template_fills_zero(spark):
     top = spark.createDataFrame([("u", 3, None), ("v", None, 2)], "user_id string, matched_voters bigint, reach_adds bigint")
     users = spark.createDataFrame([("u", dt.date(2024, 1, 1))], "user_id string, date_joined date")
     assert sets(templates.topline_template(top, users)) == [(None, 0, 2), (dt.date(2024, 1, 1), 3, 0)]
+
+
+def test_few_templates_are_hot_keys_that_are_split(spark, shuffled_joins):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        totals = spark.range(0, 20000, 1, 8).selectExpr("id AS pod", *[f"id % 50 AS {m}" for m in templates.TEMPLATE_MEASURES])
+        days = [dt.date(2024, 1, 1 + k) for k in range(4)]
+        rows = [(g, day, *[(k + 1) / 4] * 5) for g in ("a", "b") for k, day in enumerate(days)]
+        ptg = ", ".join(f"{m}_ptg double" for m in templates.TEMPLATE_MEASURES)
+        template = spark.createDataFrame(rows, f"group string, day date, {ptg}")
+        out = templates.scale_template(totals, template, ["pod"], seed=1)
+        last = out.where(F.col("day") == F.lit(days[-1])).select("pod", "users").join(totals.selectExpr("pod AS p", "users AS u"), F.col("pod") == F.col("p"))
+        assert out.count() == 80000 and last.where("users <> u").count() == 0
+        assert out.collect() and plan_of(out).count("skew=true") >= 2
+    finally:
+        for key in small:
+            spark.conf.unset(key)

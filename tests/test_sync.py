@@ -6,7 +6,8 @@ import pytest
 from frames import sets
 from pyspark.sql import functions as F
 
-from rapport.plans import sync
+from rapport import operators as ops
+from rapport.plans import outbox, sync
 from rapport.sources import files, sinks, tables
 from rapport.streaming import sync as streaming_sync
 from rapport.streaming.latest import read_latest, stream_latest
@@ -90,6 +91,59 @@ def test_closed_loop_ends_with_nothing_to_send(spark, frame, people, tmp_path):
     assert sent == [4, 1, 0]
 
 
+def statuses_of(frame, *ids):
+    return frame("tag_log", [dict(alloy_sos_id=i, voting_status="s") for i in ids])
+
+
+def test_a_lost_response_sends_each_person_once(spark, frame):
+    """Payload ids stay while their key grows, so a retry is told from new work."""
+    box = spark.createDataFrame([], outbox.OUTBOX_SCHEMA)
+    log, applied = frame("tag_log", []), {}
+
+    def run(delta, answer):
+        nonlocal box, log
+        box = sinks.stored(box.unionByName(outbox.enqueue(ops.anti(delta, log, sync.STATUS_KEYS), box, "id", n=2)), "box")
+        sent = outbox.unconfirmed(box).collect()
+        for payload in sent:
+            applied.setdefault(payload.payload_id, [p["person_id"] for p in json.loads(payload.payload_json)["people"]])
+        kind = "payload_id string, people array<struct<person_id:string,status:string>>"
+        heard = [(p.payload_id, [(i, "error" if i == "GA_3" and answer == "one fails" else "success") for i in applied[p.payload_id]]) for p in sent]
+        done, closed = outbox.confirm(box, spark.createDataFrame(heard if answer else [], kind))
+        log = sinks.stored(log.unionByName(done), "log")
+        box = sinks.stored(box.unionByName(closed), "box")
+        return len(sent)
+
+    first = statuses_of(frame, "GA_1", "GA_2", "GA_3")
+    grown = statuses_of(frame, "GA_0", "GA_1", "GA_2", "GA_3", "GA_9")
+    assert run(first, None) == 2  # sent, and nothing heard
+    assert run(grown, "one fails") == 3  # the same two again, and one for what is new
+    assert sorted(i for people in applied.values() for i in people) == ["GA_0", "GA_1", "GA_2", "GA_3", "GA_9"]
+    assert run(grown, "all") == 1  # only what failed
+    assert run(grown, "all") == 0 and sets(log, "alloy_sos_id") == [(f"GA_{n}",) for n in (0, 1, 2, 3, 9)]
+    assert len(applied) == 4 and sets(outbox.unconfirmed(box)) == []
+
+
+def test_payload_ids_follow_from_content(spark, frame):
+    one = outbox.identified(sync.tag_payloads(statuses_of(frame, "a", "b", "c"), "voting_status", "alloy_sos_id", "id"))
+    two = outbox.identified(sync.tag_payloads(statuses_of(frame, "c", "a", "b").repartition(3), "voting_status", "alloy_sos_id", "id"))
+    other = outbox.identified(sync.tag_payloads(statuses_of(frame, "a", "b"), "voting_status", "alloy_sos_id", "id"))
+    gone = outbox.identified(sync.tag_payloads(statuses_of(frame, "a", "b", "c"), "voting_status", "alloy_sos_id", "id", action="removed"))
+    assert sets(one, "payload_id") == sets(two, "payload_id")
+    assert len({sets(x, "payload_id")[0] for x in (one, other, gone)}) == 3
+
+
+def test_repeated_and_unknown_responses_change_nothing(spark, frame):
+    empty = spark.createDataFrame([], outbox.OUTBOX_SCHEMA)
+    box = sinks.stored(outbox.enqueue(statuses_of(frame, "a"), empty, "id"), "box")
+    id = box.first().payload_id
+    kind = "payload_id string, people array<struct<person_id:string,status:string>>"
+    twice = spark.createDataFrame([(id, [("a", "success")]), (id, [("a", "success")]), ("?", [("z", "success")]), (None, None)], kind)
+    done, closed = outbox.confirm(box, twice)
+    assert sets(done) == [("a", "s")] and closed.count() == 1
+    done, closed = outbox.confirm(sinks.stored(box.unionByName(closed), "box"), twice)
+    assert sets(done) == sets(closed) == []
+
+
 def test_removing_is_a_payload_action(frame):
     rows = frame("tag_log", [dict(alloy_sos_id="GA_1", voting_status="s")])
     payload = sync.tag_payloads(rows, "voting_status", "alloy_sos_id", "id", action="removed").first().payload_json

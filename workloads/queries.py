@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,10 +13,10 @@ from pyspark.sql import functions as F
 import rapport.functions as fn
 from rapport import operators as ops
 from rapport.labels import STATUS_STEPS, GrowthQuestions, ScoreRules, SupportCodes
-from rapport.plans import answers, feeds, growth, members, nested, status, sync, templates, tiers, topline
+from rapport.plans import answers, feeds, growth, members, nested, outbox, status, sync, templates, tiers, topline
 from rapport.reports import Params, Reports, view
 from rapport.schemas import ORG, TABLES
-from rapport.sources import files, sinks, tables
+from rapport.sources import files, layout, pretty, sheets, sinks, tables
 from rapport.streaming.latest import read_latest, stream_latest
 from rapport.streaming.sync import read_log, stream_delta
 from workloads.roles import AS_OF, BASE, CALENDAR_START, FLAT, HOME_STATE, PREFIX, REPORT_START, VOLUNTEERS, Tables
@@ -153,6 +155,15 @@ def json_flatten(d: Data) -> DataFrame:
     return d.parsed
 
 
+@query
+def json_pretty(d: Data) -> DataFrame:
+    """The flat rows as one pretty-printed object in one file, read back by many tasks."""
+    d.store("flat")
+    path = d.scratch("pretty")
+    pretty.write_pretty_org(nested.nest_networks(d.flat), path)
+    return nested.flatten_org(pretty.read_pretty_org(d.spark, path), AS_OF)
+
+
 @query
 def json_nest(d: Data) -> DataFrame:
     d.store("flat")
@@ -263,6 +274,70 @@ def sync_loop(d: Data) -> DataFrame:
     )
 
 
+@query
+def events_of_days(d: Data) -> DataFrame:
+    """Events written in a folder per day; three days of them read back."""
+    events = d.events.select("event_id", "user_id", "event_type", "value", "ts", F.to_date("ts").alias("day"))
+    path = d.scratch("events-by-day")
+    layout.write_by_day(events, path, "day")
+    some = layout.read_by_day(d.spark, path, events.schema, dt.date(2024, 1, 10), dt.date(2024, 1, 12))
+    return rounded(some.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
+
+
+@query
+def events_refreshed(d: Data) -> DataFrame:
+    """All days but the last written first; then the table is brought up to date, which writes one folder."""
+    events = d.events.select("event_id", "user_id", "ts", F.to_date("ts").alias("day"))
+    path, last = d.scratch("events-refreshed"), events.agg(F.max("day")).first()[0]
+    layout.write_by_day(events.where(F.col("day") < F.lit(last)), path, "day")
+    layout.refresh_days(events, path, "day", "ts")
+    table = layout.read_by_day(d.spark, path, events.schema)
+    return table.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_events"), F.sum("user_id").alias("users"))
+
+
+@query
+def bucketed_network(d: Data) -> DataFrame:
+    """Relationships and vote days in buckets of the person; per user, people and those with a vote day."""
+    names = [f"edges_{uuid.uuid4().hex}", f"votes_{uuid.uuid4().hex}"]
+    edges = d.relationships.where("reach_id IS NOT NULL").select("user_id", "reach_id").distinct()
+    voted = d.votes.select("reach_id").distinct().withColumn("voted", F.lit(True))
+    for df, name in ((edges, names[0]), (voted, names[1])):
+        layout.write_buckets(df, name, "reach_id", 8, d.scratch(name))
+    both = ops.split_join(d.spark.table(names[0]), d.spark.table(names[1]), "reach_id", "left", hot=False)
+    return both.groupBy("user_id").agg(F.count("reach_id").alias("people"), F.count("voted").alias("voted"))
+
+
+@query
+def outbox_retry(d: Data) -> DataFrame:
+    """Half of the responses are lost once; how often a receiver that knows payload ids applied each status."""
+    d.store("delta")
+    box, root = d.scratch("outbox"), d.scratch("log")
+    targets = {status: (tag, PARAMS.tag_names[tag]) for tag, status in PARAMS.tag_ids.items()}
+    empty = d.spark.createDataFrame([], outbox.OUTBOX_SCHEMA)
+    for rows, path in ((empty, box), (d.tag_log, root)):
+        sinks.append_log(rows, path)
+    received = []
+    for attempt in range(2):
+        log = sinks.read_version(d.spark, root, d.tag_log.schema)
+        waiting = sinks.read_version(d.spark, box, empty.schema)
+        current = ops.anti(d.delta, log, sync.STATUS_KEYS)
+        sinks.append_log(sinks.stored(outbox.enqueue(current, waiting, "State File ID", targets=targets), "new-payloads"), box)
+        waiting = sinks.read_version(d.spark, box, empty.schema)
+        sent = sinks.stored(outbox.unconfirmed(waiting), "sent")
+        received.append(sent)
+        person = lambda p: F.struct(p["person_id"].alias("person_id"), F.lit("success").alias("status"))
+        people = F.transform(F.from_json("payload_json", outbox.PEOPLE)["people"], person)
+        lost = F.substring("payload_id", 1, 1).isin(*"01234567") if attempt == 0 else F.lit(False)
+        responses = sinks.stored(sent.where(~lost).select("payload_id", people.alias("people")), "responses")
+        done, closed = outbox.confirm(waiting, responses)
+        sinks.append_log(sinks.stored(done, "done"), root)
+        sinks.append_log(sinks.stored(closed, "closed"), box)
+    applied = union(received).dropDuplicates(["payload_id"])
+    person = F.explode(F.from_json("payload_json", outbox.PEOPLE)["people"]).alias("p")
+    each = applied.select("voting_status", person).groupBy(F.col("p.person_id").alias("alloy_sos_id"), "voting_status")
+    return each.agg(F.count(F.lit(1)).alias("applied"))
+
+
 @query
 def growth_program(d: Data) -> DataFrame:
     return (
@@ -344,6 +419,15 @@ def match_errors(d: Data) -> DataFrame:
     return d.match_errors()
 
 
+@query
+def sheet_order(d: Data) -> DataFrame:
+    """Matching errors of a sheet in four files that holds no row numbers."""
+    path = d.scratch("sheet")
+    sheet = d.training.repartitionByRange(4, "row_no").sortWithinPartitions("row_no").drop("row_no")
+    files.write_csv(sheet, path)
+    return members.match_errors(sheets.read_numbered(d.spark, path, sheet.schema), d.leaders, d.users, "row_no")
+
+
 @query
 def clean_phone(d: Data) -> DataFrame:
     return d.training.select(
