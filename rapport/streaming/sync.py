@@ -15,7 +15,7 @@ from rapport.sources import sinks
 
 LOG_SCHEMA = "alloy_sos_id string, voting_status string, run string, epoch bigint"
 # Buckets of a new log. A bucket is what an epoch reads for one of its keys.
-BUCKETS = 256
+BUCKETS = 64
 
 
 def bucket_of(key: str | Column, buckets: int) -> Column:
