@@ -11,6 +11,24 @@ from pyspark.sql import functions as F
 # between words, no punctuation, "licence" spelt "license"). A sentence gets the identifiers
 # of all patterns found in it; of those that overlap the first in this order counts.
 SENTENCES: list[tuple[str, str]] = [
+    # Tags name the license themselves; "spdx" is one with another name.
+    ("agpl", r"\bspdx license identifier agpl 3 0\b"),
+    ("lgpl_or_later", r"\bspdx license identifier lgpl [23] [01] or later\b"),
+    ("lgpl", r"\bspdx license identifier lgpl [23] [01]\b"),
+    ("gpl_or_later", r"\bspdx license identifier gpl [123] 0 or later\b"),
+    ("gpl_3", r"\bspdx license identifier gpl 3 0\b"),
+    ("gpl_2", r"\bspdx license identifier gpl 2 0\b"),
+    ("apache_2", r"\bspdx license identifier apache 2 0\b"),
+    ("mit", r"\bspdx license identifier mit\b"),
+    ("bsd_3", r"\bspdx license identifier bsd 3 clause\b"),
+    ("bsd_2", r"\bspdx license identifier bsd 2 clause\b"),
+    ("isc", r"\bspdx license identifier isc\b"),
+    ("mpl_2", r"\bspdx license identifier mpl 2 0\b"),
+    ("epl", r"\bspdx license identifier epl [12] 0\b"),
+    ("boost", r"\bspdx license identifier bsl 1 0\b"),
+    ("zlib", r"\bspdx license identifier zlib\b"),
+    ("unlicense", r"\bspdx license identifier unlicense\b"),
+    ("cc0", r"\bspdx license identifier cc0 1 0\b"),
     ("spdx", r"\bspdx license identifier [a-z0-9]"),
     ("mit_grant", r"\bpermission is hereby granted free of charge to any person obtaining a copy\b"),
     ("mit_condition", r"\bthe above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all\b"),
@@ -44,7 +62,11 @@ SENTENCES: list[tuple[str, str]] = [
     ("cc_by_nc", r"\b(?:cc by nc|attribution noncommercial)\b"),
     ("cc_by_sa", r"\b(?:cc by sa|attribution sharealike)\b"),
     ("cc_by_nd", r"\b(?:cc by nd|attribution noderiv)"),
-    ("cc_by", r"\b(?:cc by|creative commons attribution)\b"),
+    # Without a version or a license near it "cc by" may be any words.
+    ("cc_by", r"\bcc by (?:[1-4]\b|license\b)|\blicensed under (?:the |a )?cc by\b|\bcreative commons attribution\b"),
+    ("boost", r"\bboost software license\b"),
+    ("zlib", r"\bzlib license\b|\bzlib libpng license\b"),
+    ("wtfpl", r"\bwtfpl\b|\bdo what the fuck you want to public license\b"),
     ("mit", r"\bmit license\b|\blicensed under (?:the )?mit\b"),
     ("bsd_3", r"\bbsd 3 clause\b|\b3 clause bsd\b"),
     ("bsd_2", r"\bbsd 2 clause\b|\b2 clause bsd\b"),
@@ -60,7 +82,7 @@ SENTENCES: list[tuple[str, str]] = [
 # any marks may stand between two.
 MARKERS = ["licen", "permission", "warrant", "redistribution", "redistribute", "liable", "endorse", "advertising",
            "domain", "unencumbered", "reserved", "spdx", "gpl", "cc", "creative", "attribution",
-           "bsd", "gnu"]
+           "bsd", "gnu", "wtfpl"]
 
 # Licences as sequences of identifiers, the longer before the shorter. A rule
 # takes the identifiers it matches, so a shorter rule does not see them again.
@@ -105,6 +127,9 @@ RULES: list[tuple[str, list[str]]] = [
     ("ISC", ["isc"]),
     ("Unlicense", ["unlicense"]),
     ("Public-domain", ["public_domain"]),
+    ("BSL-1.0", ["boost"]),
+    ("Zlib", ["zlib"]),
+    ("WTFPL", ["wtfpl"]),
     ("SPDX-tagged", ["spdx"]),
 ]
 
