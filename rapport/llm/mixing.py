@@ -215,8 +215,11 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` as the mix takes them: each row as many times as it is taken, columns as they are."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = stored(_rows(docs, seed), "mix-rows")
-    taken = copies(_rows(docs, seed, whole), choose(rows)).where("copies > 0")
+    # Columns go by place, so any names do, also equal ones and such with dots.
+    plain = [f"c{k}" for k in range(len(docs.columns))]
+    read = [F.col(plain[docs.columns.index(c)]).alias(c) for c in ("doc_id", "text", "source")]
+    packed = docs.toDF(*plain).select(F.struct(*plain).alias("row"), *read)
+    rows = stored(_rows(packed, seed), "mix-rows")
+    taken = copies(_rows(packed, seed, F.col("row")), choose(rows)).where("copies > 0")
     taken = taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("n"))
-    return taken.select("row.*")
+    return taken.select("row.*").toDF(*docs.columns)

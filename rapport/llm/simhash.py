@@ -189,10 +189,13 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, id: str = "do
     named = named.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("best").alias("best"))
     rows = fps.groupBy("row").count()
     rows = stored(rows.join(named.select("best.row", F.lit(True).alias("stays")), "row", "left"), "near-duplicates")
-    hashed = docs.withColumn("_row_hash", row_hash(id, text))
-    kept = hashed.join(rows.where("stays is null").select(F.col("row").alias("_row_hash")), "_row_hash", "left_anti")
-    repeated = stored(rows.where("stays and count > 1").select(F.col("row").alias("_row_hash")), "repeated")
+    mark = "_row_hash"
+    while mark in map(str.lower, docs.columns):
+        mark += "_"
+    hashed = docs.withColumn(mark, row_hash(id, text))
+    kept = hashed.join(rows.where("stays is null").select(F.col("row").alias(mark)), mark, "left_anti")
+    repeated = stored(rows.where("stays and count > 1").select(F.col("row").alias(mark)), "repeated")
     if repeated.isEmpty():
-        return kept.drop("_row_hash")
-    once = kept.join(repeated, "_row_hash", "left_semi").dropDuplicates(["_row_hash"])
-    return kept.join(repeated, "_row_hash", "left_anti").unionByName(once).drop("_row_hash")
+        return kept.drop(mark)
+    once = kept.join(repeated, mark, "left_semi").dropDuplicates([mark])
+    return kept.join(repeated, mark, "left_anti").unionByName(once).drop(mark)

@@ -55,3 +55,13 @@ def test_stages_keep_broken_bytes(spark, broken, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
     kept = {r.doc_id: bytes(r.raw) for r in docs.selectExpr("doc_id", "cast(text AS binary) raw").collect()}
     assert 50 in kept and kept[50].endswith(b"caf\xe9 \xc3") and 51 not in kept
+
+
+def test_stages_keep_columns_of_any_names(spark):
+    rows = [(i, f"{WORDS} number {i // 2}", "a", i, -i) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _row_hash long, x long")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and all(r.doc_id == r._row_hash for r in kept.collect())
+    twice = docs.select("doc_id", "text", "source", docs["_row_hash"].alias("n.n"), docs["x"].alias("x"), docs["doc_id"].alias("x"))
+    out = mixing.mixed(twice)
+    assert out.columns == twice.columns and sorted({tuple(r) for r in out.collect()}) == sorted({tuple(r) for r in twice.collect()})
