@@ -11,21 +11,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rapport.sources.sinks import stored
+
 BATCHES_PER_BUCKET = 50
 
 
 SLOT = ["_buckets", "_bucket", "_slot"]
 
 
-def _slots(df: DataFrame, key: str, id: str, n: int, repeated: bool) -> DataFrame:
-    """Rows with their bucket and their slot of ``n`` rows inside it."""
+def _sizes(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows and number of buckets of every key."""
+    rows = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    return rows.withColumn("_buckets", F.ceil(F.col("_rows") / F.lit(n * BATCHES_PER_BUCKET)))
+
+
+def _slots(df: DataFrame, key: str, id: str, n: int, repeated: bool, sizes: DataFrame | None = None) -> DataFrame:
+    """Rows with their bucket and their slot of ``n`` rows inside it; only those of keys in ``sizes``, if given."""
     spread = [F.col(id), F.spark_partition_id()] if repeated else [F.col(id)]
     df = df.withColumn("_spread", F.xxhash64(*spread))
-    sizes = df.groupBy(F.col(key).alias("_key")).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(n * BATCHES_PER_BUCKET)).alias("_buckets")
-    )
     # Joined null-safe: rows come out clustered on derived columns and not on the
     # key, so the window below shuffles them by (key, bucket) and a hot key is split.
+    sizes = (_sizes(df, key, n) if sizes is None else sizes).select("_key", "_buckets")
     rows = df.join(sizes, F.col(key).eqNullSafe(F.col("_key")), "inner").drop("_key")
     rows = rows.withColumn("_bucket", F.pmod("_spread", "_buckets")).drop("_spread")
     w = Window.partitionBy(key, "_bucket").orderBy(id)
@@ -65,16 +71,18 @@ def collect_batches(
 
     ``same`` lists columns that are constant inside a key. Most keys fit into one
     batch and only need a grouping; rows of the others are numbered, and grouped by
-    the bucket they were numbered in, which needs no further shuffle. ``df`` is read
-    three times; pass a stored table when it is costly to compute.
+    the bucket they were numbered in, which needs no further shuffle. The few keys
+    that need several batches are counted and stored at once, so that their size is
+    known: unless they are many, rows are told apart by a copy of them in every task
+    and are shuffled once only, for the grouping. ``df`` is read three times; pass a
+    stored table when it is costly to compute.
     """
     keys = list(dict.fromkeys((key, *same)))
     counted = [F.count(F.lit(1)).alias("batch_size"), F.collect_list(item).alias(name)]
-    large = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > n)
-    large = large.select(F.col(key).alias("_large"))
-    here = F.col(key).eqNullSafe(F.col("_large"))
+    large = stored(_sizes(df, key, n).where(F.col("_rows") > n), "large-keys")
+    here = F.col(key).eqNullSafe(F.col("_key"))
     one = df.join(large, here, "left_anti").groupBy(*keys).agg(*counted)
-    several = _slots(df.join(large, here, "left_semi"), key, id, n, repeated).groupBy(*keys, *SLOT).agg(*counted)
+    several = _slots(df, key, id, n, repeated, large).groupBy(*keys, *SLOT).agg(*counted)
     return one.withColumn("batch_no", F.lit(0).cast("bigint")).unionByName(
         several.withColumn("batch_no", _batch_no().cast("bigint")).drop(*SLOT)
     )

@@ -65,3 +65,8 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Text lines, compressed: JSON repeats its names on every line. Readers of text unpack them."""
+    lines.write.text(path, compression="gzip")

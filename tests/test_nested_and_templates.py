@@ -150,3 +150,12 @@ def test_few_templates_are_hot_keys_that_are_split(spark, shuffled_joins):
     finally:
         for key in small:
             spark.conf.unset(key)
+
+
+def test_written_lines_are_small_and_come_back(spark, flat, tmp_path):
+    many = spark.range(300).crossJoin(flat).drop("id")
+    docs = nested.nest_networks(many, 50)
+    files.write_lines(nested.org_lines(docs), str(tmp_path / "lines"))
+    plain = sum(len(r.value) + 1 for r in nested.org_lines(docs).collect())
+    assert sum(f.stat().st_size for f in (tmp_path / "lines").glob("part-*")) < plain / 5
+    assert sets(nested.flatten_org(files.read_org(spark, str(tmp_path / "lines")), UNTIL)) == sets(many)

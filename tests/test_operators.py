@@ -208,3 +208,19 @@ def test_hot_key_is_split_although_the_other_side_was_aggregated(spark, shuffled
     finally:
         for key in small:
             spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("n", [5, 100])
+def test_batches_move_wide_rows_once(spark, tmp_path, n):
+    """Keys of several batches are few: rows are told apart without a shuffle, whatever their estimated size."""
+    rows = spark.range(0, 20000, 1, 4).selectExpr("if(id < 300, -1, id) AS k", "id", "repeat(uuid(), 9) AS wide")
+    rows.write.parquet(str(tmp_path / "rows"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")
+    try:
+        stored = spark.read.parquet(str(tmp_path / "rows"))
+        out = ops.collect_batches(stored, "k", "id", F.col("wide"), "items", n)
+        assert plan_of(out).count("SortMergeJoin") == 0
+        assert out.agg(F.sum("batch_size"), F.max(F.size("items"))).first()[:] == (20000, min(n, 300))
+        assert out.where("k = -1").count() == -(-300 // n)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -103,7 +103,7 @@ class Data(Reports):
         """The flat rows nested, written as JSON lines, read and flattened again."""
         self.store("flat")
         path = self.scratch("json")
-        nested.org_lines(nested.nest_networks(self.flat)).write.text(path)
+        files.write_lines(nested.org_lines(nested.nest_networks(self.flat)), path)
         return nested.flatten_org(files.read_org(self.spark, path), AS_OF)
 
     @view
@@ -111,7 +111,7 @@ class Data(Reports):
         """The volunteers' rows nested, written as JSON lines, read and flattened again."""
         self.store("volunteers")
         path = self.scratch("volunteers-json")
-        nested.org_lines(nested.nest_volunteers(self.volunteers)).write.text(path)
+        files.write_lines(nested.org_lines(nested.nest_volunteers(self.volunteers)), path)
         return nested.flatten_volunteers(files.read_volunteers(self.spark, path))
 
     def scratch(self, label: str) -> str:
