@@ -58,6 +58,13 @@ def folders(spark: SparkSession, root: str, finished: bool = False) -> list[str]
     return [p.getName() for p in found if not finished or files.exists(done(p, "_SUCCESS"))]
 
 
+def files(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """Names of the files in a folder that begin with ``prefix``, sorted."""
+    system, folder = _folder(spark, root)
+    names = [entry.getPath().getName() for entry in system.listStatus(folder) if entry.isFile()]
+    return sorted(name for name in names if name.startswith(prefix))
+
+
 def numbered(spark: SparkSession, root: str, key: str, finished: bool = True) -> list[int]:
     """Numbers n of the folders ``root/key=n`` that were written to the end, rising; of all if not ``finished``."""
     names = folders(spark, root, finished)
