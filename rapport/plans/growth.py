@@ -3,8 +3,8 @@
 Seven measures grow over time: users, people, matched people, added people,
 support answers, vote plans and votes. Relationships and person events are each
 reduced to one row before they meet, every measure becomes (keys, day, n) rows
-of one long table, and one aggregate per (keys, day) replaces seven joins. The
-windows then run over at most one row per group and day, however large a group
+of one long table, and one aggregate per (keys, day) replaces seven joins. It folds
+the days before the report and fills in empty ones, too. The windows then run over at most one row per group and day, however large a group
 is.
 """
 
@@ -31,32 +31,37 @@ def with_program(members: DataFrame, program: str = "CM") -> DataFrame:
     return members.withColumn("program", F.when(F.col("user_id").isNotNull(), program))
 
 
+def touch_rows(edges: DataFrame) -> DataFrame:
+    """Active relationships, each as a touch of its own: ``touches`` before they are reduced."""
+    ts, tag = F.col("relationship_created_timestamp"), F.col("auto_applied_tag")
+    return edges.where("relationship_status = 'Active'").select(
+        "user_id",
+        "reach_id",
+        F.col("relationship_created_date").alias("first_day"),
+        ts.alias("first_ts"),
+        F.when(tag == MATCHED_TAG, ts).alias("matched_ts"),
+        F.when(tag == ADDED_TAG, ts).alias("added_ts"),
+    )
+
+
 def touches(edges: DataFrame) -> DataFrame:
     """Active relationships reduced to one row per (user_id, reach_id).
 
     The first day is that of the earliest timestamp, the earliest of several. The
     per-tag minima tell which tags occur there.
     """
-    ts = F.col("relationship_created_timestamp")
-    tag = F.col("auto_applied_tag")
-    first = F.min(F.when(ts.isNotNull(), F.struct(ts, F.col("relationship_created_date"))))
-    return (
-        edges.where("relationship_status = 'Active'")
-        .groupBy("user_id", "reach_id")
-        .agg(
-            first.getField("relationship_created_date").alias("first_day"),
-            F.min(ts).alias("first_ts"),
-            F.min(F.when(tag == MATCHED_TAG, ts)).alias("matched_ts"),
-            F.min(F.when(tag == ADDED_TAG, ts)).alias("added_ts"),
-        )
-    )
+    return _earliest(touch_rows(edges), ["user_id", "reach_id"])
 
 
 TIMES = ("first_ts", "matched_ts", "added_ts")
 
 
 def member_minima(members: DataFrame, touched: DataFrame, level: Level) -> DataFrame:
-    """One row per (keys, person): first day, first timestamp and that of each tag, from ``touches``."""
+    """One row per (keys, person): first day, first timestamp and that of each tag, from ``touches``.
+
+    Above the user level ``touch_rows`` will do as well: each pair of user and person reduced
+    before is one more shuffle and sort of all rows, which is worth it where others read it too.
+    """
     keyed = members.select("user_id", *[k for k in level.keys if k != "user_id"]).distinct()
     rows = split_join(touched, keyed, "user_id")
     # At user level there is one row per (keys, person) already.
@@ -69,8 +74,16 @@ def roll_up(finer: DataFrame, level: Level) -> DataFrame:
     A least timestamp is the least of the groups inside, so a coarser level never goes back to
     the relationships: each starts from as many rows as the level below has people.
     """
+    return _earliest(finer, ["reach_id", *level.keys]).select(*level.keys, "reach_id", "first_day", *TIMES)
+
+
+def _earliest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Least timestamps per key, and the day of the first one.
+
+    Rows are sorted for it, so a number that parts most rows should come first among the keys.
+    """
     first = F.min(F.when(F.col("first_ts").isNotNull(), F.struct("first_ts", "first_day")))
-    return finer.groupBy(*level.keys, "reach_id").agg(first.getField("first_day").alias("first_day"), *[F.min(c).alias(c) for c in TIMES])
+    return rows.groupBy(*keys).agg(first.getField("first_day").alias("first_day"), *[F.min(c).alias(c) for c in TIMES])
 
 
 def with_tags(minima: DataFrame) -> DataFrame:
@@ -89,8 +102,8 @@ def group_touches(members: DataFrame, touched: DataFrame, level: Level) -> DataF
     return rows.select(*level.keys, "reach_id", "first_day", "is_matched", "is_added")
 
 
-# kinds of marks a person leaves on the calendar of a group
-TOUCHED, ANSWERED, PLANNED, VOTED = range(4)
+# kinds of marks a person leaves on the calendar of a group, and a member joining it
+TOUCHED, ANSWERED, PLANNED, VOTED, JOINED = range(5)
 
 
 def _mark(day: Column, kind: int, next_day: Column | None = None) -> Column:
@@ -137,13 +150,9 @@ def person_days(responses: DataFrame, votes: DataFrame, questions: GrowthQuestio
 MARKS = "array<struct<day:date,next_day:date,kind:int>>"
 
 
-def daily_counts(members: DataFrame, touched: DataFrame, days: DataFrame, level: Level) -> DataFrame:
-    """New counts per (keys, day); null where a measure has nothing that day."""
-    return marked_counts(members, split_join(group_touches(members, touched, level), days, "reach_id", "left"), level)
-
-
-def marked_counts(members: DataFrame, people: DataFrame, level: Level) -> DataFrame:
-    """``daily_counts`` from a group's people with their first day, tags and marks."""
+def group_marks(members: DataFrame, people: DataFrame, level: Level) -> DataFrame:
+    """What counts on each day of a group: (keys, day, kind, tags) and how often, ``n``, from its people
+    with their first day, tags and marks, and from its members' joining."""
     first = F.col("first_day")
     marks = F.concat(F.array(_mark(first, TOUCHED)), F.coalesce("marks", F.array().cast(MARKS)))
     marked = people.select(*level.keys, "first_day", "is_matched", "is_added", F.explode(marks).alias("m"))
@@ -153,31 +162,41 @@ def marked_counts(members: DataFrame, people: DataFrame, level: Level) -> DataFr
     counted = (
         marked.where((kind != VOTED) | (day > first) | next_day.isNull() | (next_day > first))
         .withColumn("day", F.when(kind == VOTED, greatest_strict(first, day)).otherwise(day))
-        .where("day IS NOT NULL")
-        .groupBy(*level.keys, "day")
-        .agg(
-            F.count_if(kind == TOUCHED).alias("voters"),
-            F.count_if((kind == TOUCHED) & F.col("is_matched")).alias("matched_voters"),
-            F.count_if((kind == TOUCHED) & F.col("is_added")).alias("reach_adds"),
-            F.count_if(kind == ANSWERED).alias("ids"),
-            F.count_if(kind == PLANNED).alias("plans"),
-            F.count_if(kind == VOTED).alias("votes"),
-        )
-        .withColumn("users", F.lit(0).cast("bigint"))
+        .select(*level.keys, "day", kind.alias("kind"), "is_matched", "is_added")
     )
+    if "user_id" in level.keys:
+        # a user has few marks on a day: counting them before would shuffle nearly all of them once more
+        counted = counted.withColumn("n", F.lit(1).cast("bigint"))
+    else:
+        counted = counted.groupBy(*counted.columns).agg(F.count(F.lit(1)).alias("n"))
     joined = (
         members.select(*dict.fromkeys((*level.keys, "user_id")), F.col("date_joined").alias("day"))
-        .where("day IS NOT NULL")
         .distinct()
-        .groupBy(*level.keys, "day")
-        .agg(F.count("user_id").alias("users"))
-        .withColumns({m: F.lit(0).cast("bigint") for m in MEASURES[1:]})
-    )
-    return (
-        counted.unionByName(joined)
-        .groupBy(*level.keys, "day")
-        .agg(*[F.nullif(F.sum(m), F.lit(0)).alias(m) for m in MEASURES])
+        .withColumn("kind", F.when(F.col("user_id").isNotNull(), JOINED))
+        .select(*level.keys, "day", "kind", *[F.lit(False).alias(c) for c in ("is_matched", "is_added")])
+        .withColumn("n", F.lit(1).cast("bigint"))
     )
+    return counted.unionByName(joined).where("day IS NOT NULL")
+
+
+def _counts() -> list[Column]:
+    """Each measure over ``group_marks``; null where it has nothing."""
+    kind = F.col("kind")
+    counts = {
+        "users": kind == JOINED,
+        "voters": kind == TOUCHED,
+        "matched_voters": (kind == TOUCHED) & F.col("is_matched"),
+        "reach_adds": (kind == TOUCHED) & F.col("is_added"),
+        "ids": kind == ANSWERED,
+        "plans": kind == PLANNED,
+        "votes": kind == VOTED,
+    }
+    return [F.sum(F.when(counts[m], F.col("n"))).alias(m) for m in MEASURES]
+
+
+def daily_counts(marks: DataFrame, level: Level) -> DataFrame:
+    """New counts per (keys, day) from ``group_marks``; null where a measure has nothing that day."""
+    return marks.groupBy(*level.keys, "day").agg(*_counts())
 
 
 def _calendar(groups: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
@@ -190,14 +209,14 @@ def _running(keys: tuple[str, ...]):
 
 
 def dense_totals(
-    members: DataFrame, daily: DataFrame, level: Level, start: dt.date, report_start: dt.date, as_of: dt.date
+    members: DataFrame, marks: DataFrame, level: Level, start: dt.date, report_start: dt.date, as_of: dt.date
 ) -> DataFrame:
     """Running totals over every calendar day, cut to the report days at the end."""
     groups = members.select(*level.keys).distinct()
     w = _running(level.keys)
     return (
         _calendar(groups, start, as_of)
-        .join(daily, [*level.keys, "day"], "left")
+        .join(daily_counts(marks, level), [*level.keys, "day"], "left")
         .select(*level.keys, "day", *[F.sum(m).over(w).alias(m) for m in MEASURES])
         .withColumn("cm_days", F.sum("users").over(w))
         .where(F.col("day") >= F.lit(report_start))
@@ -205,26 +224,33 @@ def dense_totals(
 
 
 def sparse_totals(
-    members: DataFrame, daily: DataFrame, level: Level, start: dt.date, report_start: dt.date, as_of: dt.date
+    members: DataFrame, marks: DataFrame, level: Level, start: dt.date, report_start: dt.date, as_of: dt.date
 ) -> DataFrame:
     """The same totals over report days only.
 
-    Earlier days are folded onto the first report day as an opening balance.
-    Member-days follow from two running sums over the join days j:
+    Earlier days are folded onto the first report day as an opening balance, before anything
+    is counted. Member-days follow from two running sums over the join days j:
     ``sum(n_j * (d - j + 1)) = (d + 1) * sum(n_j) - sum(n_j * j)``.
     """
     offset = days_between(F.col("day"), F.lit(start))
+    # a null key matches no group
     folded = (
-        daily.where(F.col("day").between(F.lit(start), F.lit(as_of)))
-        .withColumn("_nj", F.col("users") * offset)
+        marks.where(F.col("day").between(F.lit(start), F.lit(as_of)))
+        .dropna("any", subset=list(level.keys))
+        .withColumn("_j", F.when(F.col("kind") == JOINED, offset * F.col("n")))
         .withColumn("day", F.greatest(F.col("day"), F.lit(report_start)))
-        .groupBy(*level.keys, "day")
-        .agg(*[F.sum(m).alias(m) for m in (*MEASURES, "_nj")])
     )
     groups = members.select(*level.keys).distinct()
+    # Report days come in as rows without a kind: one aggregate counts and fills in empty days.
+    each_day = (
+        _calendar(groups, report_start, as_of)
+        .unionByName(folded, allowMissingColumns=True)
+        .groupBy(*level.keys, "day")
+        .agg(*_counts(), F.sum("_j").alias("_nj"))
+    )
     w = _running(level.keys)
     total = F.sum("users").over(w)
-    return _calendar(groups, report_start, as_of).join(folded, [*level.keys, "day"], "left").select(
+    return each_day.select(
         *level.keys,
         "day",
         *[F.sum(m).over(w).alias(m) for m in MEASURES],
@@ -265,28 +291,30 @@ def series(
 ) -> DataFrame:
     """The growth series from ``touches`` and ``person_days``, which all levels share:
     store them once when building several levels."""
-    inner = level.narrow
-    daily = daily_counts(with_program(members), touched, days, inner)
-    return series_of(members, daily, level, start, report_start, as_of, form)
+    members, inner = with_program(members), level.narrow
+    people = split_join(group_touches(members, touched, inner), days, "reach_id", "left")
+    return series_of(members, group_marks(members, people, inner), level, start, report_start, as_of, form)
 
 
 def series_of(
-    members: DataFrame, daily: DataFrame, level: Level, start: dt.date, report_start: dt.date, as_of: dt.date, form: str = "sparse"
+    members: DataFrame, marks: DataFrame, level: Level, start: dt.date, report_start: dt.date, as_of: dt.date, form: str = "sparse"
 ) -> DataFrame:
-    """The growth series from its daily counts by the level's narrow keys."""
+    """The growth series from its ``group_marks`` by the level's narrow keys."""
     members = with_program(members)
     inner = level.narrow
     totals = {"sparse": sparse_totals, "dense": dense_totals}[form]
-    out = with_today(growth_rates(totals(members, daily, inner, start, report_start, as_of)), inner, as_of)
-    return out if inner == level else _with_user_columns(out, members, level)
+    out = with_today(growth_rates(totals(members, marks, inner, start, report_start, as_of)), inner, as_of)
+    return with_user_columns(out, members, level)
 
 
-def _with_user_columns(per_user: DataFrame, members: DataFrame, level: Level) -> DataFrame:
-    """Attach a user level's other keys to a series built by user id alone.
+def with_user_columns(per_user: DataFrame, members: DataFrame, level: Level) -> DataFrame:
+    """Attach a user level's other keys to a series built by user id alone; others are as they were.
 
     A user listed under two leaders has the same series twice. A group with a null
     key has no figures, as a null key matches nothing.
     """
+    if level.narrow == level:
+        return per_user
     groups = members.select(*level.keys).distinct()
     known = level.all_known()
     figures = [c for c in per_user.columns if c not in ("user_id", "day")]

@@ -224,10 +224,16 @@ class Reports:
             if finer:
                 minima = growth.roll_up(self.people_at(finer), keys)
             else:
-                minima = growth.member_minima(growth.with_program(self.members), self.touched, keys)
+                minima = growth.member_minima(growth.with_program(self.members), self.touches_for(keys), keys)
             self.built[name] = self.planned(split_join(minima, self.facts, "reach_id", "left"))
         return self.built[name]
 
+    def touches_for(self, level: ops.Level) -> DataFrame:
+        """First touches per user and person if the level is of users or a copy of them is there, else every touch."""
+        if "user_id" in level.keys or self.counting or "touched" in self.kept:
+            return self.touched
+        return growth.touch_rows(self.table("relationships"))
+
     def finer(self, level: ops.Level) -> ops.Level | None:
         """The nearest level before this one whose groups lie inside this one's and whose people are stored."""
         levels = list(self.params.levels)
@@ -267,18 +273,26 @@ class Reports:
     # --- reports ------------------------------------------------------------------------
 
     def growth(self, level: ops.Level, form: str = "sparse") -> DataFrame:
-        p = self.params
         if form == "sparse" and f"growth_{level.name}" in self.built:
             return self.built[f"growth_{level.name}"]
+        return growth.with_user_columns(self.narrow_growth(level, form), self.members, level)
+
+    def narrow_growth(self, level: ops.Level, form: str = "sparse") -> DataFrame:
+        """``growth`` by the level's narrow keys."""
+        p = self.params
         people = growth.with_tags(self.people_at(level))
-        daily = growth.marked_counts(growth.with_program(self.members), people, level.narrow)
-        return growth.series_of(self.members, daily, level, p.calendar_start, p.report_start, p.as_of, form)
+        marks = growth.group_marks(growth.with_program(self.members), people, level.narrow)
+        return growth.series_of(self.members, marks, level.narrow, p.calendar_start, p.report_start, p.as_of, form)
 
     def topline(self, level: ops.Level) -> DataFrame:
         people = self.people_at(level)
         if "nonvoting" not in people.columns:
             people = split_join(people, self.profile, "reach_id", "left")
-        return topline.topline_of(self.growth(level), people, level)
+        if f"growth_{level.name}" in self.built:
+            return topline.topline_of(self.growth(level), people, level)
+        # the last day is taken before a user's other columns are attached to every day
+        last = topline.topline_of(self.narrow_growth(level), people, level.narrow)
+        return growth.with_user_columns(last, self.members, level)
 
     def member_topline(self) -> DataFrame:
         return topline.member_topline(

@@ -1,14 +1,16 @@
 import datetime as dt
 import itertools
 import random
+import re
 
 import pytest
-from frames import sets
+from frames import SF, plan_of, sets
 from pyspark.sql import functions as F
 
 from rapport import operators as ops
 from rapport.labels import GrowthQuestions, ScoreRules, SupportCodes, TierRules
 from rapport.plans import activity, answers, growth, lists, members, networks, queues, status, tiers, topline
+from workloads.queries import Data
 
 D = dt.date
 
@@ -394,6 +396,33 @@ def test_rates_and_todays_values(frame, world):
     assert {r.todays_pct_votes for r in rows} == {last.pct_votes}
 
 
+def test_sparse_growth_counts_in_one_shuffle_at_user_level(spark, frame, world, shuffled_joins):
+    """Marks, joinings and report days meet in one aggregate, without a join of the days."""
+    member = frame(None, world[0], user_id="string", date_joined="date")
+    kinds = f"user_id string, reach_id string, first_day date, is_matched boolean, is_added boolean, marks {growth.MARKS}"
+    people = spark.createDataFrame([("u", "r", START, True, False, [])], kinds)
+    level = ops.LEVELS[0].narrow
+    totals = growth.sparse_totals(member, growth.group_marks(member, people, level), level, START, REPORT, AS_OF)
+    plan = plan_of(totals)
+    assert "Join" not in plan
+    assert len(re.findall(r"keys=\[user_id#\d+, day#\d+\], functions=\[partial_", plan)) == 1
+
+
+def test_levels_above_users_do_not_reduce_pairs_first(spark, shuffled_joins):
+    """Only a level of users, or a copy that others read, needs one row per user and person."""
+    pairs = r"SortAggregate\(key=\[user_id#\d+L?, reach_id#\d+L?\]"
+    data = Data(spark, SF)
+    assert not re.findall(pairs, plan_of(data.people_at(ops.LEVELS[1])))
+    assert re.findall(pairs, plan_of(data.people_at(ops.LEVELS[0])))
+
+
+def test_user_columns_meet_the_last_day_only(spark):
+    """A topline takes the last day of a user's series before the user's other columns are joined."""
+    plan = plan_of(Data(spark, SF).topline(ops.LEVELS[0]))
+    assert "row_number() windowspecdefinition(user_id" in plan
+    assert not re.findall(r"row_number\(\) windowspecdefinition\(user_id#\d+L?, user_name", plan)
+
+
 # --- topline and queues ---------------------------------------------------------------------------
 
 
